@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: every character before the first @ except the leading one.
+# Fixed value: every character before the last @ except the leading one.
 MAIL_LOCAL_PART = r"(?<=.).(?=[^@]*@)"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 # What identifies a claim.
 CLAIM_KEYS = ("claim_id", "patient_id", "service_date", "procedure_code")
@@ -22,45 +22,24 @@ def pick_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
                      latest: bool = False) -> DataFrame:
     """The lowest (or, with ``latest``, the highest) row of every key.
 
-    Rows compare by ``order_by`` first and then by all remaining columns, so
-    only identical rows can tie.  Null keys form a group of their own.  This is
-    an aggregate, not a window: each map task already keeps a single row per
-    key, so a hot key costs one row per task in the shuffle.
+    Rows compare by ``order_by`` first and then by all remaining columns that
+    have an order, so only identical rows can tie.  Null keys form a group of
+    their own.  Spark turns the rank filter into a limit per key on the map
+    side as well: a hot key sends one row per map task through the shuffle.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("de-duplication needs at least one key column")
-    rest = [c for c in order_by if c not in keys]
-    rest += [c for c in df.columns if c not in keys and c not in rest]
-    if not rest:
-        return df.distinct()
     types = {f.name: f.dataType for f in df.schema.fields}
-    ranked = [c for c in rest if _orderable(types[c])]
-    pick = F.max if latest else F.min
-    if len(ranked) == len(rest):
-        winner = pick(F.struct(*rest))
-    elif ranked:
-        pick_by = F.max_by if latest else F.min_by
-        winner = pick_by(F.struct(*rest), F.struct(*ranked))
-    else:
-        winner = F.any_value(F.struct(*rest))
-    chosen = df.groupBy(*keys).agg(winner.alias("_row"))
-    return chosen.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    ranked = [c for c in order_by if c not in keys]
+    ranked += [c for c in df.columns if c not in keys and c not in ranked and _orderable(types[c])]
+    if not ranked:
+        return df.dropDuplicates(keys)
+    direction = [F.col(c).desc_nulls_last() if latest else F.col(c).asc_nulls_first() for c in ranked]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*direction))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def dedupe_claims(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """Keys are taken from the canonical columns, so alias-named sources keep theirs."""
     return pick_one_per_key(df, [k for k in CLAIM_KEYS if k in df.columns], order_by)
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    )
-
-
-def no_null_in(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return condition

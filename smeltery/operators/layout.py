@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def cluster_by_key(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
@@ -11,7 +11,7 @@ def cluster_by_key(df: DataFrame, *keys: str, partitions: int | None = None) ->
     A hash of the row is the last range column, so rows of one hot key may
     fill several neighbouring partitions instead of one.
     """
-    spread = F.xxhash64(*df.columns)
+    spread = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
     by = [*[F.col(k) for k in keys], spread]
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     return ranged.sortWithinPartitions(*keys)

@@ -80,14 +80,14 @@ def widen(target: DataFrame, source: DataFrame) -> DataFrame:
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], matched: Sequence[Matched],
           missing: Missing | None, *, strategy: str = "auto", with_action: bool = False,
-          broadcast_bytes: int = BROADCAST_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+          size: BatchSize | None = None, broadcast_bytes: int = BROADCAST_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Target after the merge.
 
     A left join decides the fate of the target rows and an anti join finds the
     rows to insert.  Both shapes let adaptive execution split a skewed target
     key, which a full outer join does not.  Batches measured below the limits
     are broadcast, and then the target is not shuffled at all; larger ones go
-    through shuffled joins.  ``strategy`` may force ``"shuffle"``; a forced
+    through shuffled joins.  ``size`` saves measuring a batch twice.  ``strategy`` may force ``"shuffle"``; a forced
     ``"broadcast"`` still needs a batch within the limits.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
@@ -95,13 +95,13 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], matched: Se
     if len({clause.action for clause in matched}) < len(matched):
         raise ValueError("matched clauses need distinct action names")
     keys = list(keys)
-    size = measure(source, keys)
+    size = size or measure(source, keys)
     require_single_match(target, source, keys, size)
     small = strategy != "shuffle" and size.fits(broadcast_bytes, broadcast_rows)
 
     kept = _merge_matched(target, source, keys, matched, small)
     if missing is not None:
-        kept = kept.unionByName(_insert_missing(target, source, keys, missing, small))
+        kept = kept.unionByName(_insert_missing(target, source, keys, missing, size, small))
     return kept if with_action else kept.drop(ACTION)
 
 
@@ -135,8 +135,9 @@ def _merge_matched(target: DataFrame, source: DataFrame, keys: list[str], matche
     return joined.select(*out, F.col(ACTION))
 
 
-def _insert_missing(target: DataFrame, source: DataFrame, keys: list[str], missing: Missing, small: bool) -> DataFrame:
-    existing = target.select(*keys)
+def _insert_missing(target: DataFrame, source: DataFrame, keys: list[str], missing: Missing, size: BatchSize,
+                    small: bool) -> DataFrame:
+    existing = size.within_range(target.select(*keys))
     if small:
         # Keys of the batch that the target has: never more than the batch itself.
         found = existing.join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
@@ -220,7 +221,7 @@ def merge_report(target: DataFrame, new_id_floor: int) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, newer_by: str | None = None,
-           strategy: str = "auto") -> DataFrame:
+           strategy: str = "auto", size: BatchSize | None = None) -> DataFrame:
     """Replace matched rows by the source row and add the others.
 
     With ``newer_by`` an older source row leaves the target as it is, so
@@ -228,4 +229,5 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, newer_b
     """
     values = {c: f"source.`{c}`" for c in target.columns}
     condition = f"target.{newer_by} IS NULL OR source.{newer_by} >= target.{newer_by}" if newer_by else None
-    return merge(target, source, keys, [Matched("update", condition, values)], Missing(values), strategy=strategy)
+    return merge(target, source, keys, [Matched("update", condition, values)], Missing(values), strategy=strategy,
+                 size=size)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -12,16 +12,29 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
 
+# Key types whose range is taken over as filter literals.
+_RANGED = (T.IntegerType, T.LongType, T.ShortType, T.StringType)
+
 
 @dataclass(frozen=True)
 class BatchSize:
     rows: int
     bytes: int
     max_copies: int
+    key_ranges: Mapping[str, tuple[object, object]] = field(default_factory=dict)
 
     def fits(self, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
         return self.bytes <= max_bytes and self.rows <= max_rows
 
+    def within_range(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose keys lie where the batch has keys at all.
+
+        The bounds reach the file scan, which skips row groups and files outside them.
+        """
+        for key, (low, high) in self.key_ranges.items():
+            df = df.filter(F.col(key).between(F.lit(low), F.lit(high)))
+        return df
+
 
 def row_bytes(schema: T.StructType) -> Column:
     """Width of a row in memory: 8 bytes a column plus the length of its variable part."""
@@ -38,7 +51,7 @@ def row_bytes(schema: T.StructType) -> Column:
 
 
 def measure(df: DataFrame, keys: Sequence[str]) -> BatchSize:
-    """Rows, bytes and highest number of copies of one key, in a single pass.
+    """Rows, bytes, highest number of copies of one key and key ranges, in a single pass.
 
     Null keys match nothing in a join, so their copies do not count.
     """
@@ -48,9 +61,13 @@ def measure(df: DataFrame, keys: Sequence[str]) -> BatchSize:
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema).cast("long")).alias("b")
     )
+    ranged = [k for k in keys if isinstance(df.schema[k].dataType, _RANGED)]
+    bounds = [b for i, k in enumerate(ranged) for b in (F.min(k).alias(f"lo{i}"), F.max(k).alias(f"hi{i}"))]
     got = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
         F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("copies"),
+        *bounds,
     ).first()
-    return BatchSize(got["rows"], got["bytes"], got["copies"])
+    ranges = {k: (got[f"lo{i}"], got[f"hi{i}"]) for i, k in enumerate(ranged) if got[f"lo{i}"] is not None}
+    return BatchSize(got["rows"], got["bytes"], got["copies"], ranges)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smeltery.operators.nested import flatten_structs
+from smeltery.sources.readers import spread_narrow
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -144,7 +145,8 @@ FROM {orders}
 
 
 def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CLAIMS_RAW, lineitem=table(spark, sf_dir, "lineitem"), orders=table(spark, sf_dir, "orders"))
+    lines = spread_narrow(table(spark, sf_dir, "lineitem"))
+    return spark.sql(CLAIMS_RAW, lineitem=lines, orders=table(spark, sf_dir, "orders"))
 
 
 def claims_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +228,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     execution can split a hot order in both.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    slice_of = F.floor(F.monotonically_increasing_id() / ITEMS_PER_DOCUMENT)
+    slice_of = F.expr(f"monotonically_increasing_id() div {ITEMS_PER_DOCUMENT}")
     sliced = table(spark, sf_dir, "lineitem").withColumn("slice", slice_of)
     part_key = F.col("l_partkey")
     item = F.struct(

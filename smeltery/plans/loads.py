@@ -56,7 +56,7 @@ def full_load(source: DataFrame, sink: Snapshots, transform: Transform, *, schem
 
 def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: str, transform: Transform, *,
                      keys: Sequence[str], partition_column: str | None = None,
-                     upto: filters.Cursor | None = None) -> LoadResult:
+                     upto: filters.Cursor | None = None, fixed_partition: bool = False) -> LoadResult:
     """Deliver the rows past the mark, then move the mark.
 
     The upper end of the window is fixed before anything is written, so the
@@ -65,14 +65,15 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
     lookback it overlaps what was delivered before and is upserted by key.
     """
     spark = source.sparkSession
-    first_run = store.raw() is None
-    after = None if first_run else store.get()
+    previous = store.raw()
+    first_run = previous is None
+    after = store.start_after(previous)
     window = filters.between_cursors(source, cursor, after, upto)
     if partition_column and partition_column in source.columns:
         window = filters.since_partition(window, partition_column, after)
     high = filters.highest_cursor(window, cursor)
     if high is None and not first_run:
-        return LoadResult(0, store.raw())
+        return LoadResult(0, previous)
     if first_run:
         # Rows without a cursor value are past no mark; only the first run can take them.
         taken = F.col(cursor).isNull()
@@ -84,10 +85,9 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
     if store.lookback_seconds > 0 and after is not None:
         if partition_column is None:
             raise ValueError("a lookback window needs a partition column to upsert into")
-        rows = upsert_partitions(spark, sink_path, batch, keys, partition_column)
+        rows = upsert_partitions(spark, sink_path, batch, keys, partition_column, fixed_partition=fixed_partition)
     else:
         rows = append_new(spark, sink_path, batch, keys, cursor, after, partition_column)
-    previous = store.raw()
     mark = high if previous is None else max(previous, high)
     if mark is not None:
         store.save(mark)
@@ -119,25 +119,27 @@ class MovedKeyError(ValueError):
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      partition_column: str) -> int:
+                      partition_column: str, *, fixed_partition: bool = False) -> int:
     """Upsert into a partitioned folder and rewrite only the partitions the batch touches.
 
     The partition must follow from the key.  A batch that would move a key to
     another partition is refused: it needs a merge over the whole table.
+    ``fixed_partition`` states that keys never move and saves that check.
     """
     sink = read_if_exists(spark, path, batch.schema)
     if sink is None:
         return write_counted(gather_by_key(batch, partition_column), path, partition_by=[partition_column])
     keys = list(keys)
-    if partition_column not in keys:
+    if partition_column not in keys and not fixed_partition:
         _refuse_moved_keys(sink, batch, keys, partition_column)
     # One value per partition folder, so the list is as short as the folder listing.
     touched = [row[0] for row in batch.select(partition_column).distinct().toLocalIterator()]
     present = sink.filter(_in_partitions(sink, partition_column, touched))
-    merged = upsert(present, batch.select(*sink.columns), keys)
+    size = measure(batch, keys)
+    merged = upsert(present, batch.select(*sink.columns), keys, size=size)
     write_counted(gather_by_key(merged, partition_column), path, mode="overwrite",
                   partition_by=[partition_column], partitionOverwriteMode="dynamic")
-    return batch.count()
+    return size.rows
 
 
 def _in_partitions(df: DataFrame, column: str, values: Sequence[object]) -> Column:
@@ -148,8 +150,9 @@ def _in_partitions(df: DataFrame, column: str, values: Sequence[object]) -> Colu
 
 def _refuse_moved_keys(sink: DataFrame, batch: DataFrame, keys: list[str], partition_column: str) -> None:
     home = batch.select(*keys, F.col(partition_column).alias("_new_home"))
-    placed = sink.select(*keys, partition_column)
-    home = F.broadcast(home) if measure(home, keys).fits() else home
+    size = measure(home, keys)
+    placed = size.within_range(sink.select(*keys, partition_column))
+    home = F.broadcast(home) if size.fits() else home
     moved = placed.join(home, keys).filter(~F.col(partition_column).eqNullSafe(F.col("_new_home")))
     if not moved.isEmpty():
         raise MovedKeyError(f"{keys} would change {partition_column}; merge over the whole table instead")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smeltery.functions.columns import instant
 from smeltery.operators import conform, dedupe, enrich, nested, quality, rollup
-from smeltery.plans.snapshot import ensure_database, save_table
+from smeltery.plans.snapshot import ensure_database, publish_verified
 
 # Names of the layer tables and views.
 BRONZE_CLAIMS = "bronze_claims"
@@ -52,15 +52,16 @@ def view_statements(database: str) -> list[str]:
 
 def build_claims(source: DataFrame, database: str, root: str, *, source_table: str = "claims",
                  order_by: Sequence[str] = (), as_of: dt.datetime | None = None) -> None:
-    """Write bronze, silver and gold tables under ``root`` and create the views.
+    """Publish bronze, silver and gold under ``root`` and create the views.
 
-    Each layer reads the table written before it, so nothing is computed twice.
+    Each layer reads the one published before it, so nothing is computed
+    twice, and readers see the old content until the new one is complete.
     """
     spark = source.sparkSession
     ensure_database(spark, database)
 
     def put(df: DataFrame, name: str) -> DataFrame:
-        save_table(df, f"{database}.{name}", path=f"{root}/{name}")
+        publish_verified(df, f"{database}.{name}", f"{root}/{name}")
         return spark.table(f"{database}.{name}")
 
     bronze = put(source, BRONZE_CLAIMS)
@@ -101,7 +102,7 @@ def build_orders(spark: SparkSession, documents: DataFrame, database: str, root:
     ensure_database(spark, database)
 
     def put(df: DataFrame, name: str) -> DataFrame:
-        save_table(df, f"{database}.{name}", path=f"{root}/{name}", same_schema=True)
+        publish_verified(df, f"{database}.{name}", f"{root}/{name}", schema="same")
         return spark.table(f"{database}.{name}")
 
     bronze = put(documents, "bronze_orders")

@@ -6,7 +6,6 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from smeltery.operators.layout import gather_by_key
@@ -25,15 +24,18 @@ class IncompleteWriteError(RuntimeError):
     """The folder does not hold the rows that were written."""
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there; a failing file system raises instead of looking like a first run."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame | None:
-    """The folder as a frame, or None when it is not there; every other failure is raised."""
-    try:
-        reader = spark.read
-        return (reader.schema(schema) if schema is not None else reader).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """The folder as a frame, or None when it is not there."""
+    if not path_exists(spark, path):
+        return None
+    reader = spark.read
+    return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
 
 def same_columns(a: T.StructType, b: T.StructType) -> bool:

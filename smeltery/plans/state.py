@@ -1,7 +1,7 @@
 """High-water marks and saved schemas.
 
 State folders are append-only: saving or resetting adds one line, and the
-newest line of a table name counts.  Tables that share a store keep their own
+newest line of a table name counts.  A store has one writer at a time.  Tables that share a store keep their own
 lines, and the earlier lines are the history of the store.
 """
 
@@ -27,6 +27,7 @@ class _Lines:
         self.path = path
         self.table_name = table_name
         self.schema = f"{self.fields}, version bigint, updated_at timestamp, table_name string"
+        self._version: int | None = None
 
     def _read(self) -> DataFrame | None:
         return read_if_exists(self.spark, self.path, self.schema)
@@ -36,11 +37,15 @@ class _Lines:
         if lines is None:
             return None
         mine = lines.filter(F.col("table_name") == self.table_name)
-        return mine.orderBy(F.desc("version"), F.desc("updated_at")).limit(1).first()
+        last = mine.orderBy(F.desc("version"), F.desc("updated_at")).limit(1).first()
+        self._version = None if last is None else last["version"]
+        return last
 
     def _append(self, *values) -> None:
-        last = self._newest()
-        line = [(*values, 0 if last is None else last["version"] + 1, None, self.table_name)]
+        if self._version is None:
+            self._newest()
+        self._version = 0 if self._version is None else self._version + 1
+        line = [(*values, self._version, None, self.table_name)]
         (
             self.spark.createDataFrame(line, self.schema)
             .withColumn("updated_at", F.current_timestamp())
@@ -62,7 +67,9 @@ class TimestampWatermark(_Lines):
         return None if last is None else last["watermark_ts"]
 
     def get(self) -> dt.datetime | None:
-        mark = self.raw()
+        return self.start_after(self.raw())
+
+    def start_after(self, mark: dt.datetime | None) -> dt.datetime | None:
         return None if mark is None else mark - dt.timedelta(seconds=self.lookback_seconds)
 
     def save(self, value: Cursor) -> None:
@@ -90,6 +97,9 @@ class SequenceWatermark(_Lines):
         mark = self.raw()
         return -1 if mark is None else mark
 
+    def start_after(self, mark: int | None) -> int | None:
+        return mark
+
     def save(self, value: Cursor) -> None:
         self._append(int(value))
 
