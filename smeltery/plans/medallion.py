@@ -58,7 +58,7 @@ def build_claims(source: DataFrame, database: str, root: str, *, source_table: s
     twice, and readers see the old content until the new one is complete.
     """
     spark = source.sparkSession
-    ensure_database(spark, database)
+    ensure_database(spark, database, f"{root}/database")
 
     def put(df: DataFrame, name: str) -> DataFrame:
         publish_verified(df, f"{database}.{name}", f"{root}/{name}")
@@ -99,7 +99,7 @@ def country_view(database: str, table: str) -> str:
 
 def build_orders(spark: SparkSession, documents: DataFrame, database: str, root: str,
                  loaded_at: dt.datetime | None = None) -> None:
-    ensure_database(spark, database)
+    ensure_database(spark, database, f"{root}/database")
 
     def put(df: DataFrame, name: str) -> DataFrame:
         publish_verified(df, f"{database}.{name}", f"{root}/{name}", schema="same")

@@ -169,6 +169,18 @@ def claims_bronze_to_gold(spark, sf):
     return rollup.top_by(gold[medallion.GOLD_PROCEDURE], "total_paid", medallion.TOP_PROCEDURES, "procedure_code")
 
 
+def _database(folder):
+    return f"layers_{folder.rsplit('-', 1)[1]}"
+
+
+@query(O.over("silver", PROCEDURES + " LIMIT 50"))
+def claims_layers_published(spark, sf):
+    """Bronze, silver and gold published one after the other, read through the ranked view."""
+    folder = new_folder(spark, "claims-layers")
+    medallion.build_claims(X.claims_untidy(spark, sf), _database(folder), folder, order_by=TIES)
+    return spark.table(f"{_database(folder)}.vw_gold_procedure_cost")
+
+
 @query("""
 SELECT o_orderdate, o_orderstatus, o_orderpriority, count(*) AS n FROM orders
 GROUP BY ALL ORDER BY o_orderdate DESC, o_orderstatus DESC, o_orderpriority DESC LIMIT 100""")
@@ -287,6 +299,14 @@ def orders_bronze_to_gold(spark, sf):
     return medallion.country_gold(X.order_documents(spark, sf))
 
 
+@query(COUNTRY)
+def orders_layers_published(spark, sf):
+    """Document, silver and repaired order tables published, read through the country view."""
+    folder = new_folder(spark, "orders-layers")
+    medallion.build_orders(spark, X.order_documents(spark, sf), _database(folder), folder)
+    return spark.table(f"{_database(folder)}.gold_country_orders")
+
+
 @query(O.over("lines_valued", f"""
 SELECT customer__address__country_code, count(order_id) AS total_orders,
        CAST(CAST(sum(revenue) AS DECIMAL(38,2)) AS DOUBLE) AS total_revenue, {O.mean('amount')} AS avg_order_value
@@ -299,6 +319,17 @@ def gold_country_orders_order_grain(spark, sf):
 
 # ---- full and incremental loads -------------------------------------------
 
+@query(O.over("events_feed", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS INTEGER) AS user_id, event_type, product_id, amount,
+       event_ts FROM events_feed"""))
+def declared_schema_scan(spark, sf):
+    """Event files read under the declared schema."""
+    folder, form = new_folder(spark, "event-files"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    feed = X.events_feed(spark, sf).withColumn("event_id", F.col("event_id").cast("string"))
+    feed.write.option("timestampNTZFormat", form).json(folder)
+    return readers.read_files(spark, folder, "json", readers.EVENT_SCHEMA, timestampFormat=form)
+
+
 EVENT_COLUMNS = "event_id, user_id, event_type, product_id, event_ts, event_date, amount AS amount_usd"
 
 
@@ -547,6 +578,16 @@ def snapshot_publish(spark, sf):
     return spark.table(name)
 
 
+@query("SELECT * FROM customer")
+def catalog_table_overwrite(spark, sf):
+    """A catalog table created, then overwritten under the same schema."""
+    folder = new_folder(spark, "catalog")
+    name = f"customer_{folder.rsplit('-', 1)[1]}"
+    for same_schema in (False, True):
+        snapshot.save_table(X.table(spark, sf, "customer"), name, path=folder, same_schema=same_schema)
+    return spark.table(name)
+
+
 SNAPSHOT_TABLES = ("orders", "customer")
 
 
@@ -697,7 +738,7 @@ def stream_upsert(spark, sf):
     return sink.read()
 
 
-@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+@query("SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_dedupe(spark, sf):
     """Every file arrives twice; each event stays once."""
     folder = new_folder(spark, "stream-dedupe")

@@ -6,7 +6,7 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from smeltery.operators.layout import gather_by_key
 
@@ -51,6 +51,17 @@ def write_counted(df: DataFrame, path: str, *, mode: str = "errorifexists",
     return int(seen.get["rows"])
 
 
+def append_line(spark: SparkSession, path: str, line: Mapping[str, Column], partition_by: Sequence[str] = ()) -> None:
+    """Append one row to a folder of state lines."""
+    row = spark.range(0, 1, 1, 1).select(*[value.alias(name) for name, value in line.items()])
+    row.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
+def _counts(metrics: Mapping[str, int]) -> Column:
+    names = F.array(*[F.lit(k) for k in metrics]).cast("array<string>")
+    return F.map_from_arrays(names, F.array(*[F.lit(v) for v in metrics.values()]).cast("array<bigint>"))
+
+
 class Snapshots:
     """A path table whose content is replaced as a whole.
 
@@ -62,6 +73,7 @@ class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.written: str | None = None
         self._history_path = f"{self.root}/history"
 
     def _log(self) -> DataFrame | None:
@@ -115,12 +127,12 @@ class Snapshots:
             raise IncompleteWriteError(f"{folder} holds {found} rows, {rows} were written")
         version = 0 if now is None else now["version"] + 1
         noted = metrics(rows) if callable(metrics) else metrics
-        line = [(version, None, operation, rows, dict(noted or {}), folder, stored.json())]
-        (
-            self.spark.createDataFrame(line, HISTORY)
-            .withColumn("published_at", F.current_timestamp())
-            .coalesce(1).write.mode("append").parquet(self._history_path)
-        )
+        append_line(self.spark, self._history_path, {
+            "version": F.lit(version).cast("bigint"), "published_at": F.current_timestamp(),
+            "operation": F.lit(operation), "row_count": F.lit(rows).cast("bigint"),
+            "metrics": _counts(dict(noted or {})), "folder": F.lit(folder), "schema_json": F.lit(stored.json()),
+        })
+        self.written = folder
         return rows
 
     def _fit(self, df: DataFrame, present: T.StructType, schema: str) -> DataFrame:
@@ -159,7 +171,8 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None, same_schema
 
 def publish_as(name: str, snapshots: Snapshots) -> None:
     """Point the catalog name at the newest publication in one statement, schema changes included."""
-    snapshots.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{snapshots.folder()}`")
+    folder = snapshots.written or snapshots.folder()
+    snapshots.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
 
 
 def publish_verified(df: DataFrame, name: str, root: str, **options) -> int:

@@ -10,23 +10,23 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from smeltery.operators.dedupe import pick_one_per_key
 from smeltery.operators.filters import Cursor
-from smeltery.plans.snapshot import read_if_exists
+from smeltery.plans.snapshot import append_line, read_if_exists
 
 
 class _Lines:
     """Append-only lines, one folder per table name."""
 
-    fields = ""
+    field = ("", "")
 
     def __init__(self, spark: SparkSession, path: str, table_name: str):
         self.spark = spark
         self.path = path
         self.table_name = table_name
-        self.schema = f"{self.fields}, version bigint, updated_at timestamp, table_name string"
+        self.schema = f"{' '.join(self.field)}, version bigint, updated_at timestamp, table_name string"
         self._version: int | None = None
 
     def _read(self) -> DataFrame | None:
@@ -41,22 +41,21 @@ class _Lines:
         self._version = None if last is None else last["version"]
         return last
 
-    def _append(self, *values) -> None:
+    def _append(self, value: Column) -> None:
         if self._version is None:
             self._newest()
         self._version = 0 if self._version is None else self._version + 1
-        line = [(*values, self._version, None, self.table_name)]
-        (
-            self.spark.createDataFrame(line, self.schema)
-            .withColumn("updated_at", F.current_timestamp())
-            .coalesce(1).write.mode("append").partitionBy("table_name").parquet(self.path)
-        )
+        column, dtype = self.field
+        append_line(self.spark, self.path, {
+            column: value.cast(dtype), "version": F.lit(self._version).cast("bigint"),
+            "updated_at": F.current_timestamp(), "table_name": F.lit(self.table_name),
+        }, partition_by=["table_name"])
 
 
 class TimestampWatermark(_Lines):
     """Highest processed timestamp of a table, read back minus a lookback for late rows."""
 
-    fields = "watermark_ts timestamp_ntz"
+    field = ("watermark_ts", "timestamp_ntz")
 
     def __init__(self, spark: SparkSession, store_path: str, table_name: str, lookback_seconds: int = 300):
         super().__init__(spark, f"{store_path}_ts", table_name)
@@ -73,17 +72,17 @@ class TimestampWatermark(_Lines):
         return None if mark is None else mark - dt.timedelta(seconds=self.lookback_seconds)
 
     def save(self, value: Cursor) -> None:
-        self._append(value)
+        self._append(F.lit(value.isoformat(sep=" ")))
 
     def reset(self) -> None:
         if self.raw() is not None:
-            self._append(None)
+            self._append(F.lit(None))
 
 
 class SequenceWatermark(_Lines):
     """Highest processed id of a table, -1 before the first run; sees inserts only."""
 
-    fields = "last_id bigint"
+    field = ("last_id", "bigint")
     lookback_seconds = 0
 
     def __init__(self, spark: SparkSession, store_path: str, table_name: str):
@@ -101,11 +100,11 @@ class SequenceWatermark(_Lines):
         return mark
 
     def save(self, value: Cursor) -> None:
-        self._append(int(value))
+        self._append(F.lit(int(value)))
 
     def reset(self) -> None:
         if self.raw() is not None:
-            self._append(None)
+            self._append(F.lit(None))
 
 
 def current_marks(spark: SparkSession, store_path: str) -> DataFrame:
@@ -126,11 +125,11 @@ def current_marks(spark: SparkSession, store_path: str) -> DataFrame:
 class SavedSchemas(_Lines):
     """Schema of a table as of its last publication."""
 
-    fields = "schema_json string"
+    field = ("schema_json", "string")
 
     def get(self) -> T.StructType | None:
         last = self._newest()
         return None if last is None else T.StructType.fromJson(json.loads(last["schema_json"]))
 
     def save(self, schema: T.StructType) -> None:
-        self._append(schema.json())
+        self._append(F.lit(schema.json()))

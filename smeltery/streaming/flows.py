@@ -28,12 +28,10 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     return reader.format(fmt).load(f"{path[:-1]}[{path[-1]}]")
 
 
-def drain(writer: DataStreamWriter, timeout_seconds: int = 3600) -> StreamingQuery:
+def drain(writer: DataStreamWriter) -> StreamingQuery:
     """Run until everything available is processed; failures of the stream are raised."""
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout_seconds):
-        query.stop()
-        raise TimeoutError(f"stream did not finish within {timeout_seconds} s")
+    query.awaitTermination()
     return query
 
 
@@ -72,15 +70,21 @@ def upsert_stream(stream: DataFrame, sink: Snapshots, checkpoint: str, keys: Seq
 
 
 def dedupe_stream(stream: DataFrame, sink_path: str, checkpoint: str, keys: Sequence[str], ts_column: str,
-                  delay: str) -> int:
+                  delay: str, hot_key_splits: int = 16) -> int:
     """First row of each key within ``delay`` of the event time.
 
-    Keys wait in a disk-backed state store until the event-time watermark has
-    passed them.
+    Streams have no map-side combine, so all copies of one key would meet in
+    one task.  They are thinned out first in ``hot_key_splits`` groups that
+    follow the input splits; what is left per key is one row per group.  With
+    1 that stage is left out, for keys known to have few copies.  Keys wait in
+    a disk-backed state store until the event-time watermark has passed them.
     """
     spark = stream.sparkSession
-    timed = stream.withColumn(ts_column, F.col(ts_column).cast("timestamp"))
-    unique = timed.withWatermark(ts_column, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = stream.withColumn(ts_column, F.col(ts_column).cast("timestamp")).withWatermark(ts_column, delay)
+    if hot_key_splits > 1:
+        group = F.pmod(F.spark_partition_id(), F.lit(hot_key_splits))
+        timed = timed.withColumn("_group", group).dropDuplicatesWithinWatermark([*keys, "_group"]).drop("_group")
+    unique = timed.dropDuplicatesWithinWatermark(list(keys))
     before = spark.conf.get(STATE_STORE_CONF, None)
     spark.conf.set(STATE_STORE_CONF, DISK_STATE_STORE)
     try:

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -51,9 +52,15 @@ def test_replayed_batches_are_skipped(spark, folder):
     assert sink.history(5).count() == 1
 
 
-def test_repeats_are_dropped_across_runs(spark, folder):
+@pytest.mark.parametrize("splits", [1, 4])
+def test_repeats_are_dropped_across_runs(spark, folder, splits):
+    def run():
+        flows.dedupe_stream(stream(spark, folder), f"{folder}/out", f"{folder}/ck", ["k"], "ts", "30 days",
+                            hot_key_splits=splits)
+
     put(spark, f"{folder}/in", (1, 1), (2, 2), (1, 1))
-    flows.dedupe_stream(stream(spark, folder), f"{folder}/out", f"{folder}/ck", ["k"], "ts", "30 days")
+    put(spark, f"{folder}/in", (1, 1), (1, 1))
+    run()
     put(spark, f"{folder}/in", (2, 2), (3, 3))
-    flows.dedupe_stream(stream(spark, folder), f"{folder}/out", f"{folder}/ck", ["k"], "ts", "30 days")
+    run()
     assert rows(spark.read.parquet(f"{folder}/out").groupBy("k").agg(F.count("*"))) == [(1, 1), (2, 1), (3, 1)]
