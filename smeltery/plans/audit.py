@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -67,3 +68,19 @@ def snapshot_with_drift(df: DataFrame, table: str, name: str, root: str, *, keep
     rows = publish_verified(repaired, name, f"{root}/tables/{table}")
     saved.save(repaired.schema)
     return rows
+
+
+def snapshot_all(frames: Mapping[str, DataFrame], root: str, names: Mapping[str, str], **options) -> dict[str, int]:
+    """Every configured table through :func:`snapshot_with_drift`; returns rows per table."""
+    return {table: snapshot_with_drift(df, table, names[table], root, **options) for table, df in frames.items()}
+
+
+def verify_tables(spark: SparkSession, names: Mapping[str, str]) -> DataFrame:
+    """Rows and columns of each published table, as its readers see it."""
+    checks = []
+    for table, name in names.items():
+        seen = spark.table(name)
+        checks.append(seen.agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+            F.lit(len(seen.columns)).alias("column_count")))
+    return reduce(DataFrame.unionByName, checks)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -391,7 +390,8 @@ def _load_orders_by_id(spark, sf, folder):
     marks = state.SequenceWatermark(spark, f"{folder}/marks", "orders")
     low, high = feed.agg(F.min("order_id"), F.max("order_id")).first()
     transform = loads.orders_transform("SEQUENCE")
-    for upto in ((low + high) // 2, None):
+    middle = None if low is None else (low + high) // 2
+    for upto in (middle, None):
         loads.incremental_load(feed, f"{folder}/silver", marks, "order_id", transform, keys=["order_id"], upto=upto)
     return readers.read_files(spark, f"{folder}/silver", schema=transform(feed).schema).drop("load_ts")
 
@@ -597,15 +597,9 @@ UNION ALL SELECT 'customer', count(*), 5 FROM customer""")
 def snapshot_configured_tables(spark, sf):
     """Each configured table through drift check, publication and verification."""
     folder = new_folder(spark, "silver")
-    checks = []
-    for table in SNAPSHOT_TABLES:
-        name = f"silver_{table}_{folder.rsplit('-', 1)[1]}"
-        audit.snapshot_with_drift(X.table(spark, sf, table), table, name, folder)
-        seen = spark.table(name)
-        checks.append(seen.agg(
-            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
-            F.lit(len(seen.columns)).alias("column_count")))
-    return reduce(DataFrame.unionByName, checks)
+    names = {t: f"silver_{t}_{folder.rsplit('-', 1)[1]}" for t in SNAPSHOT_TABLES}
+    audit.snapshot_all({t: X.table(spark, sf, t) for t in SNAPSHOT_TABLES}, folder, names)
+    return audit.verify_tables(spark, names)
 
 
 @query("""

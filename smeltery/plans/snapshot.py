@@ -24,10 +24,21 @@ class IncompleteWriteError(RuntimeError):
     """The folder does not hold the rows that were written."""
 
 
+def _locate(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder is there; a failing file system raises instead of looking like a first run."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    files, location = _locate(spark, path)
+    return files.exists(location)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder; False when it was not there."""
+    files, location = _locate(spark, path)
+    return files.delete(location, True)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame | None:
@@ -149,6 +160,23 @@ class Snapshots:
         absent = {f.name: F.lit(None).cast(f.dataType) for f in present.fields if f.name not in incoming}
         return df.withColumns(absent) if absent else df
 
+    def retire(self, keep: int) -> int:
+        """Delete the folders of all but the newest ``keep`` publications; returns how many went.
+
+        Readers that still hold an older publication lose it, so ``keep`` has
+        to cover the longest running reader.
+        """
+        if keep < 1:
+            raise ValueError("the current publication has to stay")
+        log = self._log()
+        if log is None:
+            return 0
+        newest = F.desc("version"), F.desc("published_at")
+        gone = 0
+        for line in log.orderBy(*newest).offset(keep).select("folder").toLocalIterator():
+            gone += delete_folder(self.spark, line["folder"])
+        return gone
+
     def history(self, n: int) -> DataFrame:
         """The last ``n`` publications, newest first."""
         log = self._log()

@@ -28,6 +28,16 @@ def test_publications_replace_the_content_and_are_remembered(spark, folder):
     assert table.history(1).count() == 1
 
 
+def test_old_publications_can_be_retired(spark, folder):
+    table = S.Snapshots(spark, folder)
+    for k in range(4):
+        table.publish(frame(spark, k))
+    assert [table.retire(2), table.retire(2)] == [2, 0]
+    assert rows(table.read(), "k") == [(3,)]
+    with pytest.raises(ValueError):
+        table.retire(0)
+
+
 def test_content_may_be_derived_from_itself(spark, folder):
     table = S.Snapshots(spark, folder)
     table.publish(frame(spark, 1, 2))
@@ -174,6 +184,13 @@ def test_snapshot_repairs_before_it_publishes(spark, folder):
     assert dict(rows(repeated))["price"] == 2
 
 
+def test_configured_tables_are_snapshotted_and_verified(spark, folder):
+    names = {"a": name(), "b": name()}
+    done = audit.snapshot_all({"a": frame(spark, 1, 2), "b": spark.range(3)}, folder, names)
+    assert done == {"a": 2, "b": 3}
+    assert rows(audit.verify_tables(spark, names)) == [("a", 2, 2), ("b", 3, 1)]
+
+
 def test_columns_only_in_the_new_frame(spark):
     assert D.columns_only_in(v2(spark), spark.createDataFrame([], V1)) == ["extra"]
 
