@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from smeltery.functions.columns import instant
 from smeltery.operators.dedupe import pick_one_per_key
-from smeltery.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, BatchSize, measure
+from smeltery.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, BatchSize, fits_broadcast, measure
 
 ACTION = "_merge_action"
 _FOUND = "_source_found"
@@ -97,7 +97,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], matched: Se
     keys = list(keys)
     size = size or measure(source, keys)
     require_single_match(target, source, keys, size)
-    small = strategy != "shuffle" and size.fits(broadcast_bytes, broadcast_rows)
+    small = strategy != "shuffle" and fits_broadcast(source, size.rows, broadcast_bytes, broadcast_rows)
 
     kept = _merge_matched(target, source, keys, matched, small)
     if missing is not None:

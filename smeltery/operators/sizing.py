@@ -19,13 +19,9 @@ _RANGED = (T.IntegerType, T.LongType, T.ShortType, T.StringType)
 @dataclass(frozen=True)
 class BatchSize:
     rows: int
-    bytes: int
     max_copies: int
     key_ranges: Mapping[str, tuple[object, object]] = field(default_factory=dict)
 
-    def fits(self, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-        return self.bytes <= max_bytes and self.rows <= max_rows
-
     def within_range(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` whose keys lie where the batch has keys at all.
 
@@ -50,24 +46,32 @@ def row_bytes(schema: T.StructType) -> Column:
     return reduce(add, widths, F.lit(8))
 
 
+def fits_broadcast(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES,
+                   max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame of ``rows`` rows is small enough to send to every executor.
+
+    The width is measured only for frames that are short enough.
+    """
+    if rows > max_rows:
+        return False
+    return (df.agg(F.sum(row_bytes(df.schema).cast("long"))).first()[0] or 0) <= max_bytes
+
+
 def measure(df: DataFrame, keys: Sequence[str]) -> BatchSize:
-    """Rows, bytes, highest number of copies of one key and key ranges, in a single pass.
+    """Rows, highest number of copies of one key and key ranges, from the key columns alone.
 
     Null keys match nothing in a join, so their copies do not count.
     """
     whole = F.lit(True)
     for key in keys:
         whole = whole & F.col(key).isNotNull()
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema).cast("long")).alias("b")
-    )
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     ranged = [k for k in keys if isinstance(df.schema[k].dataType, _RANGED)]
     bounds = [b for i, k in enumerate(ranged) for b in (F.min(k).alias(f"lo{i}"), F.max(k).alias(f"hi{i}"))]
     got = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
         F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("copies"),
         *bounds,
     ).first()
     ranges = {k: (got[f"lo{i}"], got[f"hi{i}"]) for i, k in enumerate(ranged) if got[f"lo{i}"] is not None}
-    return BatchSize(got["rows"], got["bytes"], got["copies"], ranges)
+    return BatchSize(got["rows"], got["copies"], ranges)

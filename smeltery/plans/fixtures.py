@@ -74,66 +74,65 @@ FROM {customer}
 # Inserted ids start far above every key of the base table.
 NEW_ID_FLOOR = 1_000_000_000_000
 
-SOURCE_UPDATES = """
-SELECT customer_id, full_name, 'updated.' || CAST(customer_id AS STRING) || '@newdomain.com' AS email,
-       CASE WHEN customer_id % 2 = 0 THEN 'CA' ELSE 'DE' END AS country, TRUE AS is_active, lifetime_value,
-       TIMESTAMP '2024-01-02 00:00:00' AS updated_ts
-FROM {target} WHERE customer_id % 5 = 0
-"""
-SOURCE_SOFT_DELETES = """
-SELECT customer_id, full_name, email, country, FALSE AS is_active, CAST(0.0 AS DOUBLE) AS lifetime_value,
-       TIMESTAMP '2024-01-02 00:00:00' AS updated_ts
-FROM {target} WHERE customer_id % 50 = 3
-"""
-SOURCE_NAME_ONLY = """
-SELECT customer_id, 'Renamed ' || full_name AS full_name, email, country, TRUE AS is_active, lifetime_value,
-       TIMESTAMP '2024-01-02 00:00:00' AS updated_ts
-FROM {target} WHERE customer_id % 50 = 4
-"""
-SOURCE_UNCHANGED = """
-SELECT customer_id, full_name, email, country, TRUE AS is_active, lifetime_value,
-       TIMESTAMP '2024-01-01 00:00:00' AS updated_ts
-FROM {target} WHERE customer_id % 5 = 1
-"""
-SOURCE_EMAIL_FILL = """
-SELECT customer_id, full_name, 'filled.' || CAST(customer_id AS STRING) || '@example.com' AS email, country,
-       TRUE AS is_active, lifetime_value, TIMESTAMP '2024-01-02 00:00:00' AS updated_ts
-FROM {target} WHERE customer_id % 5 = 2 AND email IS NULL
-"""
-SOURCE_INSERTS = """
-SELECT customer_id + 1000000000000 AS customer_id, 'NewUser_' || CAST(customer_id AS STRING) AS full_name,
-       'new.' || CAST(customer_id AS STRING) || '@example.com' AS email, 'SG' AS country,
-       customer_id % 100 <> 0 AS is_active, CAST(10.0 AS DOUBLE) AS lifetime_value,
-       TIMESTAMP '2024-01-02 00:00:00' AS updated_ts
-FROM {target} WHERE customer_id % 20 = 0
-"""
-CUSTOMER_SOURCE = " UNION ALL ".join([
-    SOURCE_UPDATES, SOURCE_SOFT_DELETES, SOURCE_NAME_ONLY, SOURCE_UNCHANGED, SOURCE_EMAIL_FILL, SOURCE_INSERTS,
-])
+_KEPT = {c: c for c in ("customer_id", "full_name", "email", "country", "lifetime_value")}
+_LATER = {"is_active": "TRUE", "updated_ts": "TIMESTAMP '2024-01-02 00:00:00'"}
+
+# Kind of change -> (target rows it comes from, changed columns).
+CHANGES = {
+    "update": ("customer_id % 5 = 0", _KEPT | _LATER | {
+        "email": "'updated.' || CAST(customer_id AS STRING) || '@newdomain.com'",
+        "country": "CASE WHEN customer_id % 2 = 0 THEN 'CA' ELSE 'DE' END"}),
+    "soft_delete": ("customer_id % 50 = 3", _KEPT | _LATER | {
+        "is_active": "FALSE", "lifetime_value": "CAST(0.0 AS DOUBLE)"}),
+    "name_only": ("customer_id % 50 = 4", _KEPT | _LATER | {"full_name": "'Renamed ' || full_name"}),
+    "unchanged": ("customer_id % 5 = 1", _KEPT | _LATER | {"updated_ts": "TIMESTAMP '2024-01-01 00:00:00'"}),
+    "email_fill": ("customer_id % 5 = 2 AND email IS NULL", _KEPT | _LATER | {
+        "email": "'filled.' || CAST(customer_id AS STRING) || '@example.com'"}),
+    "insert": ("customer_id % 20 = 0", _KEPT | _LATER | {
+        "customer_id": f"customer_id + {NEW_ID_FLOOR}", "full_name": "'NewUser_' || CAST(customer_id AS STRING)",
+        "email": "'new.' || CAST(customer_id AS STRING) || '@example.com'", "country": "'SG'",
+        "is_active": "customer_id % 100 <> 0", "lifetime_value": "CAST(10.0 AS DOUBLE)"}),
+}
 
 LOYALTY_TIER = "CASE customer_id % 3 WHEN 0 THEN 'BRONZE' WHEN 1 THEN 'SILVER' ELSE 'GOLD' END"
 
-# One line per logged change; 1 delete, 2 insert, 3 before update, 4 after update.
-CHANGE_LOG = """
-SELECT customer_id, full_name, email, country, lifetime_value, 3 AS op, CAST(10 AS BIGINT) AS seq
-FROM {target} WHERE customer_id % 4 = 0
-UNION ALL
-SELECT customer_id, full_name, 'after.' || CAST(customer_id AS STRING), 'NZ', lifetime_value + 1, 4, 11
-FROM {target} WHERE customer_id % 4 = 0
-UNION ALL
-SELECT customer_id, full_name, email, 'XX', lifetime_value, 4, 10 FROM {target} WHERE customer_id % 4 = 1
-UNION ALL
-SELECT customer_id, full_name, email, country, lifetime_value, 1, 20 FROM {target} WHERE customer_id % 4 = 1
-UNION ALL
-SELECT customer_id, full_name, email, country, lifetime_value, 1, 10 FROM {target} WHERE customer_id % 4 = 2
-UNION ALL
-SELECT customer_id, full_name, 'again.' || CAST(customer_id AS STRING), 'BR', lifetime_value, 2, 20
-FROM {target} WHERE customer_id % 4 = 2
-UNION ALL
-SELECT customer_id + 1000000000000, full_name, email, 'SG', lifetime_value, 2, 10 FROM {target} WHERE customer_id % 10 = 0
-UNION ALL
-SELECT customer_id + 1000000000000, full_name, email, 'SG', lifetime_value, 1, 20 FROM {target} WHERE customer_id % 20 = 0
-"""
+def _logged(op: int, seq: int, **changed: str) -> dict[str, str]:
+    return _KEPT | changed | {"op": f"CAST({op} AS INT)", "seq": f"CAST({seq} AS BIGINT)"}
+
+
+_NEW_ID = f"customer_id + {NEW_ID_FLOOR}"
+
+# Lines of a change log; operation 1 is delete, 2 insert, 3 before update, 4 after update.
+LOGGED = {
+    "before": ("customer_id % 4 = 0", _logged(3, 10)),
+    "after": ("customer_id % 4 = 0", _logged(
+        4, 11, email="'after.' || CAST(customer_id AS STRING)", country="'NZ'", lifetime_value="lifetime_value + 1")),
+    "changed": ("customer_id % 4 = 1", _logged(4, 10, country="'XX'")),
+    "then_deleted": ("customer_id % 4 = 1", _logged(1, 20)),
+    "deleted": ("customer_id % 4 = 2", _logged(1, 10)),
+    "then_inserted": ("customer_id % 4 = 2", _logged(
+        2, 20, email="'again.' || CAST(customer_id AS STRING)", country="'BR'")),
+    "new": ("customer_id % 10 = 0", _logged(2, 10, customer_id=_NEW_ID, country="'SG'")),
+    "new_then_deleted": ("customer_id % 20 = 0", _logged(1, 20, customer_id=_NEW_ID, country="'SG'")),
+}
+
+
+def branches_sql(table_name: str, branches: dict[str, tuple[str, dict[str, str]]]) -> str:
+    """One SELECT per branch, for the oracle."""
+    return " UNION ALL ".join(
+        f"SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {table_name} WHERE {condition}"
+        for condition, columns in branches.values()
+    )
+
+
+def branch_rows(df: DataFrame, branches: dict[str, tuple[str, dict[str, str]]]) -> DataFrame:
+    """The rows of all branches from a single scan: each row emits those whose condition holds."""
+    made = [
+        F.when(F.expr(condition), F.struct(*[F.expr(e).alias(c) for c, e in columns.items()]))
+        for condition, columns in branches.values()
+    ]
+    return df.select(F.inline(F.array_compact(F.array(*made))))
+
 
 ORDERS_AS_SOURCE = """
 SELECT o_custkey AS customer_id, 'Order ' || CAST(o_orderkey AS STRING) AS full_name,
@@ -171,16 +170,13 @@ def customer_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CUSTOMER_TARGET, customer=table(spark, sf_dir, "customer"))
 
 
-def from_target(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
-    return spark.sql(template, target=customer_target(spark, sf_dir))
-
-
-def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_target(spark, sf_dir, CUSTOMER_SOURCE)
+def customer_changes(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    chosen = {kind: CHANGES[kind] for kind in kinds or CHANGES}
+    return branch_rows(customer_target(spark, sf_dir), chosen)
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_target(spark, sf_dir, CHANGE_LOG).withColumnRenamed("op", "__$operation")
+    return branch_rows(customer_target(spark, sf_dir), LOGGED).withColumnRenamed("op", "__$operation")
 
 
 def orders_as_source(spark: SparkSession, sf_dir: str) -> DataFrame:

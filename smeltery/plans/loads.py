@@ -16,7 +16,7 @@ from smeltery.functions.columns import with_audit
 from smeltery.operators import filters
 from smeltery.operators.layout import gather_by_key
 from smeltery.operators.merge import upsert
-from smeltery.operators.sizing import measure
+from smeltery.operators.sizing import fits_broadcast, measure
 from smeltery.plans.snapshot import Snapshots, read_if_exists, write_counted
 from smeltery.plans.state import SequenceWatermark, TimestampWatermark
 
@@ -152,7 +152,7 @@ def _refuse_moved_keys(sink: DataFrame, batch: DataFrame, keys: list[str], parti
     home = batch.select(*keys, F.col(partition_column).alias("_new_home"))
     size = measure(home, keys)
     placed = size.within_range(sink.select(*keys, partition_column))
-    home = F.broadcast(home) if size.fits() else home
+    home = F.broadcast(home) if fits_broadcast(home, size.rows) else home
     moved = placed.join(home, keys).filter(~F.col(partition_column).eqNullSafe(F.col("_new_home")))
     if not moved.isEmpty():
         raise MovedKeyError(f"{keys} would change {partition_column}; merge over the whole table instead")

@@ -48,8 +48,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "orders_feed": ((), X.ORDERS_FEED.format(**BASE)),
     "orders_v2": ((), X.ORDERS_V2.format(**BASE)),
     "target": ((), X.CUSTOMER_TARGET.format(**BASE)),
-    "source": (("target",), X.CUSTOMER_SOURCE.format(target="target")),
-    "change_log": (("target",), X.CHANGE_LOG.format(target="target")),
+    "source": (("target",), X.branches_sql("target", X.CHANGES)),
+    "change_log": (("target",), X.branches_sql("target", X.LOGGED)),
     "orders_as_source": ((), X.ORDERS_AS_SOURCE.format(**BASE)),
     "order_lines": ((), (X.orders_flat_sql() + X.ITEM_LEFT_JOIN).format(**BASE)),
     "lines_valued": (("order_lines",), """

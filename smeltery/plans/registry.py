@@ -455,7 +455,7 @@ def partitioned_events_pruned(spark, sf):
 # ---- change batches and merges --------------------------------------------
 
 def _source(spark, sf):
-    return X.customer_source(spark, sf)
+    return X.customer_changes(spark, sf)
 
 
 def _merge(spark, sf, **options):
@@ -463,15 +463,15 @@ def _merge(spark, sf, **options):
 
 
 MERGED_COLUMNS = "* EXCLUDE (action)"
+FEEDS = ("update", "insert", "soft_delete")
 
 
 @query(O.over("target", f"""
 SELECT *, CASE WHEN NOT is_active THEN 'soft_delete' WHEN customer_id > {X.NEW_ID_FLOOR} THEN 'insert' ELSE 'update' END
           AS operation
-FROM ({X.SOURCE_UPDATES.format(target='target')} UNION ALL {X.SOURCE_INSERTS.format(target='target')}
-      UNION ALL {X.SOURCE_SOFT_DELETES.format(target='target')})"""))
+FROM ({X.branches_sql('target', {k: X.CHANGES[k] for k in FEEDS})})"""))
 def cdc_batch(spark, sf):
-    feeds = [X.from_target(spark, sf, t) for t in (X.SOURCE_UPDATES, X.SOURCE_INSERTS, X.SOURCE_SOFT_DELETES)]
+    feeds = [X.customer_changes(spark, sf, kind) for kind in FEEDS]
     return cdc.with_operation(cdc.cdc_batch(*feeds), X.NEW_ID_FLOOR)
 
 

@@ -12,7 +12,7 @@ from smeltery.operators.layout import gather_by_key
 
 HISTORY = (
     "version bigint, published_at timestamp, operation string, row_count bigint, "
-    "metrics map<string,bigint>, folder string, schema_json string"
+    "metrics map<string,bigint>, folder string, schema_json string, published_by string"
 )
 
 
@@ -142,6 +142,7 @@ class Snapshots:
             "version": F.lit(version).cast("bigint"), "published_at": F.current_timestamp(),
             "operation": F.lit(operation), "row_count": F.lit(rows).cast("bigint"),
             "metrics": _counts(dict(noted or {})), "folder": F.lit(folder), "schema_json": F.lit(stored.json()),
+            "published_by": F.current_user(),
         })
         self.written = folder
         return rows

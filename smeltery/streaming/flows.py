@@ -24,8 +24,11 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # As a glob the path may name either a file or a folder.
-    return reader.format(fmt).load(f"{path[:-1]}[{path[-1]}]")
+    path = path.rstrip("/")
+    if path[-1].isalnum():
+        # As a glob the path may name either a file or a folder.
+        path = f"{path[:-1]}[{path[-1]}]"
+    return reader.format(fmt).load(path)
 
 
 def drain(writer: DataStreamWriter) -> StreamingQuery:

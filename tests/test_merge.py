@@ -5,7 +5,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from smeltery.operators import cdc, merge as G
-from smeltery.operators.sizing import measure
+from smeltery.operators.sizing import fits_broadcast, measure
 
 OLD, NEW, AT = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
 COLUMNS = "customer_id bigint, full_name string, email string, country string, is_active boolean, " \
@@ -164,7 +164,13 @@ def test_measure_counts_copies_of_real_keys_only(spark):
     df = spark.createDataFrame([(1, "aa"), (1, "b"), (None, "c"), (None, "d"), (None, "e")], "k int, v string")
     size = measure(df, ["k"])
     assert (size.rows, size.max_copies, size.key_ranges) == (5, 2, {"k": (1, 1)})
-    assert size.bytes >= 5 * (8 + 16 + 16)
+
+
+def test_broadcast_limits_rows_and_bytes(spark):
+    df = spark.range(100).withColumn("v", F.repeat(F.lit("x"), 1000))
+    assert fits_broadcast(df, 100)
+    assert not fits_broadcast(df, 100, max_rows=99)
+    assert not fits_broadcast(df, 100, max_bytes=100_000)
 
 
 def test_change_log_replays_the_last_operation(spark):

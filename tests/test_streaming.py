@@ -64,3 +64,11 @@ def test_repeats_are_dropped_across_runs(spark, folder, splits):
     put(spark, f"{folder}/in", (2, 2), (3, 3))
     run()
     assert rows(spark.read.parquet(f"{folder}/out").groupBy("k").agg(F.count("*"))) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_json_folder_with_new_files_between_runs(spark, folder):
+    for text in ('{"k": 1}', '{"k": 2, "other": true}'):
+        spark.createDataFrame([(text,)], "value string").write.mode("append").text(f"{folder}/in")
+        source = flows.stream_files(spark, f"{folder}/in/", "k int", fmt="json")
+        flows.ingest_files(source, f"{folder}/out", f"{folder}/ck")
+    assert rows(spark.read.parquet(f"{folder}/out")) == [(1,), (2,)]
