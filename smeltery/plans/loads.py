@@ -16,7 +16,7 @@ from smeltery.functions.columns import with_audit
 from smeltery.operators import filters
 from smeltery.operators.layout import gather_by_key
 from smeltery.operators.merge import upsert
-from smeltery.operators.sizing import fits_broadcast, measure
+from smeltery.operators.sizing import BatchSize, fits_broadcast, measure
 from smeltery.plans.snapshot import Snapshots, read_if_exists, write_counted
 from smeltery.plans.state import SequenceWatermark, TimestampWatermark
 
@@ -130,12 +130,12 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     if sink is None:
         return write_counted(gather_by_key(batch, partition_column), path, partition_by=[partition_column])
     keys = list(keys)
+    size = measure(batch, keys)
     if partition_column not in keys and not fixed_partition:
-        _refuse_moved_keys(sink, batch, keys, partition_column)
+        _refuse_moved_keys(sink, batch, keys, partition_column, size)
     # One value per partition folder, so the list is as short as the folder listing.
     touched = [row[0] for row in batch.select(partition_column).distinct().toLocalIterator()]
     present = sink.filter(_in_partitions(sink, partition_column, touched))
-    size = measure(batch, keys)
     merged = upsert(present, batch.select(*sink.columns), keys, size=size)
     write_counted(gather_by_key(merged, partition_column), path, mode="overwrite",
                   partition_by=[partition_column], partitionOverwriteMode="dynamic")
@@ -148,9 +148,9 @@ def _in_partitions(df: DataFrame, column: str, values: Sequence[object]) -> Colu
     return inside | F.col(column).isNull() if len(known) < len(values) else inside
 
 
-def _refuse_moved_keys(sink: DataFrame, batch: DataFrame, keys: list[str], partition_column: str) -> None:
+def _refuse_moved_keys(sink: DataFrame, batch: DataFrame, keys: list[str], partition_column: str,
+                       size: BatchSize) -> None:
     home = batch.select(*keys, F.col(partition_column).alias("_new_home"))
-    size = measure(home, keys)
     placed = size.within_range(sink.select(*keys, partition_column))
     home = F.broadcast(home) if fits_broadcast(home, size.rows) else home
     moved = placed.join(home, keys).filter(~F.col(partition_column).eqNullSafe(F.col("_new_home")))
