@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from smeltery.functions.columns import with_audit
 from smeltery.operators import filters
 from smeltery.operators.layout import gather_by_key
-from smeltery.operators.merge import upsert
+from smeltery.operators.merge import latest_by, upsert
 from smeltery.operators.sizing import BatchSize, fits_broadcast, measure
 from smeltery.plans.snapshot import Snapshots, read_if_exists, write_counted
 from smeltery.plans.state import SequenceWatermark, TimestampWatermark
@@ -62,7 +62,8 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
     The upper end of the window is fixed before anything is written, so the
     rows counted, written and remembered are the same rows even while the
     source grows.  Without lookback the window is new and is appended.  With
-    lookback it overlaps what was delivered before and is upserted by key.
+    lookback it overlaps what was delivered before and is upserted by key, so
+    the sink holds one row per key.
     """
     spark = source.sparkSession
     previous = store.raw()
@@ -82,6 +83,9 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
         batch = transform(source.filter(taken))
     else:
         batch = transform(filters.between_cursors(window, cursor, None, high))
+    if store.lookback_seconds > 0:
+        # Upserts need one row per key; copies within the window become the newest one.
+        batch = latest_by(batch, keys, [cursor])
     if store.lookback_seconds > 0 and after is not None:
         if partition_column is None:
             raise ValueError("a lookback window needs a partition column to upsert into")

@@ -364,7 +364,9 @@ def incremental_load_events(spark, sf):
     return _load_events(spark, sf, 0)
 
 
-@query(loaded_events("INCREMENTAL"))
+@query(loaded_events("INCREMENTAL", """TRUE
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_ts DESC NULLS LAST, user_id DESC NULLS LAST,
+  event_type DESC NULLS LAST, product_id DESC NULLS LAST, amount DESC NULLS LAST) = 1"""))
 def incremental_lookback_upsert(spark, sf):
     return _load_events(spark, sf, 86_400)
 

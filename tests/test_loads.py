@@ -74,6 +74,14 @@ def test_late_rows_inside_the_lookback_are_caught(spark, folder):
     assert store.raw() == T0 + dt.timedelta(hours=5)
 
 
+def test_copies_in_the_feed_become_one_row_with_lookback(spark, folder):
+    store = marks(spark, folder, lookback=7200)
+    df = feed(spark, [0, 1, 2])
+    run(spark, folder, df.union(df), store, upto=T0 + dt.timedelta(hours=1))
+    run(spark, folder, df.union(df).union(df), store)
+    assert ids(spark, folder) == [(0,), (1,), (2,)]
+
+
 def test_replay_after_a_crash_before_the_mark_moved(spark, folder):
     df = feed(spark, range(3))
     store = marks(spark, folder)
