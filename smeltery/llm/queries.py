@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smeltery.llm import exact_dedup, jaccard_join, mixing, url_filter, warc
+from smeltery.llm import decontaminate, exact_dedup, jaccard_join, mixing, toxicity, url_filter, warc
 from smeltery.llm.common import UPPER, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,12 @@ def op3_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query()
+def op4_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxicity.score_texts(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
 #: The rules to apply.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -64,6 +70,11 @@ def op7_mixing(spark, sf):
     return mixing.mix_by_source(table(spark, sf, "documents").select("doc_id", "text", "source"))
 
 
+@query()
+def op9_decontamination(spark, sf):
+    return decontaminate.judged(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
 @query("""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p)
