@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over ``documents``, each reading what the one before has kept."""
+"""The corpus pipeline: stages over ``documents``, each reading what the one before has kept.
+
+Toxic documents go, then all but one of each group of exact copies, all but one
+of each component of near copies, and documents that hold a benchmark item. The
+last stage mixes the sources that are left to their target weights.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smeltery.llm import exact_dedup, jaccard_join, mixing
+from smeltery.llm import decontaminate, exact_dedup, jaccard_join, mixing, toxicity
 from smeltery.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
@@ -20,17 +29,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return jaccard_join.one_of_each(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_by_source(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_exact_copies),
     ("near duplicates", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]
 
-#: Classifier, signatures and the seeded choice are not SQL.
+#: The classifier, the signatures and the seeded choice are not SQL.
 ORACLE_SQL = None
 
 
