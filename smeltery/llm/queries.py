@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smeltery.llm import decontaminate, exact_dedup, jaccard_join, mixing, toxicity, url_filter, warc
+from smeltery.llm import decontaminate, exact_dedup, jaccard_join, mixing, pii, toxicity, url_filter, warc
 from smeltery.llm.common import UPPER, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op1_ngram_jaccard_join(spark, sf):
     return jaccard_join.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query()
+def op2_pii(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs))
+
+
 @query(f"""
 WITH d AS (SELECT doc_id, sha256({_LOWER.format("coalesce(text, '')")}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
