@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smeltery.llm import decontaminate, exact_dedup, jaccard_join, mixing, pii, toxicity, url_filter, warc
+from smeltery.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, token_rollup, toxicity, url_filter, warc
 from smeltery.llm.common import UPPER, table
+from smeltery.workspace import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,13 @@ def op4_toxicity(spark, sf):
     return toxicity.score_texts(docs, toxicity.fit(docs, table(spark, sf, "labels")))
 
 
+@query()
+def op5_line_dedup(spark, sf):
+    """Per document its lines, how many stay, and the digest of what stays."""
+    left = line_dedup.deduplicated(table(spark, sf, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: The rules to apply.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -76,6 +84,12 @@ def op7_mixing(spark, sf):
     return mixing.mix_by_source(table(spark, sf, "documents").select("doc_id", "text", "source"))
 
 
+@query()
+def op8_token_counts(spark, sf):
+    rollup = token_rollup.TokenRollup(spark, new_folder(spark, "token-rollup"))
+    return token_rollup.corpus_changes(spark, table(spark, sf, "documents"), rollup)
+
+
 @query()
 def op9_decontamination(spark, sf):
     return decontaminate.judged(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
