@@ -268,7 +268,8 @@ def _examples(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for a, b in near[:PER_DOCUMENT]:
                 b = min(b, a + WINDOW)
                 found.append((key, text[a:b], written([(k, x - a, y - a) for k, x, y in spans if a <= x and y <= b])))
-        yield pd.DataFrame(found, columns=["key", "piece", "spans"])
+        if found:
+            yield pd.DataFrame(found, columns=["key", "piece", "spans"])
 
 
 def parsed(spans: str) -> list[tuple[str, int, int]]:

@@ -125,7 +125,8 @@ def _counted(wanted: frozenset | None):
                 labels += [y] * len(found)
                 terms += found.keys()
                 times += found.values()
-            yield pd.DataFrame({"doc_id": ids, "toxic": labels, "term": terms, "n": times})
+            if ids:
+                yield pd.DataFrame({"doc_id": ids, "toxic": labels, "term": terms, "n": times})
 
     return count
 
@@ -223,7 +224,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         index = shared.value
         wanted = frozenset(index.place) if index else frozenset()
         for batch in rows:
-            yield batch[[index is None or index.score(index.vote(*index.vector(term_counts(t, wanted)))[0]) < THRESHOLD
-                         for t in batch["text"]]]
+            kept = batch[[index is None or index.score(index.vote(*index.vector(term_counts(t, wanted)))[0]) < THRESHOLD
+                          for t in batch["text"]]]
+            if len(kept):
+                yield kept
 
     return docs.mapInPandas(keep, docs.schema)

@@ -80,7 +80,8 @@ def write_warc(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES) ->
         if out is not None:
             out.close()
             done.append((f"{folder}/{name}", size, n))
-        yield pd.DataFrame(done, columns=["path", "bytes", "records"])
+        if done:
+            yield pd.DataFrame(done, columns=["path", "bytes", "records"])
 
     return stored(records.select("kind", "record_id", "uri", "payload", "refers_to").mapInPandas(write, MANIFEST),
                   "warc-manifest")
@@ -202,7 +203,8 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, keep_payload:
                         if held > 8 << 20:
                             yield pd.DataFrame(rows, columns=names)
                             rows, held = [], 0
-                    yield pd.DataFrame(rows, columns=names)
+                    if rows:
+                        yield pd.DataFrame(rows, columns=names)
 
     return splits.repartition(min(int(width), 100_000), "path", "begin").mapInPandas(read, RECORD)
 
