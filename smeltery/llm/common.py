@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from smeltery.workspace import new_folder
@@ -29,6 +31,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark deletes them once the driver has collected the plans that made them,
+    which on a driver with room to spare can take until the job is over.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
