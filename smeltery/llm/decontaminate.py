@@ -35,7 +35,7 @@ def tokens_text(text: Column) -> Column:
 def template_text(tokens: Column) -> Column:
     """The same number of tokens with typed placeholders, the rest in lower case."""
     numbers = F.regexp_replace(tokens, r"(?<![^ ])[0-9][0-9.,]*(?![^ ])", "<num>")
-    units = F.regexp_replace(numbers, rf"(?<=<num> )(?:{'|'.join(u.replace('$', chr(92) + '$') for u in UNITS)})(?![^ ])", "<unit>")
+    units = F.regexp_replace(numbers, rf"(?<=<num> )(?i:{'|'.join(u.replace('$', chr(92) + '$') for u in UNITS)})(?![^ ])", "<unit>")
     measured = F.when(tokens.rlike("[0-9]"), units).otherwise(tokens)
     return F.lower(F.regexp_replace(measured, r"(?<![^ ])\p{Lu}[\p{Ll}\p{M}]+(?![^ ])", "<name>"))
 

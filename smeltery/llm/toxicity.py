@@ -157,9 +157,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
     # chi-square of the term against the label
     p, df = F.col("p"), F.col("df")
     cross = p * (n - pos - df + p) - (df - p) * (pos - p)
-    keen = per_term.where(df >= 3).select("term", (n * cross * cross / (
+    keen = per_term.where((df >= 3) & (df < n)).select("term", (n * cross * cross / (
         F.lit(float(pos)) * (n - pos) * df * (n - df))).alias("chi")).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
-    terms = sorted(r["term"] for r in keen if r["chi"] is not None and r["chi"] >= KEEN * keen[0]["chi"])
+    terms = sorted(r["term"] for r in keen if r["chi"] is not None and r["chi"] >= KEEN * keen[0]["chi"] > 0)
     wanted = frozenset(terms)
     counts: dict = {(r["doc_id"], r["toxic"]): {} for r in chosen.select("doc_id", "toxic").collect()}
     for r in chosen.mapInPandas(_counted(wanted), shape).collect():
