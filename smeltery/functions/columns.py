@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def normalize_name(name: str) -> str:
-    return "_".join(name.strip().lower().split(" "))
+    return name.strip().lower().replace(" ", "_")
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

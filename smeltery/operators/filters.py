@@ -33,10 +33,13 @@ def between_cursors(df: DataFrame, column: str, after: Cursor | None, upto: Curs
 
 
 def since_partition(df: DataFrame, partition_column: str, after: Cursor | None) -> DataFrame:
-    """The bound a timestamp cursor implies for a date partition column, so older folders are not listed."""
+    """The bound a timestamp cursor implies for a column that holds its date, so older folders are not listed.
+
+    A day of slack covers session time zones: the mark is UTC, the date local.
+    """
     if not isinstance(after, dt.datetime):
         return df
-    return df.filter(F.col(partition_column) >= F.lit(after.date()))
+    return df.filter(F.col(partition_column) >= F.lit(after.date() - dt.timedelta(days=1)))
 
 
 def highest_cursor(df: DataFrame, column: str) -> Cursor | None:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smeltery.operators.nested import flatten_structs
-from smeltery.sources.readers import spread_narrow
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -144,7 +143,7 @@ FROM {orders}
 
 
 def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread_narrow(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     return spark.sql(CLAIMS_RAW, lineitem=lines, orders=table(spark, sf_dir, "orders"))
 
 
@@ -211,21 +210,15 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(order_key.alias("order_id"), customer.alias("customer"), payment.alias("payment"))
 
 
-# Most items one document may carry; a larger order fills several documents.
-ITEMS_PER_DOCUMENT = 100_000
-
-
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested order documents with an items array.
+    """Nested order documents with an items array, one document per order.
 
-    Items are gathered per order and slice of the scan, so no array outgrows
-    its slice, whatever the share of one order.  Orders with items come from
+    A document holds all items of its order, however the files are split, so
+    an order has to fit into one row.  Orders with items come from
     an inner join and the others from an anti join on distinct keys: adaptive
     execution can split a hot order in both.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    slice_of = F.expr(f"monotonically_increasing_id() div {ITEMS_PER_DOCUMENT}")
-    sliced = table(spark, sf_dir, "lineitem").withColumn("slice", slice_of)
     part_key = F.col("l_partkey")
     item = F.struct(
         F.col("p_name").alias("name"),
@@ -235,10 +228,9 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("SKU-"), part_key.cast("string"))).alias("sku"),
     )
     baskets = (
-        sliced.join(part, part_key == F.col("p_partkey"), "left")
-        .groupBy(F.col("l_orderkey").alias("order_id"), "slice")
+        table(spark, sf_dir, "lineitem").join(part, part_key == F.col("p_partkey"), "left")
+        .groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(F.collect_list(item).alias("items"))
-        .drop("slice")
     )
     headers = order_headers(spark, sf_dir)
     filled = headers.join(baskets, "order_id")

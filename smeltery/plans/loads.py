@@ -2,13 +2,15 @@
 
 Data is written first and the mark moves afterwards.  A run that dies in
 between is repeated over the same window, and rows it already delivered are
-recognised by their key.
+recognised by key and cursor.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -56,9 +58,13 @@ def full_load(source: DataFrame, sink: Snapshots, transform: Transform, *, schem
 
 def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: str, transform: Transform, *,
                      keys: Sequence[str], partition_column: str | None = None,
-                     upto: filters.Cursor | None = None, fixed_partition: bool = False) -> LoadResult:
+                     upto: filters.Cursor | None = None, fixed_partition: bool = False,
+                     partition_is_cursor_date: bool = False) -> LoadResult:
     """Deliver the rows past the mark, then move the mark.
 
+    ``partition_is_cursor_date`` states that the partition column holds the date
+    of the cursor; only then does the mark bound the folders that are read.
+
     The upper end of the window is fixed before anything is written, so the
     rows counted, written and remembered are the same rows even while the
     source grows.  Without lookback the window is new and is appended.  With
@@ -70,7 +76,7 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
     first_run = previous is None
     after = store.start_after(previous)
     window = filters.between_cursors(source, cursor, after, upto)
-    if partition_column and partition_column in source.columns:
+    if partition_is_cursor_date and partition_column in source.columns:
         window = filters.since_partition(window, partition_column, after)
     high = filters.highest_cursor(window, cursor)
     if high is None and not first_run:
@@ -86,12 +92,13 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
     if store.lookback_seconds > 0:
         # Upserts need one row per key; copies within the window become the newest one.
         batch = latest_by(batch, keys, [cursor])
-    if store.lookback_seconds > 0 and after is not None:
+    delivered = read_if_exists(spark, sink_path, batch.schema) is not None
+    if store.lookback_seconds > 0 and (after is not None or delivered):
         if partition_column is None:
             raise ValueError("a lookback window needs a partition column to upsert into")
         rows = upsert_partitions(spark, sink_path, batch, keys, partition_column, fixed_partition=fixed_partition)
     else:
-        rows = append_new(spark, sink_path, batch, keys, cursor, after, partition_column)
+        rows = append_new(spark, sink_path, batch, keys, cursor, after, partition_column, partition_is_cursor_date)
     mark = high if previous is None else max(previous, high)
     if mark is not None:
         store.save(mark)
@@ -99,19 +106,23 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], cursor: str,
-               after: filters.Cursor | None, partition_column: str | None = None) -> int:
+               after: filters.Cursor | None, partition_column: str | None = None,
+               partition_is_cursor_date: bool = False) -> int:
     """Append a batch once.
 
     Rows past the mark that are already in the sink come from a run that died
-    before it could move the mark; those keys are left out.
+    before it could move the mark. They are left out by key and cursor, so a
+    version of a key that came since is delivered.
     """
     delivered = read_if_exists(spark, path, batch.schema)
     if delivered is not None:
         early = filters.between_cursors(delivered, cursor, after, None)
-        if partition_column:
+        if partition_is_cursor_date and partition_column:
             early = filters.since_partition(early, partition_column, after)
         if not early.isEmpty():
-            batch = batch.join(early.select(*keys).distinct(), list(keys), "left_anti")
+            seen = early.select(*[F.col(c).alias(f"_seen_{i}") for i, c in enumerate((*keys, cursor))]).distinct()
+            same = [batch[c].eqNullSafe(seen[f"_seen_{i}"]) for i, c in enumerate((*keys, cursor))]
+            batch = batch.join(seen, reduce(and_, same), "left_anti")
     if partition_column:
         return write_counted(gather_by_key(batch, partition_column), path, mode="append",
                              partition_by=[partition_column])

@@ -347,7 +347,8 @@ def _load_events(spark, sf, lookback_seconds):
     transform = loads.events_transform("INCREMENTAL")
     for upto in (SPLIT, None):
         loads.incremental_load(feed, sink, marks, "event_ts", transform, keys=["event_id"],
-                               partition_column="event_date", upto=upto)
+                               partition_column="event_date", upto=upto,
+                               partition_is_cursor_date=True)
     return readers.read_files(spark, sink, schema=transform(feed).schema).drop("load_ts")
 
 

@@ -36,17 +36,3 @@ def scan_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | str = ORDER_DOCUMENT) -> DataFrame:
     """Nested documents with a declared schema, so no pass over the files is spent on inference."""
     return spark.read.schema(schema).json(path)
-
-
-# Above this many splits a scan is never re-distributed: about 2 GB at the default split size.
-NARROW_SPLITS = 16
-
-
-def spread_narrow(df: DataFrame) -> DataFrame:
-    """Hand the rows of a small scan with fewer splits than cores to all cores.
-
-    Worth it before row-wise work on a few small files; a scan with enough
-    splits, or with more than a few, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, NARROW_SPLITS) else df

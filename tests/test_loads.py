@@ -190,3 +190,26 @@ def test_lookback_overlap(spark):
 def test_saved_share(spark):
     out = loads.run_size(feed(spark, range(4)), "event_ts", T0 + dt.timedelta(hours=2))
     assert rows(out) == [(4, 1, 0.75)]
+
+
+def test_late_partition_is_delivered(spark, folder):
+    shape = "event_id long, event_ts timestamp, day date"
+    store = state.TimestampWatermark(spark, f"{folder}/marks", "late", lookback_seconds=0)
+    load = lambda rows: loads.incremental_load(
+        spark.createDataFrame(rows, shape), f"{folder}/sink", store, "event_ts", lambda df: df, keys=["event_id"], partition_column="day")
+    first = (1, dt.datetime(2024, 1, 5), dt.date(2024, 1, 5))
+    late = (2, dt.datetime(2024, 1, 7), dt.date(2024, 1, 2))
+    load([first])
+    assert load([first, late]).rows == 1
+    assert spark.read.parquet(f"{folder}/sink").count() == 2
+
+
+def test_version_that_came_after_a_crash_is_delivered(spark, folder):
+    shape = "event_id long, event_ts timestamp, day date"
+    old, new = ((1, dt.datetime(2024, 1, d), dt.date(2024, 1, d)) for d in (5, 6))
+    spark.createDataFrame([old], shape).write.partitionBy("day").parquet(f"{folder}/sink")  # written, mark not moved
+    store = state.TimestampWatermark(spark, f"{folder}/marks", "crash", lookback_seconds=0)
+    store.save(dt.datetime(2024, 1, 1))
+    result = loads.incremental_load(spark.createDataFrame([old, new], shape), f"{folder}/sink", store, "event_ts", lambda df: df,
+                              keys=["event_id"], partition_column="day")
+    assert result.rows == 1 and spark.read.parquet(f"{folder}/sink").count() == 2

@@ -70,8 +70,13 @@ def test_order_layers(spark, small, folder):
     assert rows(day) == [("Saturday", "Y")]
 
 
-def test_large_orders_fill_several_documents(spark, small, monkeypatch):
-    whole = rows(R.flatten_orders(spark, small))
-    monkeypatch.setattr(X, "ITEMS_PER_DOCUMENT", 500)
-    assert X.order_documents(spark, small).count() > spark.read.parquet(f"{small}/orders.parquet").count()
-    assert rows(R.flatten_orders(spark, small)) == whole
+def test_one_document_per_order_whatever_the_splits(spark, small):
+    orders = spark.read.parquet(f"{small}/orders.parquet").count()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (before, "16k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            documents = X.order_documents(spark, small)
+            assert documents.count() == documents.select("order_id").distinct().count() == orders
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
