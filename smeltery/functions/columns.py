@@ -9,6 +9,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def quoted(name: str) -> str:
+    """The name as one part of a column path, whatever dots it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def normalize_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 

@@ -18,6 +18,13 @@ def _orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def total_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[str]:
+    """``order_by`` and then all remaining columns that have an order, keys left out."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    ranked = [c for c in order_by if c not in keys]
+    return ranked + [c for c in df.columns if c not in keys and c not in ranked and _orderable(types[c])]
+
+
 def pick_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), *,
                      latest: bool = False) -> DataFrame:
     """The lowest (or, with ``latest``, the highest) row of every key.
@@ -30,9 +37,7 @@ def pick_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     keys = list(keys)
     if not keys:
         raise ValueError("de-duplication needs at least one key column")
-    types = {f.name: f.dataType for f in df.schema.fields}
-    ranked = [c for c in order_by if c not in keys]
-    ranked += [c for c in df.columns if c not in keys and c not in ranked and _orderable(types[c])]
+    ranked = total_order(df, keys, order_by)
     if not ranked:
         return df.dropDuplicates(keys)
     direction = [F.col(c).desc_nulls_last() if latest else F.col(c).asc_nulls_first() for c in ranked]

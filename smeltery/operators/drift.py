@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from smeltery.functions.columns import quoted
+
 NEW, DROPPED, CHANGED = "new", "dropped", "type_changed"
 
 # Types that are stored one size up.
@@ -18,6 +20,12 @@ def widened(dtype: T.DataType) -> T.DataType:
     return WIDENED.get(dtype, dtype)
 
 
+def widen_types(df: DataFrame) -> DataFrame:
+    """The frame with small number types as they are stored."""
+    return df.select(*[F.col(quoted(f.name)).cast(widened(f.dataType)).alias(f.name) if f.dataType in WIDENED
+                       else F.col(quoted(f.name)) for f in df.schema.fields])
+
+
 def schema_types(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
 
@@ -98,7 +106,7 @@ def apply_drift(df: DataFrame, drift: Drift, *, keep_saved_types: bool = False,
         targets[name] = before if keep_saved_types else widened(now)
     present = {c.lower() for c in df.columns}
     out = [
-        F.col(c).try_cast(targets[c]).alias(c) if c in targets else F.col(c)
+        F.col(quoted(c)).try_cast(targets[c]).alias(c) if c in targets else F.col(quoted(c))
         for c in df.columns
     ]
     absent = {**drift.new_columns, **drift.dropped_columns}
@@ -125,7 +133,7 @@ def schema_rows(df: DataFrame) -> DataFrame:
     structs = [
         F.struct(
             F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"), F.count(f.name).alias("filled"),
+            F.lit(f.dataType.simpleString()).alias("data_type"), F.count(quoted(f.name)).alias("filled"),
         )
         for i, f in enumerate(df.schema.fields, 1)
     ]
@@ -143,9 +151,9 @@ def drift_report(df: DataFrame, drift: Drift) -> DataFrame:
     for column, kind, before, now in drift.entries():
         filled, lost = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
         if kind != DROPPED:
-            filled = F.count(column)
+            filled = F.count(quoted(column))
         if kind == CHANGED:
-            lost = F.count_if(F.col(column).isNotNull() & F.col(column).try_cast(before).isNull())
+            lost = F.count_if(F.col(quoted(column)).isNotNull() & F.col(quoted(column)).try_cast(before).isNull())
         structs.append(F.struct(
             F.lit(drift.table).alias("table_name"), F.lit(column).alias("column_name"),
             F.lit(kind).alias("kind"), F.lit(before).cast(text).alias("from_type"),

@@ -15,8 +15,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from smeltery.functions.columns import instant
-from smeltery.operators.dedupe import pick_one_per_key
+from smeltery.functions.columns import instant, quoted
+from smeltery.operators.dedupe import pick_one_per_key, total_order
 from smeltery.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS, BatchSize, fits_broadcast, measure
 
 ACTION = "_merge_action"
@@ -51,7 +51,7 @@ def _expr(value: str | Column) -> Column:
 
 
 def _same_key(keys: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys])
+    return reduce(and_, [F.col(f"target.{quoted(k)}") == F.col(f"source.{quoted(k)}") for k in keys])
 
 
 def require_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str], size: BatchSize | None = None) -> None:
@@ -126,7 +126,7 @@ def _merge_matched(target: DataFrame, source: DataFrame, keys: list[str], matche
     types = {f.name: f.dataType for f in target.schema.fields}
     out = []
     for name in target.columns:
-        value = F.col(f"target.{name}")
+        value = F.col(f"target.{quoted(name)}")
         for clause in matched:
             if name in clause.assign:
                 new = _expr(clause.assign[name]).cast(types[name])
@@ -177,7 +177,7 @@ def bootstrap_customers(df: DataFrame, as_of: dt.datetime | None = None) -> Data
 def changed(columns: Sequence[str], null_safe: bool) -> str:
     """Any column differs; the strict form is unknown, hence false, when a side is null."""
     test = "NOT (source.{0} <=> target.{0})" if null_safe else "source.{0} != target.{0}"
-    return " OR ".join(test.format(c) for c in columns)
+    return " OR ".join(test.format(quoted(c)) for c in columns)
 
 
 def merge_scd1(target: DataFrame, source: DataFrame, *, as_of: dt.datetime | None = None,
@@ -220,14 +220,20 @@ def merge_report(target: DataFrame, new_id_floor: int) -> DataFrame:
     )
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, newer_by: str | None = None,
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, newer_by: str | Sequence[str] | None = None,
            strategy: str = "auto", size: BatchSize | None = None) -> DataFrame:
     """Replace matched rows by the source row and add the others.
 
     With ``newer_by`` an older source row leaves the target as it is, so
-    replays and late batches do no harm.
+    replays and late batches do no harm. Rows compare in the order of
+    :func:`latest_by`, nulls being the oldest, so batches may come in any order.
     """
-    values = {c: f"source.`{c}`" for c in target.columns}
-    condition = f"target.{newer_by} IS NULL OR source.{newer_by} >= target.{newer_by}" if newer_by else None
+    values = {c: f"source.{quoted(c)}" for c in target.columns}
+    condition = None
+    if newer_by:
+        order = total_order(target, keys, [newer_by] if isinstance(newer_by, str) else newer_by)
+        side = "struct({})".format
+        condition = " >= ".join(side(", ".join(f"{s}.{quoted(c)} AS c{i}" for i, c in enumerate(order)))
+                                for s in ("source", "target"))
     return merge(target, source, keys, [Matched("update", condition, values)], Missing(values), strategy=strategy,
                  size=size)

@@ -9,6 +9,8 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from smeltery.functions.columns import quoted
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
 
@@ -37,9 +39,9 @@ def row_bytes(schema: T.StructType) -> Column:
     widths = []
     for field in schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            widths.append(F.lit(16) + F.coalesce(F.octet_length(field.name), F.lit(0)))
+            widths.append(F.lit(16) + F.coalesce(F.octet_length(quoted(field.name)), F.lit(0)))
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            text = F.to_json(F.struct(F.col(field.name)))
+            text = F.to_json(F.struct(F.col(quoted(field.name))))
             widths.append(F.lit(64) + 2 * F.coalesce(F.octet_length(text), F.lit(0)))
         else:
             widths.append(F.lit(16))

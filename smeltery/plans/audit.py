@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from smeltery.functions.columns import instant
-from smeltery.operators.drift import Drift, drift_report, repair_if_drifted
+from smeltery.operators.drift import Drift, drift_report, repair_if_drifted, widen_types
 from smeltery.operators.merge import ACTION
 from smeltery.plans.snapshot import Snapshots, publish_verified, read_if_exists
 from smeltery.plans.state import SavedSchemas
@@ -57,8 +57,9 @@ def snapshot_with_drift(df: DataFrame, table: str, name: str, root: str, *, keep
 
     The repaired frame is what gets published, and its schema is saved after
     the publication, so the next run compares with what readers really see.
+    Small number types are widened first, in every run alike.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, widen_types(df)
     saved = SavedSchemas(spark, f"{root}/schemas", table)
     known = saved.get()
     drift = Drift(table, known if known is not None else df.schema, df.schema)

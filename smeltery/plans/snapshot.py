@@ -178,6 +178,11 @@ class Snapshots:
             gone += delete_folder(self.spark, line["folder"])
         return gone
 
+    def latest_metric(self, name: str) -> int | None:
+        """The largest value published under ``name`` so far."""
+        log = self._log()
+        return None if log is None else log.agg(F.max(F.col("metrics")[name])).first()[0]
+
     def history(self, n: int) -> DataFrame:
         """The last ``n`` publications, newest first."""
         log = self._log()

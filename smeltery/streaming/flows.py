@@ -14,6 +14,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from smeltery.operators.merge import latest_by, upsert
 from smeltery.plans.snapshot import Snapshots
 
+#: Where a micro-batch finds the id that its checkpoint keeps.
+STREAM_ID = "sql.streaming.queryId"
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 DISK_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -56,17 +58,20 @@ def upsert_stream(stream: DataFrame, sink: Snapshots, checkpoint: str, keys: Seq
     """Merge every micro-batch into the sink.
 
     A batch is reduced to its newest row per key, and an older row never
-    replaces a newer one, so the result does not depend on file order.  The
-    batch number is published with the data; a batch that was published before
-    a crash is skipped when the checkpoint replays it.
+    replaces a newer one, both in one total order, so the result does not
+    depend on file order.  The batch number is published with the data under
+    the id its checkpoint gives the stream; a batch published before a crash is
+    skipped when that checkpoint replays it.  Other streams into the same sink
+    and new checkpoints count their batches anew.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = sink.history(1).select(F.col("metrics")["batch_id"].alias("id")).first()
-        if done is not None and done["id"] is not None and done["id"] >= batch_id:
+        number = f"batch of {batch.sparkSession.sparkContext.getLocalProperty(STREAM_ID)}"
+        done = sink.latest_metric(number)
+        if done is not None and done >= batch_id:
             return
         newest = latest_by(batch, keys, sequence)
-        merged = upsert(sink.read(), newest, keys, newer_by=sequence[0]) if sink.exists() else newest
-        sink.publish(merged, "STREAM_MERGE", metrics={"batch_id": batch_id})
+        merged = upsert(sink.read(), newest, keys, newer_by=sequence) if sink.exists() else newest
+        sink.publish(merged, "STREAM_MERGE", metrics={number: batch_id})
 
     writer = stream.writeStream.outputMode("update").foreachBatch(apply)
     return batches_run(drain(writer.option("checkpointLocation", checkpoint)))

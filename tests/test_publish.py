@@ -184,6 +184,23 @@ def test_snapshot_repairs_before_it_publishes(spark, folder):
     assert dict(rows(repeated))["price"] == 2
 
 
+def test_a_widened_column_is_no_drift_later(spark, folder):
+    known_as = name()
+    small = spark.createDataFrame([(1, 2, 1.5)], "k int, `a.b` smallint, f float")
+    for _ in range(3):
+        audit.snapshot_with_drift(small, "t", known_as, folder)
+    assert audit.drift_log(spark, f"{folder}/drift_log").count() == 0
+    assert [f.dataType.simpleString() for f in spark.table(known_as).schema] == ["int", "int", "double"]
+
+
+def test_columns_with_dots_can_drift(spark):
+    old, new = (spark.createDataFrame([(1, "2")], f"k int, `a.b` {t}") for t in ("string", "string"))
+    new = new.withColumn("c.d", F.lit(1))
+    found = D.detect_drift("t", old.schema, new.withColumn("k", F.lit("x")))
+    assert D.apply_drift(new.withColumn("k", F.lit("x")), found, stamp=False).columns == ["k", "a.b", "c.d"]
+    assert D.drift_report(new.withColumn("k", F.lit("x")), found).count() == 2
+
+
 def test_configured_tables_are_snapshotted_and_verified(spark, folder):
     names = {"a": name(), "b": name()}
     done = audit.snapshot_all({"a": frame(spark, 1, 2), "b": spark.range(3)}, folder, names)

@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 from conftest import rows
@@ -44,14 +45,41 @@ def test_upsert_does_not_depend_on_file_order(spark, folder):
     assert rows(sink.read(), "k", "seq") == [(1, 9), (2, 5), (3, 1)]
 
 
+def test_a_lost_checkpoint_changes_nothing(spark, folder):
+    put(spark, f"{folder}/in", (1, 1), (2, 7))
+    sink = S.Snapshots(spark, f"{folder}/out")
+    for checkpoint in ("ck", "lost"):
+        flows.upsert_stream(stream(spark, folder), sink, f"{folder}/{checkpoint}", ["k"], ["seq"])
+        assert rows(sink.read(), "k", "seq") == [(1, 1), (2, 7)]
+
+
 def test_replayed_batches_are_skipped(spark, folder):
     put(spark, f"{folder}/in", (1, 1))
     sink = S.Snapshots(spark, f"{folder}/out")
     flows.upsert_stream(stream(spark, folder), sink, f"{folder}/ck", ["k"], ["seq"])
-    flows.upsert_stream(stream(spark, folder), sink, f"{folder}/lost-checkpoint", ["k"], ["seq"])
+    shutil.rmtree(f"{folder}/ck/commits")
+    flows.upsert_stream(stream(spark, folder), sink, f"{folder}/ck", ["k"], ["seq"])
     assert sink.history(5).count() == 1
 
 
+def test_a_second_source_keeps_its_batches(spark, folder):
+    sink = S.Snapshots(spark, f"{folder}/out")
+    for source, k in (("a", 1), ("b", 2)):
+        put(spark, f"{folder}/{source}/in", (k, 1))
+        flows.upsert_stream(stream(spark, f"{folder}/{source}"), sink, f"{folder}/{source}/ck", ["k"], ["seq"])
+    assert rows(sink.read(), "k", "seq") == [(1, 1), (2, 1)]
+
+
+@pytest.mark.parametrize("order", [(0, 1), (1, 0)])
+def test_ties_on_the_first_column_follow_the_whole_sequence(spark, folder, order):
+    for i in order:
+        spark.createDataFrame([(1, 5, (10, 3)[i])], "k int, a int, b int").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    sink = S.Snapshots(spark, f"{folder}/out")
+    source = flows.stream_files(spark, f"{folder}/in", "k int, a int, b int", files_per_trigger=1)
+    assert flows.upsert_stream(source, sink, f"{folder}/ck", ["k"], ["a", "b"]) == 2
+    assert rows(sink.read(), "b") == [(10,)]
+
+
 @pytest.mark.parametrize("splits", [1, 4])
 def test_repeats_are_dropped_across_runs(spark, folder, splits):
     def run():
