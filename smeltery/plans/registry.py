@@ -722,10 +722,13 @@ def stream_file_ingest(spark, sf):
     return readers.read_files(spark, f"{folder}/silver")
 
 
-@query("""
+NEWEST_ORDERS = """
 SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_totalprice, o_orderpriority FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, o_orderstatus DESC,
-  o_totalprice DESC, o_orderpriority DESC) = 1""")
+  o_totalprice DESC, o_orderpriority DESC) = 1"""
+
+
+@query(NEWEST_ORDERS)
 def stream_upsert(spark, sf):
     """Newest order per customer, kept by a merge in every micro-batch."""
     folder = new_folder(spark, "stream-upsert")
@@ -735,6 +738,19 @@ def stream_upsert(spark, sf):
     return sink.read()
 
 
+@query(NEWEST_ORDERS)
+def stream_upsert_two_sources(spark, sf):
+    """The same from two sources of several files each, a file in every micro-batch."""
+    folder = new_folder(spark, "stream-sources")
+    orders = X.table(spark, sf, "orders")
+    sink = snapshot.Snapshots(spark, f"{folder}/silver")
+    for i, part in enumerate(("o_orderkey % 3 = 0", "o_orderkey % 3 <> 0")):
+        orders.where(part).repartition(2, "o_orderkey").write.parquet(f"{folder}/in{i}")
+        files = flows.stream_files(spark, f"{folder}/in{i}", orders.schema, files_per_trigger=1)
+        flows.upsert_stream(files, sink, f"{folder}/checkpoint{i}", ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return sink.read()
+
+
 @query("SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_dedupe(spark, sf):
     """Every file arrives twice; each event stays once."""
