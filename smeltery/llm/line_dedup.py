@@ -7,6 +7,8 @@ and place; others probe them with the substrings that could have moved there.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from smeltery.llm.common import components, lower_ascii, stored, whole_text
@@ -14,6 +16,8 @@ from smeltery.llm.common import components, lower_ascii, stored, whole_text
 EDITS = 2
 #: Shorter lines are compared for equality only: a few edits would turn one into another.
 SHORTEST = 30
+#: Letters whose counts rule out pairs: an edit changes two counts by one at most. Eight counts modulo 256 share a number.
+TALLIED = ("eanirtos", "ludcmpgh")
 
 
 def lines_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -57,17 +61,36 @@ def _probes(line: Column, n: Column, edits: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*out)))
 
 
+def _tally(line: Column, n: Column, letters: str) -> Column:
+    counts = [F.shiftleft((n - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long").bitwiseAND(255), 8 * i)
+              for i, c in enumerate(letters)]
+    return reduce(Column.bitwiseOR, counts)
+
+
+def _apart(x: Column, y: Column) -> Column:
+    """Sum of the differences of eight counts, at least what edits have to make up."""
+    count = lambda z, i: F.shiftrightunsigned(z, 8 * i).bitwiseAND(255)
+    steps = [F.abs(count(x, i) - count(y, i)) for i in range(8)]
+    return reduce(Column.__add__, [F.least(d, 256 - d) for d in steps])
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Links ``(a, b)`` between ``lines(line_id, line, n)`` at most ``edits`` edits apart, each once.
 
+    Pairs whose letter counts are too far apart are left out as they are found,
+    so lines that share a long passage and little else make few pairs.
     Verified by Spark's edit distance with a threshold, which fills only the
     band of cells within reach of it.
     """
-    longs = lines.where(f"n >= {SHORTEST}")
-    index = longs.select("line_id", "n", F.explode(_marks(F.col("line"), F.col("n"), edits)).alias("mark"))
-    probe = longs.select(F.col("line_id").alias("other"), F.col("n").alias("m"),
+    longs = lines.where(f"n >= {SHORTEST}").withColumns(
+        {f"t{i}": _tally(F.col("line"), F.col("n"), letters) for i, letters in enumerate(TALLIED)})
+    tallies = [f"t{i}" for i in range(len(TALLIED))]
+    index = longs.select("line_id", "n", *tallies, F.explode(_marks(F.col("line"), F.col("n"), edits)).alias("mark"))
+    probe = longs.select(F.col("line_id").alias("other"), F.col("n").alias("m"), *[F.col(t).alias(f"u{t}") for t in tallies],
                          F.explode(_probes(F.col("line"), F.col("n"), edits)).alias("mark"))
+    room = reduce(Column.__add__, [_apart(F.col(t), F.col(f"u{t}")) for t in tallies]) <= 2 * edits
     pairs = (index.join(probe, "mark").where(f"line_id <> other AND m >= n AND m - n <= {edits} AND (m > n OR line_id < other)")
+             .where(room)
              .select(F.col("line_id").alias("a"), F.col("other").alias("b")).distinct())
     pairs = stored(pairs, "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-wanted")
