@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from smeltery.llm.common import stored
+
 TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: how byte-level BPE vocabularies of this family cut a text before merging.
 PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -92,9 +94,10 @@ class TokenRollup:
             return False
         seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
         value = F.struct(seq.alias("seq"), "op", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), "source", "lang")
-        last = (changes.where("doc_id IS NOT NULL AND tokenizer IS NOT NULL")
-                .groupBy(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer").agg(F.max(value).alias("v"))
-                .select("doc_id", "tokenizer", "v.*"))
+        # written once: both sides below read it, and the counts come from whole texts
+        last = stored(changes.where("doc_id IS NOT NULL AND tokenizer IS NOT NULL")
+                      .groupBy(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer").agg(F.max(value).alias("v"))
+                      .select("doc_id", "tokenizer", "v.*"), "token-changes")
         gone = self.documents().join(last.select(*KEY), list(KEY), "left_semi").select(
             "doc_id", "tokenizer", "source", "lang", F.lit(-1).cast("long").alias("docs"), (-F.col("tokens")).alias("tokens"))
         come = last.where("op IN ('insert', 'revise')").select(
