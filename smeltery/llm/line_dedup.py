@@ -74,13 +74,46 @@ def _apart(x: Column, y: Column) -> Column:
     return reduce(Column.__add__, [F.least(d, 256 - d) for d in steps])
 
 
+def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
+    """Whether ``a`` and ``b`` are at most ``edits`` edits apart, by a banded bit-parallel automaton.
+
+    Word e of the state has a bit for each diagonal of the band: after j
+    characters of ``b``, bit d tells whether the first j + d - edits characters
+    of ``a`` are at most e edits from them. One character of ``b`` moves all
+    diagonals at once, so a pair costs one step per character.
+    """
+    band = (1 << 2 * edits + 1) - 1
+
+    def same(a: Column, c: Column, j: Column) -> Column:
+        return reduce(Column.bitwiseOR, [F.when(F.get(a, j + F.lit(d - edits)) == c, F.lit(1 << d)).otherwise(F.lit(0))
+                                         for d in range(2 * edits + 1)])
+
+    def step(words: Column, equal: Column) -> Column:
+        out = [words["w0"].bitwiseAND(equal)]
+        for e in range(1, edits + 1):
+            less = words[f"w{e - 1}"]
+            moved = reduce(Column.bitwiseOR, [less, F.shiftright(less, 1), F.shiftleft(out[-1], 1)])
+            out.append(words[f"w{e}"].bitwiseAND(equal).bitwiseOR(moved).bitwiseAND(F.lit(band)))
+        return F.struct(*[w.alias(f"w{e}") for e, w in enumerate(out)])
+
+    def fits(pair: Column) -> Column:
+        start = F.struct(*[F.lit(((1 << e + 1) - 1) << edits).alias(f"w{e}") for e in range(edits + 1)])
+        last = F.size(pair["a"]) - F.size(pair["b"]) + F.lit(edits)
+        masks = F.transform(pair["b"], lambda c, j: same(pair["a"], c, j))
+        end = lambda words: F.when(last.between(0, 2 * edits), F.getbit(words[f"w{edits}"], last)) == 1
+        return F.aggregate(masks, start, step, end)
+
+    # the pair is a lambda variable, so each line is split into characters once
+    pair = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
+    return F.coalesce(F.transform(F.array(pair), fits)[0], F.lit(False))  # null: too far apart in length
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Links ``(a, b)`` between ``lines(line_id, line, n)`` at most ``edits`` edits apart, each once.
 
     Pairs whose letter counts are too far apart are left out as they are found,
     so lines that share a long passage and little else make few pairs.
-    Verified by Spark's edit distance with a threshold, which fills only the
-    band of cells within reach of it.
+    Verified exactly on whole lines by ``within_edits``.
     """
     longs = lines.where(f"n >= {SHORTEST}").withColumns(
         {f"t{i}": _tally(F.col("line"), F.col("n"), letters) for i, letters in enumerate(TALLIED)})
@@ -97,7 +130,7 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     some = stored(lines.select("line_id", "line").join(wanted, "line_id", "left_semi"), "line-texts")
     text = lambda c: some.select(F.col("line_id").alias(c), F.col("line").alias(f"{c}_line"))
     return (pairs.join(text("a"), "a").join(text("b"), "b")
-            .where(F.levenshtein("a_line", "b_line", edits) >= 0).select("a", "b"))
+            .where(within_edits(F.col("a_line"), F.col("b_line"), edits)).select("a", "b"))
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from smeltery.llm import (
     common, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, token_rollup, toxicity, url_filter, warc,
@@ -252,6 +253,23 @@ def test_near_lines_equal_brute_force(spark):
     assert sorted(map(tuple, line_dedup.near_lines(table).collect())) == sorted(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+def test_band_equals_edit_distance(spark, edits):
+    rng = random.Random(11 + edits)
+    rows = [("", ""), ("", "ab"), ("abc", ""), ("\u00e9\U0001f600x", "\U0001f600x"), ("a" * 300, "a" * 302), (None, "a")]
+    for _ in range(400):
+        a = "".join(rng.choice("abc\u00e9\U0001f600") for _ in range(rng.randrange(0, 14)))
+        b = list(a)
+        for _ in range(rng.randrange(0, 6)):
+            at = rng.randrange(0, len(b) + 1)
+            b[at:at + rng.randrange(0, 2)] = rng.choice(["", "a", "b", "\u00e9"])
+        rows.append((a, "".join(b)))
+    table = spark.createDataFrame(rows, "a string, b string")
+    wrong = table.where(line_dedup.within_edits(F.col("a"), F.col("b"), edits)
+                        != F.coalesce(F.levenshtein("a", "b") <= edits, F.lit(False)))
+    assert wrong.count() == 0
+
+
 def test_rollup_is_additive_and_idempotent(spark, folder):
     rollup = token_rollup.TokenRollup(spark, folder)
     shape = "doc_id long, tokenizer string, op string, source string, lang string, tokens long, text string"
