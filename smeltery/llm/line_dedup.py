@@ -67,6 +67,11 @@ def _tally(line: Column, n: Column, letters: str) -> Column:
     return reduce(Column.bitwiseOR, counts)
 
 
+def tallied(lines: DataFrame) -> DataFrame:
+    """``lines(line, n)`` with their letter counts, which both sides of the join read."""
+    return lines.withColumns({f"t{i}": _tally(F.col("line"), F.col("n"), letters) for i, letters in enumerate(TALLIED)})
+
+
 def _apart(x: Column, y: Column) -> Column:
     """Sum of the differences of eight counts, at least what edits have to make up."""
     count = lambda z, i: F.shiftrightunsigned(z, 8 * i).bitwiseAND(255)
@@ -109,15 +114,14 @@ def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Links ``(a, b)`` between ``lines(line_id, line, n)`` at most ``edits`` edits apart, each once.
+    """Links ``(a, b)`` between ``lines(line_id, line, n)``, ``tallied`` or not, at most ``edits`` edits apart, each once.
 
     Pairs whose letter counts are too far apart are left out as they are found,
     so lines that share a long passage and little else make few pairs.
     Verified exactly on whole lines by ``within_edits``.
     """
-    longs = lines.where(f"n >= {SHORTEST}").withColumns(
-        {f"t{i}": _tally(F.col("line"), F.col("n"), letters) for i, letters in enumerate(TALLIED)})
     tallies = [f"t{i}" for i in range(len(TALLIED))]
+    longs = (lines if {*tallies} <= {*lines.columns} else tallied(lines)).where(f"n >= {SHORTEST}")
     index = longs.select("line_id", "n", *tallies, F.explode(_marks(F.col("line"), F.col("n"), edits)).alias("mark"))
     probe = longs.select(F.col("line_id").alias("other"), F.col("n").alias("m"), *[F.col(t).alias(f"u{t}") for t in tallies],
                          F.explode(_probes(F.col("line"), F.col("n"), edits)).alias("mark"))
@@ -144,8 +148,8 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     """
     lines = lines_of(docs, key, text)
     firsts = lines.where("line <> ''").groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("first"))
-    known = stored(firsts.select(F.monotonically_increasing_id().alias("line_id"), "line",
-                                 F.length("line").alias("n"), "first"), "lines")
+    known = stored(tallied(firsts.select(F.monotonically_increasing_id().alias("line_id"), "line",
+                                         F.length("line").alias("n"), "first")), "lines")
     links = stored(near_lines(known, edits), "line-links")
     label = components(links, "line-components").withColumnRenamed("id", "line_id")
     classes = known.select("line_id", "first", F.xxhash64("line").alias("mark"), F.md5("line").alias("digest")).join(
