@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from smeltery.llm import (
     common, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, token_rollup, toxicity, url_filter, warc,
 )
-from smeltery.llm.shingles import shingle_sets
+from smeltery.llm.shingles import batches, shingle_sets
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, label string, rule string, mark long"
 
@@ -86,6 +86,16 @@ def test_shingles_hash_whole_words():
     assert (a == b).all() and len(a) == 2 and len(c) == 1 and len(d) == 0
 
 
+def test_short_texts_alone_in_a_batch(spark):
+    for text in (b"", b"one", b"one two", b"one two three", b"a b c d"):
+        alone, among = shingle_sets([text])[0], shingle_sets([b"a long text of many words", text])[1]
+        assert alone.tolist() == among.tolist() and len(alone) == bool(text)
+    long = "word " * 450_000
+    runs = [shingle_sets(run) for _, run in batches([long, "one two", long, "one two three"])]
+    assert [len(x) for run in runs for x in run] == [1, 1, 1, 1] and len(runs) == 4
+    assert [tuple(r)[:3] for r in jaccard_join.jaccard_components(docs(spark, "one two")).collect()] == [(0, 1, 0)]
+
+
 def test_exact_duplicates(spark):
     got = exact_dedup.exact_duplicates(docs(spark, "Abc", "aBC", None, "", "É", "é", "x" * 9000))
     rows = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in got.collect()}
