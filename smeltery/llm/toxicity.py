@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms that tell the labels apart span the space. The index keeps, for each term,
-its weight in blocks of examples and the largest weight of each block; a query
+Every term of the examples spans the space, weighted by its idf and by how far it
+tells the labels apart. The index keeps, for each term, its weight in the
+examples that hold it and the largest weight of each block of examples; a query
 visits blocks in the order of their bound and stops when no block can hold a
 nearer example. Neighbours vote by closeness and the votes are calibrated on the
 examples themselves, each left out in turn.
@@ -20,74 +21,118 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Bound of the fit: at most so many labelled examples of each label, the first in a seeded order.
 EXAMPLES = 2000
-TERMS = 256
-#: A term is kept if its chi-square reaches this share of the best one.
-KEEN = 0.2
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks looked at together.
+ROUND = 16
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def term_counts(text: str | None, wanted: frozenset | None = None) -> dict[str, int]:
     """Lower-case letter runs of the whole text; only ``wanted`` ones if given."""
-    words = _WORD.findall((text or "").lower())
-    if wanted is None:
-        return Counter(words)
-    both = wanted.intersection(words)
-    return {t: words.count(t) for t in both} if len(both) < 4 else {t: n for t, n in Counter(words).items() if t in both}
+    words = Counter(_WORD.findall((text or "").lower()))
+    return words if wanted is None else {t: n for t, n in words.items() if t in wanted}
+
+
+def _runs(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [start, end), one range after the other."""
+    long = ends - starts
+    return np.repeat(starts - np.cumsum(long) + long, long) + np.arange(long.sum())
+
+
+@dataclass
+class Postings:
+    """Weights sorted by term and place; an entry stands for the places of one term in one block."""
+
+    first: np.ndarray  # entry of each term, and the end
+    block: np.ndarray  # of the entry
+    top: np.ndarray  # largest weight of the entry
+    start: np.ndarray  # of the entry among the weights, and the end
+    spot: np.ndarray  # place of the weight
+    weight: np.ndarray
+    blocks: int
+
+    @classmethod
+    def build(cls, terms: int, blocks: int, rows: list[tuple[np.ndarray, np.ndarray]]) -> Postings:
+        term = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in rows)])
+        spot = np.repeat(np.arange(len(rows)), [len(at) for at, _ in rows])
+        weight = np.concatenate([np.zeros(0), *(w for _, w in rows)])
+        order = np.lexsort((spot, term))
+        term, spot, weight = term[order], spot[order], weight[order]
+        entry = term * blocks + spot // BLOCK
+        start = np.flatnonzero(np.diff(entry, prepend=-1))
+        top = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
+        first = np.searchsorted(term[start], np.arange(terms + 1))
+        return cls(first, spot[start] // BLOCK, top, np.append(start, len(term)), spot, weight, blocks)
+
+    def __getitem__(self, at) -> np.ndarray:
+        """Dense weights by term, block and example in the block."""
+        out = np.zeros((len(at), self.blocks * BLOCK))
+        for row, t in zip(out, at, strict=True):
+            here = slice(self.start[self.first[t]], self.start[self.first[t + 1]])
+            row[self.spot[here]] = self.weight[here]
+        return out.reshape(len(at), self.blocks, BLOCK)
 
 
 @dataclass
 class Index:
-    """Unit vectors of the examples as weights by term and block, with the maxima of the blocks."""
+    """Unit vectors of the examples as postings, with the maxima of the blocks."""
 
     place: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # times the weight of the term
     ids: np.ndarray
     labels: np.ndarray
-    tiles: np.ndarray  # term, block, example in block
-    tops: np.ndarray  # term, block
+    tiles: Postings
     steps: tuple[np.ndarray, np.ndarray] = (np.zeros(0), np.zeros(0))
     empty: float = 0.0
 
     @classmethod
     def build(cls, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, dict[str, int]]]) -> Index:
         place = {t: i for i, t in enumerate(terms)}
-        index = cls(place, idf, np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0))
-        rows = [(i, y, *index.vector(c)) for i, y, c in examples]
+        index = cls(place, idf, np.zeros(0), np.zeros(0), None)
+        rows = [(i, y, *index.vector(c), max(c, key=lambda t: (c[t], t), default="")) for i, y, c in examples]
         rows = [r for r in rows if len(r[2])]
-        rows.sort(key=lambda r: (r[2][np.argmax(r[3])], r[1], r[0]))  # alike examples share blocks
+        rows.sort(key=lambda r: (r[4], r[1], r[0]))  # the word used most: examples of a language share blocks
         blocks = max(1, -(-len(rows) // BLOCK))
-        index.tiles = np.zeros((len(terms), blocks, BLOCK), np.float64)
+        index.tiles = Postings.build(len(terms), blocks, [r[2:4] for r in rows])
         index.ids, index.labels = np.full(blocks * BLOCK, -1, np.int64), np.zeros(blocks * BLOCK)
-        for n, (i, y, at, weight) in enumerate(rows):
-            index.tiles[at, n // BLOCK, n % BLOCK] = weight
-            index.ids[n], index.labels[n] = i, y
-        index.tops = index.tiles.max(axis=2)
+        index.ids[:len(rows)], index.labels[:len(rows)] = [r[0] for r in rows], [r[1] for r in rows]
         return index
 
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array(sorted(self.place[t] for t in counts if t in self.place), np.int64)
+        known = [self.place.get(t, -1) for t in counts]
+        at, times = np.array(known, np.int64), np.fromiter(counts.values(), np.float64, len(counts))
+        order = np.argsort(at)[known.count(-1):]
+        at = at[order]
         if not len(at):
             return at, np.zeros(0)
-        by = {self.place[t]: n for t, n in counts.items() if t in self.place}
-        weight = np.array([1 + np.log(by[i]) for i in at]) * self.idf[at]
+        weight = (1 + np.log(times[order])) * self.idf[at]
         return at, weight / np.linalg.norm(weight)
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, exactly; ties go to the smaller place."""
-        bound = weight @ self.tops[at]
-        near, close = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(close) == k and bound[b] < close[-1] - 1e-12:
+        index, near, close = self.tiles, np.zeros(0, np.int64), np.zeros(0)
+        entry = _runs(index.first[at], index.first[at + 1])
+        mine = np.repeat(weight, index.first[at + 1] - index.first[at])
+        block = index.block[entry]
+        bound = np.bincount(block, mine * index.top[entry], index.blocks)
+        order = np.argsort(-bound, kind="stable")
+        for first in range(0, index.blocks, ROUND):
+            if bound[order[first]] <= 0 or len(close) == k and bound[order[first]] < close[-1] - 1e-12:
                 break
-            cosine = weight @ self.tiles[at, b]
-            here = np.flatnonzero(cosine > 0)
-            here = here[self.ids[b * BLOCK + here] != skip] if skip is not None else here
-            near, close = np.concatenate([near, b * BLOCK + here]), np.concatenate([close, cosine[here]])
-            order = np.lexsort((near, -np.round(close, 12)))[:k]
-            near, close = near[order], close[order]
+            some = np.zeros(index.blocks, bool)
+            some[order[first:first + ROUND]] = True
+            used = some[block]
+            start, end = index.start[entry[used]], index.start[entry[used] + 1]
+            post = _runs(start, end)
+            cosine = np.bincount(index.spot[post], index.weight[post] * np.repeat(mine[used], end - start), len(self.ids))
+            least = close[-1] - 1e-11 if len(close) == k else 0
+            here = np.flatnonzero((cosine > 0) & (cosine >= least))
+            here = here[self.ids[here] != skip] if skip is not None else here
+            near, close = np.concatenate([near, here]), np.concatenate([close, cosine[here]])
+            best = np.lexsort((near, -np.round(close, 12)))[:k]
+            near, close = near[best], close[best]
         return near, close
 
     def vote(self, at, weight, skip=None) -> tuple[float, np.ndarray]:
@@ -115,20 +160,22 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def _counted(wanted: frozenset | None):
-    def count(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            ids, labels, terms, times = [], [], [], []
-            for i, y, text in zip(batch["doc_id"], batch["toxic"], batch["text"], strict=True):
-                found = term_counts(text, wanted)
-                ids += [i] * len(found)
-                labels += [y] * len(found)
-                terms += found.keys()
-                times += found.values()
-            if ids:
-                yield pd.DataFrame({"doc_id": ids, "toxic": labels, "term": terms, "n": times})
+def _counted(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per example its terms, with one space between, and how often it holds each."""
+    for batch in rows:
+        found = [term_counts(text) for text in batch["text"]]
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [" ".join(c) for c in found],
+                            "times": [np.array([*c.values()], np.int64).tobytes() for c in found]})
 
-    return count
+
+def told_apart(held: np.ndarray, toxic: np.ndarray, n: int, pos: int) -> np.ndarray:
+    """Weight of terms that ``held`` of n examples have, ``toxic`` of them toxic: root of chi-square against the label, plus one.
+
+    No term is left out: one that tells nothing weighs 1.
+    """
+    cross = n * toxic - held * pos
+    spare = float(pos) * (n - pos) * held * (n - held)
+    return np.sqrt(1 + np.divide(n * cross * cross, spare, out=np.zeros(len(held)), where=spare > 0))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
@@ -150,32 +197,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
     sizes = dict(chosen.groupBy("toxic").count().collect())
     if len(sizes) < 2:
         return None
-    shape = "doc_id long, toxic int, term string, n long"
-    per_term = chosen.mapInPandas(_counted(None), shape).groupBy("term").agg(
-        F.sum("toxic").alias("p"), F.count("*").alias("df"))
     n, pos = sum(sizes.values()), sizes[1]
-    # chi-square of the term against the label
-    p, df = F.col("p"), F.col("df")
-    cross = p * (n - pos - df + p) - (df - p) * (pos - p)
-    keen = per_term.where((df >= 3) & (df < n)).select("term", (n * cross * cross / (
-        F.lit(float(pos)) * (n - pos) * df * (n - df))).alias("chi")).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
-    terms = sorted(r["term"] for r in keen if r["chi"] is not None and r["chi"] >= KEEN * keen[0]["chi"] > 0)
-    wanted = frozenset(terms)
-    counts: dict = {(r["doc_id"], r["toxic"]): {} for r in chosen.select("doc_id", "toxic").collect()}
-    for r in chosen.mapInPandas(_counted(wanted), shape).collect():
-        counts[r["doc_id"], r["toxic"]][r["term"]] = r["n"]
+    counts = {(r.doc_id, r.toxic): dict(zip(r.terms.split(" "), np.frombuffer(r.times, np.int64).tolist())) if r.terms else {}
+              for r in chosen.select("doc_id", "toxic", "text").mapInPandas(
+                  _counted, "doc_id long, toxic int, terms string, times binary").toPandas().itertuples()}
     chosen.unpersist()
+    held, toxic = Counter(), Counter()
+    for (_, y), c in counts.items():
+        held.update(c.keys())
+        toxic.update(c.keys() if y else ())
+    terms = sorted(held)
+    wanted = frozenset(terms)
 
     def spread(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = Counter(), 0
+        total, seen = Counter(), 0
         for batch in rows:
-            n += len(batch)
+            seen += len(batch)
             for text in batch["text"]:
                 total.update(wanted.intersection(_WORD.findall((text or "").lower())))
-        yield pd.DataFrame({"term": [*total, None], "n": [*total.values(), n]})
+        yield pd.DataFrame({"term": [*total, None], "n": [*total.values(), seen]})
 
     seen = dict(docs.select("text").mapInPandas(spread, "term string, n long").groupBy("term").agg(F.sum("n")).collect())
     idf = np.array([np.log((1 + seen[None]) / (1 + seen.get(t, 0))) + 1 for t in terms])
+    idf *= told_apart(np.array([held[t] for t in terms], float), np.array([toxic[t] for t in terms], float), n, pos)
     examples = sorted((i, y, c) for (i, y), c in counts.items())
     index = Index.build(terms, idf, examples)
     weight = {y: totals[y] / sizes[y] for y in sizes}
@@ -193,7 +237,7 @@ def score_texts(docs: DataFrame, index: Index | None) -> DataFrame:
     """``(doc_id, held_out, score, predicted, evidence)`` for every row of ``docs``.
 
     ``score`` depends on the text alone. A null or empty text, or one without
-    any kept term, has the rate of such examples. Without an index the score is
+    any term of the examples, has the rate of such examples. Without an index the score is
     0. ``evidence`` lists the nearest examples by doc_id. A null doc_id is held
     out as the text ``null`` would be: never, as it has no remainder.
     """
@@ -201,11 +245,10 @@ def score_texts(docs: DataFrame, index: Index | None) -> DataFrame:
 
     def score(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
-        wanted = frozenset(index.place) if index else frozenset()
         for batch in rows:
             scores, evidence = [], []
             for text in batch["text"]:
-                vote, near = (-1.0, []) if index is None else index.vote(*index.vector(term_counts(text, wanted)))
+                vote, near = (-1.0, []) if index is None else index.vote(*index.vector(term_counts(text)))
                 scores.append(0.0 if index is None else index.score(vote))
                 evidence.append(",".join(str(index.ids[i]) for i in near[:5]) if index else "")
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": scores,
@@ -222,9 +265,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
-        wanted = frozenset(index.place) if index else frozenset()
         for batch in rows:
-            kept = batch[[index is None or index.score(index.vote(*index.vector(term_counts(t, wanted)))[0]) < THRESHOLD
+            kept = batch[[index is None or index.score(index.vote(*index.vector(term_counts(t)))[0]) < THRESHOLD
                           for t in batch["text"]]]
             if len(kept):
                 yield kept

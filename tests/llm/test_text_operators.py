@@ -211,6 +211,20 @@ def test_toxicity(spark):
     assert toxicity.fit(docs(spark, *texts), labels.limit(0)) is None
 
 
+def test_toxicity_uses_weak_terms(spark):
+    rng = random.Random(6)
+    rude = ["oaf", "twit", "dolt", "lout", "boor", "yob", "git", "prat"]
+    toxic = {i: " you IDIOT" if i % 8 == 0 else f" you {rude[i // 8 % 8]}" for i in range(0, 480, 4)}
+    texts = [words(rng, 30) + toxic.get(i, "") for i in range(480)]
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(480)], "doc_id long, toxic int")
+    index = toxicity.fit(docs(spark, *texts), labels)
+    assert {*rude, "idiot", "alpha"} <= index.place.keys() and (index.idf > 0).all()
+    got = toxicity.score_texts(docs(spark, *texts), index).where("held_out").toPandas().set_index("doc_id").score
+    weak = [i for i in got.index if i % 8 == 4]
+    clean = [i for i in got.index if i % 4]
+    assert len(weak) > 9 and got[weak].mean() > got[clean].mean() + 0.3
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(4)
     terms = [f"t{i}" for i in range(40)]
