@@ -1,9 +1,10 @@
 """Benchmark decontamination by template windows, in DataFrame functions only.
 
 Numbers, names and units become typed placeholders, so a question asked again
-with other parameters has the same template. Windows of template tokens are
-hash-joined with those of the benchmark; an aligned run of windows counts only
-if every parameter was replaced consistently.
+with other parameters has the same template. Windows of template tokens, and windows
+of the plain tokens in lower case, are hash-joined with those of the benchmark;
+an aligned run of windows counts only if every parameter was replaced
+consistently.
 """
 
 from __future__ import annotations
@@ -47,17 +48,25 @@ def windows_of(template: Column, width: int = WINDOW) -> Column:
 
 
 def _opened(df: DataFrame, key: str, text: str, name: str, width: int) -> DataFrame:
-    raw = df.select(F.col(key).alias(name), tokens_text(whole_text(text)).alias("tokens"))
-    return raw.select(name, "tokens", F.posexplode(windows_of(template_text(F.col("tokens")), width)).alias("at", "window"))
+    """``(name, tokens, at, window)``: the plain windows, and the template windows where they differ. Tokens are in lower case."""
+    raw = df.select(F.col(key).alias(name), tokens_text(whole_text(text)).alias("raw"))
+    texts = raw.select(name, F.lower("raw").alias("tokens"), template_text(F.col("raw")).alias("template"))
+    both = F.arrays_zip(windows_of(F.col("tokens"), width).alias("plain"), windows_of(F.col("template"), width).alias("moved"))
+    rows = texts.select(name, "tokens", F.posexplode(both).alias("at", "w"))
+    kinds = F.when(F.col("w.plain") == F.col("w.moved"), F.array("w.plain")).otherwise(F.array("w.plain", "w.moved"))
+    return rows.select(name, "tokens", "at", F.explode(kinds).alias("window"))
 
 
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text", width: int = WINDOW) -> DataFrame:
-    """``(item, item_at, window, item_tokens, item_windows)``; windows of mostly placeholders are left out."""
+    """``(item, item_at, window, item_tokens, item_windows)``; places whose template is mostly placeholders are left out."""
     opened = _opened(benchmark, key, text, "item", width)
     literal = F.size(F.filter(F.split("window", " "), lambda t: ~t.isin("<num>", "<name>", "<unit>")))
-    kept = opened.where(literal >= F.least(F.lit(LITERALS), F.size(F.split("window", " ")))).select(
-        "item", F.col("at").alias("item_at"), "window",
-        F.slice(F.split("tokens", " "), F.col("at") + 1, width).alias("item_tokens"))
+    rows = opened.select("item", F.col("at").alias("item_at"), "window", literal.alias("literal"),
+                         F.slice(F.split("tokens", " "), F.col("at") + 1, width).alias("item_tokens"))
+    least = rows.groupBy(F.col("item").alias("i"), F.col("item_at").alias("j")).agg(F.min("literal").alias("least"))
+    kept = (rows.join(least, F.col("item").eqNullSafe(F.col("i")) & (F.col("item_at") == F.col("j")))
+            .where(F.col("least") >= F.least(F.lit(LITERALS), F.size("item_tokens")))
+            .select("item", "item_at", "window", "item_tokens"))
     counts = kept.groupBy(F.col("item").alias("of")).agg(F.count_distinct("item_at").alias("item_windows"))
     return kept.join(counts, F.col("item").eqNullSafe(F.col("of"))).drop("of")
 
@@ -68,7 +77,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
     ``coverage`` is the share of the item's windows found in consistent
     alignments, at least the one asked for; ``changed`` tells whether a
-    parameter differs. An alignment is consistent if equal parameters of the
+    parameter differs; case does not count. An alignment is consistent if equal parameters of the
     item stay equal and different ones stay different. A text shorter than a
     window matches only a whole text; null and empty texts match nothing. An
     item without a usable window is never found. Rows that share a key are one

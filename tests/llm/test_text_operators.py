@@ -249,6 +249,15 @@ def test_decontamination_sees_other_parameters(spark):
     assert decontaminate.drop_contaminated(docs(spark, item, "fine"), bench).count() == 1
 
 
+def test_decontamination_in_any_case(spark):
+    item = "Anna and Paul met in Rome. Then Ruth told Igor that Berta had left Oslo for Bonn on Monday"
+    bench = spark.createDataFrame([(7, item), (8, "Did Anna ever ask whether Paul could come along")], "item_id long, text string")
+    texts = [f"so {t} so" for i in (item, bench.collect()[1].text) for t in (i, i.lower(), i.upper(), i.title())]
+    got = {r.doc_id: r for r in decontaminate.judged(docs(spark, *texts, "Did Eve ever ask whether Igor could come along"), bench).collect()}
+    assert [got[i].items for i in range(9)] == ["7"] * 4 + ["8"] * 5
+    assert [got[i].changed for i in range(9)] == [False] * 8 + [True]
+
+
 def test_near_lines(spark):
     line = "this is a line of some length that will be seen again"
     moved = "X" + line[:20] + line[21:]
