@@ -3,8 +3,9 @@
 Numbers, names and units become typed placeholders, so a question asked again
 with other parameters has the same template. Windows of template tokens, and windows
 of the plain tokens in lower case, are hash-joined with those of the benchmark;
-an aligned run of windows counts only if every parameter was replaced
-consistently.
+windows that are equal word for word always count, the others of an aligned run
+only if every parameter was replaced consistently. Items shorter than a window
+are looked for as runs of their own length.
 """
 
 from __future__ import annotations
@@ -47,61 +48,89 @@ def windows_of(template: Column, width: int = WINDOW) -> Column:
     return F.regexp_extract_all(template, F.lit(rf"(?<![^ ])(?=((?:[^ ]+ ){{{width - 1}}}[^ ]+|{whole}))"), F.lit(1))
 
 
-def _opened(df: DataFrame, key: str, text: str, name: str, width: int) -> DataFrame:
-    """``(name, tokens, at, window)``: the plain windows, and the template windows where they differ. Tokens are in lower case."""
+def runs_of(tokens: Column, length: int) -> Column:
+    """Every run of exactly ``length`` tokens in order."""
+    return F.regexp_extract_all(tokens, F.lit(rf"(?<![^ ])(?=((?:[^ ]+ ){{{length - 1}}}[^ ]+)(?![^ ]))"), F.lit(1))
+
+
+def _opened(df: DataFrame, key: str, text: str, name: str, width: int, lengths: tuple[int, ...] = ()) -> DataFrame:
+    """``(name, tokens, at, window)``: the plain windows, and the template windows where they differ. Tokens are in lower case.
+
+    Plain runs of each of ``lengths`` come on top.
+    """
     raw = df.select(F.col(key).alias(name), tokens_text(whole_text(text)).alias("raw"))
     texts = raw.select(name, F.lower("raw").alias("tokens"), template_text(F.col("raw")).alias("template"))
     both = F.arrays_zip(windows_of(F.col("tokens"), width).alias("plain"), windows_of(F.col("template"), width).alias("moved"))
     rows = texts.select(name, "tokens", F.posexplode(both).alias("at", "w"))
     kinds = F.when(F.col("w.plain") == F.col("w.moved"), F.array("w.plain")).otherwise(F.array("w.plain", "w.moved"))
-    return rows.select(name, "tokens", "at", F.explode(kinds).alias("window"))
+    opened = rows.select(name, "tokens", "at", F.explode(kinds).alias("window"))
+    for n in lengths:
+        opened = opened.union(texts.select(name, "tokens", F.posexplode(runs_of(F.col("tokens"), n)).alias("at", "window")))
+    return opened
 
 
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text", width: int = WINDOW) -> DataFrame:
-    """``(item, item_at, window, item_tokens, item_windows)``; places whose template is mostly placeholders are left out."""
+    """``(item, item_at, window, item_tokens, telling, item_windows, item_telling)``.
+
+    Template windows of mostly placeholders are left out, as they fit too much;
+    ``telling`` is false at their places, which only the plain windows cover.
+    """
     opened = _opened(benchmark, key, text, "item", width)
     literal = F.size(F.filter(F.split("window", " "), lambda t: ~t.isin("<num>", "<name>", "<unit>")))
     rows = opened.select("item", F.col("at").alias("item_at"), "window", literal.alias("literal"),
                          F.slice(F.split("tokens", " "), F.col("at") + 1, width).alias("item_tokens"))
-    least = rows.groupBy(F.col("item").alias("i"), F.col("item_at").alias("j")).agg(F.min("literal").alias("least"))
-    kept = (rows.join(least, F.col("item").eqNullSafe(F.col("i")) & (F.col("item_at") == F.col("j")))
-            .where(F.col("least") >= F.least(F.lit(LITERALS), F.size("item_tokens")))
-            .select("item", "item_at", "window", "item_tokens"))
-    counts = kept.groupBy(F.col("item").alias("of")).agg(F.count_distinct("item_at").alias("item_windows"))
-    return kept.join(counts, F.col("item").eqNullSafe(F.col("of"))).drop("of")
+    need = F.least(F.lit(LITERALS), F.size("item_tokens"))
+    told = rows.groupBy(F.col("item").alias("i"), F.col("item_at").alias("j")).agg(F.min(F.col("literal") >= need).alias("telling"))
+    counts = told.groupBy(F.col("i").alias("of")).agg(F.count("*").alias("item_windows"), F.count_if("telling").alias("item_telling"))
+    return (rows.where(F.col("literal") >= F.when(F.col("window").contains("<"), need).otherwise(0))
+            .join(told, F.col("item").eqNullSafe(F.col("i")) & (F.col("item_at") == F.col("j")))
+            .join(counts, F.col("item").eqNullSafe(F.col("of")))
+            .select("item", "item_at", "window", "item_tokens", "telling", "item_windows", "item_telling"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                  width: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``(key, item_id, coverage, changed)``: each item found in a document.
 
-    ``coverage`` is the share of the item's windows found in consistent
-    alignments, at least the one asked for; ``changed`` tells whether a
-    parameter differs; case does not count. An alignment is consistent if equal parameters of the
-    item stay equal and different ones stay different. A text shorter than a
-    window matches only a whole text; null and empty texts match nothing. An
-    item without a usable window is never found. Rows that share a key are one
-    document. Other columns are not looked at.
+    ``coverage`` is the share of the item's windows that are found, of all of
+    them or of those whose template is not mostly placeholders, whichever is
+    larger, at least the one asked for; ``changed`` tells whether a parameter
+    differs; case does not count. A window with other parameters is found if
+    those of its alignment are consistent: equal parameters of the item stay
+    equal and different ones stay different. An item shorter than a window is
+    found word for word anywhere, with other parameters only as a whole text;
+    null and empty texts match nothing. Rows that share a key are one document.
+    Other columns are not looked at.
     """
     items = stored(benchmark_windows(benchmark, width=width), "benchmark-windows")
     items = items.withColumn("mark", F.xxhash64("window")).withColumnRenamed("window", "item_window")
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    found = _opened(docs, key, text, "doc", width).withColumn("mark", F.xxhash64("window"))
+    size = F.size("item_tokens")
+    lengths = tuple(sorted(r[0] for r in items.where(size < width).select(size).distinct().collect()))
+    found = _opened(docs, key, text, "doc", width, lengths).withColumn("mark", F.xxhash64("window"))
     hits = found.join(items, "mark").where("window = item_window")
     slots = F.filter(F.arrays_zip(F.split("window", " ").alias("t"), F.col("item_tokens").alias("a"),
                                   F.slice(F.split("tokens", " "), F.col("at") + 1, width).alias("b")),
                      lambda z: z["t"].isin("<num>", "<name>", "<unit>"))
-    aligned = (hits.select("doc", "item", "item_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
+    place = F.struct(F.col("item_at").alias("at"), "telling")
+    named = ["doc", "item", "item_windows", "item_telling"]
+    compared = hits.select(*named, place.alias("place"), (F.col("at") - F.col("item_at")).alias("shift"),
                            F.transform(slots, lambda z: F.struct(z["a"].alias("a"), z["b"].alias("b"))).alias("slots"))
-               .groupBy("doc", "item", "item_windows", "shift")
-               .agg(F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
+    other = F.exists("slots", lambda z: z["a"] != z["b"])
+    aligned = (compared.withColumn("other", other).groupBy(*named, "shift")
+               .agg(F.collect_set(F.when(~F.col("other"), F.col("place"))).alias("same"),
+                    F.collect_set(F.when(F.col("other"), F.col("place"))).alias("moved"),
+                    F.array_distinct(F.flatten(F.collect_set(F.when(F.col("other"), F.col("slots"))))).alias("slots")))
     side = lambda x: F.size(F.array_distinct(F.transform("slots", lambda z: z[x])))
-    steady = aligned.where((side("a") == F.size("slots")) & (side("b") == F.size("slots")))
-    changed = F.exists("slots", lambda z: z["a"] != z["b"])
-    shares = steady.groupBy("doc", "item", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n"), F.bool_or(changed).alias("changed"))
-    return (shares.withColumn("coverage", F.col("n") / F.col("item_windows")).where(F.col("coverage") >= coverage)
+    steady = (side("a") == F.size("slots")) & (side("b") == F.size("slots"))
+    counted = aligned.select(*named, "same", F.when(steady, F.col("moved")).otherwise(F.slice("moved", 1, 0)).alias("moved"))
+    shares = counted.groupBy(*named).agg(
+        F.array_distinct(F.flatten(F.collect_list(F.concat("same", "moved")))).alias("places"),
+        F.bool_or(F.size("moved") > 0).alias("changed"))
+    share = F.greatest(F.size("places") / F.col("item_windows"),
+                       F.size(F.filter("places", lambda p: p["telling"])) / F.nullif(F.col("item_telling"), F.lit(0)))
+    return (shares.withColumn("coverage", share).where(F.col("coverage") >= coverage)
             .select(F.col("doc").alias(key), F.col("item").alias("item_id"), "coverage", "changed"))
 
 

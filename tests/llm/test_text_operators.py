@@ -258,6 +258,18 @@ def test_decontamination_in_any_case(spark):
     assert [got[i].changed for i in range(9)] == [False] * 8 + [True]
 
 
+def test_decontamination_counts_equal_windows_always(spark):
+    item = "then Anna buys 12 kg of fresh red apples and gives 3 kg of them to her brother Paul before Anna leaves"
+    sums, short = "Add 12 and 15, 17 and 18, 21 and 29, 31 and 32, 41", "How old is Berta now?"
+    bench = spark.createDataFrame([(1, item), (2, sums), (3, short), (4, "Paul Anna Igor Ruth Eve Berta Otto Ida Max Ute")],
+                                  "item_id long, text string")
+    texts = [item.replace("before Anna", "before Ruth"), item.replace("12", "3"), f"x {sums} y", f"We asked: {short} Nobody knew it at all that day.",
+             "So Paul Anna Igor Ruth Eve Berta Otto Ida Max Ute went", "We asked: how old is Bertana now? Nobody knew it.",
+             "So Hans Lena Fritz Kurt Olga Nina Sven Lars Finn Jan went"]
+    got = {r.doc_id: r.items for r in decontaminate.judged(docs(spark, *texts), bench).collect()}
+    assert [got[i] for i in range(7)] == ["1", "1", "2", "3", "4", "", ""]
+
+
 def test_near_lines(spark):
     line = "this is a line of some length that will be seen again"
     moved = "X" + line[:20] + line[21:]
