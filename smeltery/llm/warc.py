@@ -24,7 +24,6 @@ from smeltery.workspace import new_folder
 MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 64 << 20
 SPLIT_BYTES = 16 << 20
-HEADER_BYTES = 64 << 10
 BUFFER = 1 << 20
 MANIFEST = "path string, bytes long, records long"
 RECORD = ("path string, start long, record_type string, record_id string, target_uri string, payload_bytes long, "
@@ -118,10 +117,8 @@ def _decode(data: _Ranges, start: int, keep: bool) -> dict | None:
                     head += text
                     if not b"WARC/".startswith(head[:5]):
                         return None
-                    cut = head.find(b"\r\n\r\n")
+                    cut = head.find(b"\r\n\r\n", max(0, len(head) - len(text) - 3))
                     if cut < 0:
-                        if len(head) > HEADER_BYTES:
-                            return None
                         continue
                     lines = head[:cut].decode().split("\r\n")
                     fields = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
@@ -209,6 +206,18 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, keep_payload:
     return splits.repartition(min(int(width), 100_000), "path", "begin").mapInPandas(read, RECORD)
 
 
+def checked(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``records``, stored; an error if an archive in ``manifest(path, records)`` has not as many as it says."""
+    kept = stored(records, "warc-records")
+    found = kept.groupBy("path").agg(F.count("*").alias("found"))
+    wrong = (manifest.select("path", "records").join(found, "path", "left")
+             .where(F.col("records") != F.coalesce("found", F.lit(0))).take(3))
+    if wrong:
+        raise ValueError("records read differ from those written: "
+                         + ", ".join(f"{r['path']} has {r['found'] or 0} of {r['records']}" for r in wrong))
+    return kept
+
+
 def with_revisits(pages: DataFrame, min_bytes: int = 0, key: str = "page_id") -> DataFrame:
     """Records of ``pages(page_id, url, html)``: equal payloads are stored once.
 
@@ -231,9 +240,10 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0, key: str = "page_id") ->
 
 
 def pages_through_warc(spark: SparkSession, pages: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Write ``pages`` as archives in the shared folder and read every record back."""
+    """Write ``pages`` as archives in the shared folder and read every record back; an error if one is missing."""
     manifest = write_warc(with_revisits(pages), new_folder(spark, "warc"))
     number = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
-    return read_warc(manifest, split_bytes).select(
-        number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+    records = read_warc(manifest, split_bytes).select(
+        "path", number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         number(F.col("refers_to")).alias("refers_to"))
+    return checked(records, manifest).drop("path")

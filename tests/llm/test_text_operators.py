@@ -164,6 +164,18 @@ def test_warc_round_trip(spark):
     assert warc.pages_through_warc(spark, pages.limit(0)).count() == 0
 
 
+def test_warc_headers_of_any_length(spark, folder):
+    url = "data:" + random.Random(8).randbytes(1 << 20).hex()
+    pages = spark.createDataFrame([(0, "http://h/0", "a"), (1, url, "b"), (2, url[:150_000], "b"), (3, "http://h/3", "c")],
+                                  "page_id long, url string, html string").coalesce(1)
+    assert sorted(r.page_id for r in warc.pages_through_warc(spark, pages, 50_000).collect()) == [0, 1, 2, 3]
+    manifest = warc.write_warc(warc.with_revisits(pages), folder)
+    read = warc.read_warc(manifest)
+    assert {r.target_uri for r in read.collect()} >= {url, url[:150_000]}
+    with pytest.raises(ValueError, match="records read differ"):
+        warc.checked(read, manifest.withColumn("records", F.col("records") + 1))
+
+
 def test_base_spans():
     text = "a@b.c@d.e x.y@h-1.co, 1.2.3.4.5 999.1.1.1, 4111 1111 1111 1111 +1 (743) 555-3824."
     assert [text[a:b] for _, a, b in pii.base_spans(text)] == ["a@b.c", "x.y@h-1.co", "1.2.3.4", "4111 1111 1111 1111",
