@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from check import canonical
 from smeltery.plans import fixtures as X, medallion, registry as R
 
-ORACLE = entry.oracle_sql()
+ORACLE = {name: q.oracle for name, q in R.QUERIES.items() if q.oracle is not None}
 
 
 @pytest.fixture(scope="module")
@@ -22,9 +22,9 @@ def db(small):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(R.QUERIES))
 def test_query_matches_its_oracle(spark, small, db, name):
-    frame = entry.queries()[name](spark, small)
+    frame = R.QUERIES[name].run(spark, small)
     got = [tuple(r) for r in frame.collect()]
     if name not in ORACLE:
         assert got
