@@ -7,6 +7,7 @@ recognised by key and cursor.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,9 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from smeltery.functions.columns import with_audit
 from smeltery.operators import filters
 from smeltery.operators.layout import gather_by_key
-from smeltery.operators.merge import latest_by, upsert
-from smeltery.operators.sizing import BatchSize, fits_broadcast, measure
-from smeltery.plans.snapshot import Snapshots, read_if_exists, write_counted
+from smeltery.operators.merge import latest_by
+from smeltery.plans.parted import ByValue, Mark, MovedKeyError, PartedTable
+from smeltery.plans.snapshot import Snapshots, path_exists, read_if_exists, write_counted
 from smeltery.plans.state import SequenceWatermark, TimestampWatermark
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -56,7 +57,15 @@ def full_load(source: DataFrame, sink: Snapshots, transform: Transform, *, schem
     return LoadResult(rows, None)
 
 
-def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: str, transform: Transform, *,
+def read_sink(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """What an incremental load has delivered to ``path``, a table in parts or a plain folder."""
+    table = PartedTable(spark, path)
+    if table.exists():
+        return table.read()
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
+def incremental_load(source: DataFrame, sink: str | PartedTable, store: Store, cursor: str, transform: Transform, *,
                      keys: Sequence[str], partition_column: str | None = None,
                      upto: filters.Cursor | None = None, fixed_partition: bool = False,
                      partition_is_cursor_date: bool = False) -> LoadResult:
@@ -67,9 +76,11 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
 
     The upper end of the window is fixed before anything is written, so the
     rows counted, written and remembered are the same rows even while the
-    source grows.  Without lookback the window is new and is appended.  With
-    lookback it overlaps what was delivered before and is upserted by key, so
-    the sink holds one row per key.
+    source grows.  Without lookback the window is new and is appended to a plain
+    folder.  With lookback it overlaps what was delivered before and is upserted
+    by key into a :class:`PartedTable` with a part per partition value, so the
+    sink holds one row per key and readers see a run as a whole or not at all.
+    :func:`read_sink` reads either.
     """
     spark = source.sparkSession
     previous = store.raw()
@@ -92,20 +103,30 @@ def incremental_load(source: DataFrame, sink_path: str, store: Store, cursor: st
     if store.lookback_seconds > 0:
         # Upserts need one row per key; copies within the window become the newest one.
         batch = latest_by(batch, keys, [cursor])
-    delivered = read_if_exists(spark, sink_path, batch.schema) is not None
-    if store.lookback_seconds > 0 and (after is not None or delivered):
-        if partition_column is None:
-            raise ValueError("a lookback window needs a partition column to upsert into")
-        rows = upsert_partitions(spark, sink_path, batch, keys, partition_column, fixed_partition=fixed_partition)
+    if store.lookback_seconds > 0:
+        rows = upsert_partitions(sink_table(spark, sink, partition_column, fixed_partition), batch, keys)
     else:
-        rows = append_new(spark, sink_path, batch, keys, cursor, after, partition_column, partition_is_cursor_date)
+        rows = append_new(spark, sink, batch, keys, cursor, after, partition_column, partition_is_cursor_date)
     mark = high if previous is None else max(previous, high)
     if mark is not None:
         store.save(mark)
     return LoadResult(rows, mark)
 
 
-def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], cursor: str,
+def sink_table(spark: SparkSession, sink: str | PartedTable, partition_column: str | None,
+               fixed_partition: bool = False) -> PartedTable:
+    """The table in parts that an upserting load keeps."""
+    if isinstance(sink, PartedTable):
+        return sink
+    if partition_column is None:
+        raise ValueError("a lookback window needs a partition column to upsert into")
+    table = PartedTable(spark, sink, ByValue(partition_column, fixed=fixed_partition))
+    if path_exists(spark, sink) and not path_exists(spark, f"{sink}/data") and not table.exists():
+        raise ValueError(f"{sink} holds plain files; read them into a new PartedTable before loading with a lookback")
+    return table
+
+
+def append_new(spark: SparkSession, sink: str | PartedTable, batch: DataFrame, keys: Sequence[str], cursor: str,
                after: filters.Cursor | None, partition_column: str | None = None,
                partition_is_cursor_date: bool = False) -> int:
     """Append a batch once.
@@ -114,7 +135,10 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     before it could move the mark. They are left out by key and cursor, so a
     version of a key that came since is delivered.
     """
-    delivered = read_if_exists(spark, path, batch.schema)
+    if isinstance(sink, PartedTable):
+        delivered = sink.read() if sink.exists() else None
+    else:
+        delivered = read_if_exists(spark, sink, batch.schema)
     if delivered is not None:
         early = filters.between_cursors(delivered, cursor, after, None)
         if partition_is_cursor_date and partition_column:
@@ -123,54 +147,62 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
             seen = early.select(*[F.col(c).alias(f"_seen_{i}") for i, c in enumerate((*keys, cursor))]).distinct()
             same = [batch[c].eqNullSafe(seen[f"_seen_{i}"]) for i, c in enumerate((*keys, cursor))]
             batch = batch.join(seen, reduce(and_, same), "left_anti")
+    if isinstance(sink, PartedTable):
+        return sink.append(batch)
     if partition_column:
-        return write_counted(gather_by_key(batch, partition_column), path, mode="append",
+        return write_counted(gather_by_key(batch, partition_column), sink, mode="append",
                              partition_by=[partition_column])
-    return write_counted(batch, path, mode="append")
-
+    return write_counted(batch, sink, mode="append")
 
-class MovedKeyError(ValueError):
-    """A key of the batch lives in another partition of the sink."""
 
-
-def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      partition_column: str, *, fixed_partition: bool = False) -> int:
-    """Upsert into a partitioned folder and rewrite only the partitions the batch touches.
+def upsert_partitions(table: PartedTable, batch: DataFrame, keys: Sequence[str]) -> int:
+    """Upsert a batch, rewrite only the parts it touches and switch readers over in one step.
 
     The partition must follow from the key.  A batch that would move a key to
     another partition is refused: it needs a merge over the whole table.
-    ``fixed_partition`` states that keys never move and saves that check.
     """
-    sink = read_if_exists(spark, path, batch.schema)
-    if sink is None:
-        return write_counted(gather_by_key(batch, partition_column), path, partition_by=[partition_column])
-    keys = list(keys)
-    size = measure(batch, keys)
-    if partition_column not in keys and not fixed_partition:
-        _refuse_moved_keys(sink, batch, keys, partition_column, size)
-    # One value per partition folder, so the list is as short as the folder listing.
-    touched = [row[0] for row in batch.select(partition_column).distinct().toLocalIterator()]
-    present = sink.filter(_in_partitions(sink, partition_column, touched))
-    merged = upsert(present, batch.select(*sink.columns), keys, size=size)
-    write_counted(gather_by_key(merged, partition_column), path, mode="overwrite",
-                  partition_by=[partition_column], partitionOverwriteMode="dynamic")
-    return size.rows
-
-
-def _in_partitions(df: DataFrame, column: str, values: Sequence[object]) -> Column:
-    known = [v for v in values if v is not None]
-    inside = F.col(column).isin(known) if known else F.lit(False)
-    return inside | F.col(column).isNull() if len(known) < len(values) else inside
-
-
-def _refuse_moved_keys(sink: DataFrame, batch: DataFrame, keys: list[str], partition_column: str,
-                       size: BatchSize) -> None:
-    home = batch.select(*keys, F.col(partition_column).alias("_new_home"))
-    placed = size.within_range(sink.select(*keys, partition_column))
-    home = F.broadcast(home) if fits_broadcast(home, size.rows) else home
-    moved = placed.join(home, keys).filter(~F.col(partition_column).eqNullSafe(F.col("_new_home")))
-    if not moved.isEmpty():
-        raise MovedKeyError(f"{keys} would change {partition_column}; merge over the whole table instead")
+    if not table.exists():
+        return table.create(batch, "UPSERT")
+    return table.upsert(batch, keys)["rows"]
+
+
+def mark_text(value: filters.Cursor) -> Mark:
+    return value.isoformat() if isinstance(value, dt.datetime) else value
+
+
+def mark_value(mark: Mark | None) -> filters.Cursor | None:
+    return dt.datetime.fromisoformat(mark) if isinstance(mark, str) else mark
+
+
+def incremental_merge(source: DataFrame, table: PartedTable, cursor: str, transform: Transform, *, keys: Sequence[str],
+                      name: str, lookback_seconds: int = 0, upto: filters.Cursor | None = None) -> LoadResult:
+    """Merge the rows past the mark into a table whose version holds the mark itself.
+
+    Rows and mark become visible in one step, so a run that dies anywhere is
+    simply run again: it starts from the mark that belongs to the rows that are
+    there.  Copies of a key become the newest one by the cursor, and an older row
+    never replaces a newer one.
+    """
+    previous = mark_value(table.mark(name))
+    after = previous - dt.timedelta(seconds=lookback_seconds) if isinstance(previous, dt.datetime) else previous
+    window = filters.between_cursors(source, cursor, after, upto)
+    high = filters.highest_cursor(window, cursor)
+    if previous is None:
+        # Rows without a cursor value are past no mark; only the first run can take them.
+        taken = F.col(cursor).isNull()
+        if high is not None:
+            taken = taken | (F.col(cursor) <= filters.cursor_literal(source, cursor, high))
+        window = source.filter(taken)
+    elif high is None:
+        return LoadResult(0, previous)
+    else:
+        window = filters.between_cursors(window, cursor, None, high)
+    batch = latest_by(transform(window), keys, [cursor])
+    mark = high if previous is None else max(previous, high)
+    marks = {} if mark is None else {name: mark_text(mark)}
+    if not table.exists():
+        return LoadResult(table.create(batch, "MERGE", marks=marks), mark)
+    return LoadResult(table.upsert(batch, keys, newer_by=[cursor], marks=marks)["rows"], mark)
 
 
 def lookback_overlap(source: DataFrame, cursor: str, lookbacks: Sequence[int]) -> DataFrame:

@@ -14,7 +14,8 @@ from smeltery.functions.masking import mask_email
 from smeltery.operators import (
     cdc, conform, dedupe, drift, enrich, filters, layout, merge, nested, quality, rollup,
 )
-from smeltery.plans import audit, fixtures as X, loads, medallion, oracle as O, snapshot, state
+from smeltery.plans import audit, dimension, fixtures as X, loads, medallion, oracle as O, parted, snapshot, state
+from smeltery.plans.versions import VersionTakenError
 from smeltery.sources import readers
 from smeltery.streaming import flows
 from smeltery.workspace import new_folder
@@ -349,7 +350,7 @@ def _load_events(spark, sf, lookback_seconds):
         loads.incremental_load(feed, sink, marks, "event_ts", transform, keys=["event_id"],
                                partition_column="event_date", upto=upto,
                                partition_is_cursor_date=True)
-    return readers.read_files(spark, sink, schema=transform(feed).schema).drop("load_ts")
+    return loads.read_sink(spark, sink, transform(feed).schema).drop("load_ts")
 
 
 @query(loaded_events("FULL_OVERWRITE"))
@@ -372,6 +373,111 @@ def incremental_lookback_upsert(spark, sf):
     return _load_events(spark, sf, 86_400)
 
 
+DAY_BEFORE = "event_ts > TIMESTAMP '2024-01-14' AND event_ts <= TIMESTAMP '2024-01-15'"
+PLAIN_EVENTS = "event_id, user_id, event_type, product_id, amount, event_ts, event_date"
+
+
+@query(O.over("events_feed", f"""
+SELECT 'killed' AS seen, {PLAIN_EVENTS}, FALSE AS rewritten FROM events_feed WHERE event_ts <= TIMESTAMP '2024-01-15'
+UNION ALL
+SELECT 'switched', event_id, user_id, CASE WHEN {DAY_BEFORE} THEN 'late' ELSE event_type END, product_id, amount, event_ts,
+       event_date, event_date IN (SELECT event_date FROM events_feed WHERE {DAY_BEFORE})
+FROM events_feed WHERE event_ts <= TIMESTAMP '2024-01-15'"""))
+def upsert_killed_before_switch(spark, sf):
+    """An upsert that dies once its rows are written, what readers see then, and the same upsert run to its end."""
+    feed = X.events_feed(spark, sf)
+    table = parted.PartedTable(spark, new_folder(spark, "events-parted"), parted.ByValue("event_date", fixed=True))
+    table.create(feed.where(F.col("event_ts") <= F.lit(SPLIT)))
+    late = feed.where(DAY_BEFORE).withColumn("event_type", F.lit("late"))
+    table.prepare_merge(late, ["event_id"], lambda present, new: merge.upsert(present, new, ["event_id"]))
+    killed = table.read()
+    table.upsert(late, ["event_id"])
+    first = next(iter(table.parts(0).values()))["folders"][0].rsplit("/", 2)[1]
+    seen = table.read().select("*", ~F.col("_metadata.file_path").contains(first)).toDF(*killed.columns, "rewritten")
+    return (killed.withColumn("rewritten", F.lit(False)).withColumn("seen", F.lit("killed"))
+            .unionByName(seen.withColumn("seen", F.lit("switched"))))
+
+
+@query(O.over("events_feed", f"""
+SELECT {EVENT_COLUMNS.replace("event_date", "CAST(event_date AS DATE) - CAST(CASE WHEN event_ts > TIMESTAMP '2024-01-15' THEN 10 ELSE 0 END AS INTEGER) AS event_date")},
+       'INCREMENTAL' AS load_strategy FROM events_feed WHERE event_type IS NOT NULL"""))
+def incremental_late_partition(spark, sf):
+    """The second run delivers into partitions that lie before the mark."""
+    folder = new_folder(spark, "events-late")
+    marks = state.TimestampWatermark(spark, f"{folder}/marks", "events", 0)
+    days = F.when(F.col("event_ts") > F.lit(SPLIT), 10).otherwise(0)
+    feed = X.events_feed(spark, sf).withColumn("event_date", F.date_sub("event_date", days))
+    transform = loads.events_transform("INCREMENTAL")
+    for upto in (SPLIT, None):
+        loads.incremental_load(feed, f"{folder}/silver", marks, "event_ts", transform, keys=["event_id"],
+                               partition_column="event_date", upto=upto)
+    return loads.read_sink(spark, f"{folder}/silver", transform(feed).schema).drop("load_ts")
+
+
+@query(loaded_events("INCREMENTAL"))
+def incremental_after_crash(spark, sf):
+    """A run dies after its rows are written and before the mark moves; the next one delivers the rest once."""
+    folder = new_folder(spark, "events-crashed")
+    marks = state.TimestampWatermark(spark, f"{folder}/marks", "events", 0)
+    feed, transform = X.events_feed(spark, sf), loads.events_transform("INCREMENTAL")
+
+    def load(upto):
+        loads.incremental_load(feed, f"{folder}/silver", marks, "event_ts", transform, keys=["event_id"],
+                               partition_column="event_date", upto=upto)
+
+    load(SPLIT - dt.timedelta(days=5))
+    written = transform(filters.between_cursors(feed, "event_ts", SPLIT - dt.timedelta(days=5), SPLIT))
+    loads.append_new(spark, f"{folder}/silver", written, ["event_id"], "event_ts", SPLIT - dt.timedelta(days=5), "event_date")
+    load(None)
+    return loads.read_sink(spark, f"{folder}/silver", transform(feed).schema).drop("load_ts")
+
+
+@query(loaded_events("INCREMENTAL", """TRUE
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_ts DESC NULLS LAST, user_id DESC NULLS LAST,
+  event_type DESC NULLS LAST, product_id DESC NULLS LAST, amount DESC NULLS LAST) = 1"""))
+def incremental_after_reset(spark, sf):
+    """The mark is reset after two runs; the third reads everything again and leaves one row per event."""
+    folder = new_folder(spark, "events-reset")
+    marks = state.TimestampWatermark(spark, f"{folder}/marks", "events", 3600)
+    feed, transform = X.events_feed(spark, sf), loads.events_transform("INCREMENTAL")
+    for upto in (SPLIT, None, None):
+        loads.incremental_load(feed, f"{folder}/silver", marks, "event_ts", transform, keys=["event_id"],
+                               partition_column="event_date", upto=upto)
+        if upto is None:
+            marks.reset()
+    return loads.read_sink(spark, f"{folder}/silver").drop("load_ts")
+
+
+class _Died(RuntimeError):
+    pass
+
+
+@query(O.over("orders_feed", """
+SELECT *, order_amount AS order_amount_usd, 'TIMESTAMP' AS wm_strategy, (SELECT max(created_ts) FROM orders_feed) AS mark
+FROM orders_feed"""))
+def orders_merged_after_crashes(spark, sf):
+    """Orders by timestamp into a table that holds its own mark; runs die while rows are written and before the switch."""
+    feed = X.orders_feed(spark, sf)
+    table = parted.PartedTable(spark, new_folder(spark, "orders-merged"), parted.HashBuckets(("order_id",), 16))
+    transform = loads.orders_transform("TIMESTAMP")
+    low, high = feed.agg(F.min("created_ts"), F.max("created_ts")).first()
+    put, write = table.versions.put, table._write
+
+    def die(*_):
+        raise _Died
+
+    middle = None if low is None else low + (high - low) / 2
+    for step in ("put", "write", None):
+        table.versions.put, table._write = (die if step == "put" else put), (die if step == "write" else write)
+        for upto in (middle, None):
+            try:
+                loads.incremental_merge(feed, table, "created_ts", transform, keys=["order_id"], name="orders",
+                                        lookback_seconds=300, upto=upto)
+            except _Died:
+                pass
+    return table.read().drop("load_ts").withColumn("mark", F.lit(table.mark("orders")).cast("timestamp_ntz"))
+
+
 @query("""
 SELECT CAST(s AS INTEGER) AS lookback_seconds,
        (SELECT count(*) FROM events WHERE ts > (SELECT max(ts) FROM events) - to_seconds(s)) AS repeated_rows
@@ -571,8 +677,117 @@ def merge_history(spark, sf):
                                    noted["update"].alias("updated"), noted["soft_delete"].alias("soft_deleted"))
 
 
+TOP = "(SELECT max(c_custkey) FROM customer)"
+RANGES = 8
+RANGE_OF = f"(SELECT count(*) FROM range(1, {RANGES}) r(i) WHERE {{0}} >= {TOP} * i // {RANGES})"
+NARROW = f"(customer_id <= {TOP} // 4 OR customer_id > {X.NEW_ID_FLOOR})"
+
+
+def _customer_table(spark, sf, label):
+    """The customers in key ranges, and the highest key of the base table."""
+    customers = X.customer_target(spark, sf)
+    top = customers.agg(F.max("customer_id")).first()[0] or 0
+    bounds = sorted({top * i // RANGES for i in range(1, RANGES)})
+    return parted.PartedTable(spark, new_folder(spark, label), parted.KeyRanges("customer_id", tuple(bounds))), top
+
+
+def _carried(table, df=None):
+    """The rows of the table, and whether they still lie in the files of its first version."""
+    run = next(iter(table.parts(0).values()))["folders"][0].rsplit("/", 2)[1]
+    rows = table.read()
+    return rows.select("*", F.col("_metadata.file_path").contains(run).alias("carried"))
+
+
+@query(O.over("target source", f"""
+SELECT {MERGED_COLUMNS}, {RANGE_OF.format('customer_id')} NOT IN (SELECT DISTINCT {RANGE_OF.format('customer_id')} FROM source
+  WHERE {NARROW}) AS carried
+FROM ({O.merged(source=f"(SELECT * FROM source WHERE {NARROW})")})"""))
+def merge_touched_ranges(spark, sf):
+    """A change batch over a quarter of the keys and new ones: other key ranges keep their files."""
+    table, top = _customer_table(spark, sf, "customers-parted")
+    dimension.bootstrap(table, X.customer_target(spark, sf).drop("load_ts", "record_source"), dt.datetime(2024, 1, 1))
+    narrow = (F.col("customer_id") <= top // 4) | (F.col("customer_id") > X.NEW_ID_FLOOR)
+    dimension.apply_changes(table, _source(spark, sf).where(narrow), as_of=MERGED_AT)
+    return _carried(table)
+
+
+@query(O.over("target source", f"""
+SELECT * FROM (SELECT count(*) AS total_rows, count(*) FILTER (WHERE NOT is_active) AS inactive_rows,
+         count(*) FILTER (WHERE customer_id > {X.NEW_ID_FLOOR}) AS new_rows FROM ({O.merged()})),
+     (SELECT customer_id AS sample_key, email AS sample_email, record_source AS sample_source FROM ({O.merged()})
+      WHERE load_ts >= TIMESTAMP '2024-01-03' AND customer_id <= {X.NEW_ID_FLOOR} ORDER BY customer_id LIMIT 5)"""))
+def merge_validated_sample(spark, sf):
+    """First load through its own operator, merge, then counts and a sample of the updated keys."""
+    table, _ = _customer_table(spark, sf, "customers-validated")
+    dimension.bootstrap(table, X.customer_target(spark, sf).drop("load_ts", "record_source"), dt.datetime(2024, 1, 1))
+    dimension.apply_changes(table, _source(spark, sf), as_of=MERGED_AT)
+    return dimension.validation(table.read(), MERGED_AT, 5, X.NEW_ID_FLOOR)
+
+
+@query("""
+SELECT v.version, v.operation, v.row_count, v.inserted FROM (
+  SELECT CAST(0 AS BIGINT) AS version, 'FIRST' AS operation, (SELECT count(*) FROM customer) AS row_count, CAST(NULL AS BIGINT) AS inserted
+  UNION ALL SELECT 1, 'FASTER', (SELECT count(*) FROM customer WHERE c_acctbal > 0), 1
+  UNION ALL SELECT 2, 'AGAIN', (SELECT count(*) FROM customer WHERE c_acctbal <= 0), 3) v""")
+def publish_two_writers(spark, sf):
+    """Two writers publish the same version: one fails, and succeeds with the next number when told to try again."""
+    customers, folder = X.table(spark, sf, "customer"), new_folder(spark, "two-writers")
+    slow, fast = snapshot.Snapshots(spark, folder), snapshot.Snapshots(spark, folder)
+    slow.publish(customers, "FIRST")
+
+    def overtaken(_):
+        fast.publish(customers.where("c_acctbal > 0"), "FASTER", metrics={"insert": 1})
+        return {"insert": 2}
+
+    failed = False
+    try:
+        slow.publish(customers.where("c_acctbal <= 0"), "SLOWER", metrics=overtaken)
+    except VersionTakenError:
+        failed = True
+    if failed:
+        slow.publish(customers.where("c_acctbal <= 0"), "AGAIN", metrics={"insert": 3}, retries=1)
+    return slow.history(9).select("version", "operation", "row_count", F.col("metrics")["insert"].alias("inserted"))
+
+
 # ---- snapshots, layout, schema --------------------------------------------
 
+@query("""
+SELECT c_custkey, c_name, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS zone, CAST(NULL AS BIGINT) AS visits FROM customer
+WHERE c_nationkey < 7
+UNION ALL SELECT c_custkey, c_name, lpad(CAST(c_nationkey AS VARCHAR), 3, '0'), c_custkey FROM customer WHERE c_nationkey >= 7""")
+def view_keeps_partition_types(spark, sf):
+    """Publications of an added and of an equal schema behind one name, partitioned by a text of digits."""
+    folder = new_folder(spark, "zones")
+    name = f"zones_{folder.rsplit('-', 1)[1]}"
+    zone = F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("zone")
+    customers = X.table(spark, sf, "customer").select("c_custkey", "c_name", zone, "c_nationkey")
+    low = customers.where("c_nationkey < 7").drop("c_nationkey")
+    high = customers.where("c_nationkey >= 7").drop("c_nationkey").withColumn("visits", F.col("c_custkey"))
+    snapshot.publish_verified(low, name, folder, partition_by=["zone"])
+    both = spark.table(name).unionByName(high, allowMissingColumns=True)
+    snapshot.publish_verified(both, name, folder, schema="union", partition_by=["zone"])
+    again = snapshot.Snapshots(spark, folder).read()
+    snapshot.publish_verified(again, name, folder, schema="same", partition_by=["zone"])
+    return spark.table(name)
+
+
+@query("""
+SELECT 'union' AS rule, CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS note FROM orders
+UNION ALL SELECT 'replace', o_orderstatus || CAST(o_orderkey AS VARCHAR), NULL, o_orderpriority FROM orders""")
+def publications_of_other_schemas(spark, sf):
+    """The second publication lacks a column, which stays as nulls; the third has other columns and types."""
+    table = snapshot.Snapshots(spark, new_folder(spark, "schemas"))
+    orders = X.table(spark, sf, "orders")
+    table.publish(orders.select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("note")))
+    table.publish(orders.select("o_orderkey", "o_totalprice"), schema="union")
+    added = table.read().withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    key = F.concat("o_orderstatus", F.col("o_orderkey").cast("string"))
+    table.publish(orders.select(key.alias("o_orderkey"), F.col("o_orderpriority").alias("note")), schema="replace")
+    replaced = table.read().withColumn("o_totalprice", F.lit(None).cast("double"))
+    return (added.withColumn("rule", F.lit("union"))
+            .unionByName(replaced.withColumn("rule", F.lit("replace"))).select("rule", "o_orderkey", "o_totalprice", "note"))
+
+
 @query("SELECT * FROM customer")
 def snapshot_publish(spark, sf):
     folder = new_folder(spark, "published")
@@ -751,6 +966,28 @@ def stream_upsert_two_sources(spark, sf):
     return sink.read()
 
 
+@query(f"""
+WITH newest AS ({NEWEST_ORDERS}), old AS ({NEWEST_ORDERS.replace("FROM orders", "FROM orders WHERE o_orderkey % 3 <> 0")})
+SELECT newest.*, {RANGE_OF.format('o_custkey')} NOT IN (SELECT {RANGE_OF.format('o_custkey')} FROM orders
+         WHERE o_orderkey % 3 = 0 AND o_custkey <= {TOP} // 4) AS carried
+FROM newest WHERE o_custkey <= {TOP} // 4
+UNION ALL SELECT old.*, {RANGE_OF.format('o_custkey')} NOT IN (SELECT {RANGE_OF.format('o_custkey')} FROM orders
+         WHERE o_orderkey % 3 = 0 AND o_custkey <= {TOP} // 4) FROM old WHERE o_custkey > {TOP} // 4""")
+def stream_upsert_touched(spark, sf):
+    """A second stream brings news of a quarter of the customers; files of other key ranges stay."""
+    folder = new_folder(spark, "stream-touched")
+    orders = X.table(spark, sf, "orders")
+    top = X.table(spark, sf, "customer").agg(F.max("c_custkey")).first()[0] or 0
+    bounds = sorted({top * i // RANGES for i in range(1, RANGES)})
+    sink = parted.PartedTable(spark, f"{folder}/silver", parted.KeyRanges("o_custkey", tuple(bounds)))
+    news = (F.col("o_orderkey") % 3 == 0) & (F.col("o_custkey") <= top // 4)
+    for i, part in enumerate((F.col("o_orderkey") % 3 != 0, news)):
+        orders.where(part).write.parquet(f"{folder}/in{i}")
+        files = flows.stream_files(spark, f"{folder}/in{i}", orders.schema)
+        flows.upsert_stream(files, sink, f"{folder}/checkpoint{i}", ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return _carried(sink)
+
+
 @query("SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_dedupe(spark, sf):
     """Every file arrives twice; each event stays once."""

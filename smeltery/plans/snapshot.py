@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from smeltery.functions.columns import quoted
 from smeltery.operators.layout import gather_by_key
+from smeltery.plans.versions import VersionTakenError, Versions, locate
 
-HISTORY = (
-    "version bigint, published_at timestamp, operation string, row_count bigint, "
-    "metrics map<string,bigint>, folder string, schema_json string, published_by string"
-)
+HISTORY = ("version bigint, published_at timestamp, operation string, row_count bigint, metrics map<string,bigint>, "
+           "published_by string")
 
 
 class SchemaMismatchError(ValueError):
@@ -24,20 +25,15 @@ class IncompleteWriteError(RuntimeError):
     """The folder does not hold the rows that were written."""
 
 
-def _locate(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder is there; a failing file system raises instead of looking like a first run."""
-    files, location = _locate(spark, path)
+    files, location = locate(spark, path)
     return files.exists(location)
 
 
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Remove a folder; False when it was not there."""
-    files, location = _locate(spark, path)
+    files, location = locate(spark, path)
     return files.delete(location, True)
 
 
@@ -68,55 +64,59 @@ def append_line(spark: SparkSession, path: str, line: Mapping[str, Column], part
     row.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def _counts(metrics: Mapping[str, int]) -> Column:
-    names = F.array(*[F.lit(k) for k in metrics]).cast("array<string>")
-    return F.map_from_arrays(names, F.array(*[F.lit(v) for v in metrics.values()]).cast("array<bigint>"))
+def signature(spark: SparkSession) -> dict[str, str]:
+    """When and by whom a version is published."""
+    return {"published_at": dt.datetime.now(dt.UTC).isoformat(), "published_by": spark.sparkContext.sparkUser()}
+
+
+def history_frame(spark: SparkSession, versions: Sequence[Mapping]) -> DataFrame:
+    """Versions as rows, in the order given."""
+    lines = [(v["version"], dt.datetime.fromisoformat(v["published_at"]), v["operation"], v["row_count"], v["metrics"],
+              v["published_by"])
+             for v in versions]
+    return spark.createDataFrame(lines, HISTORY).coalesce(1)
+
+
+def highest(marks: Mapping[str, int], metrics: Mapping[str, int]) -> dict[str, int]:
+    """The largest value so far under each name."""
+    return {**marks, **{name: max(value, marks.get(name, value)) for name, value in metrics.items()}}
 
 
 class Snapshots:
     """A path table whose content is replaced as a whole.
 
-    Every publication writes a fresh folder, checks its row count and appends
-    one line to the history; the newest line says where readers look.  At no
-    moment is the table missing or half written.  One writer at a time.
+    Every publication writes a fresh folder, checks its row count and puts the
+    next version in place; the newest version says where readers look.  At no
+    moment is the table missing or half written.  Of two writers that publish
+    the same version one fails and can try again.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.written: str | None = None
-        self._history_path = f"{self.root}/history"
-
-    def _log(self) -> DataFrame | None:
-        return read_if_exists(self.spark, self._history_path, HISTORY)
-
-    def _current(self):
-        log = self._log()
-        if log is None:
-            return None
-        return log.orderBy(F.desc("version"), F.desc("published_at")).limit(1).first()
+        self.versions = Versions(spark, f"{self.root}/versions")
 
     def exists(self) -> bool:
-        return self._current() is not None
+        return self.versions.newest() is not None
 
     def read(self) -> DataFrame:
-        now = self._current()
+        return self._open(self._newest())
+
+    def _newest(self) -> dict:
+        now = self.versions.newest()
         if now is None:
             raise LookupError(f"nothing published under {self.root}")
-        return self._open(now)
+        return now
 
-    def _open(self, line) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(line["schema_json"]))
-        return self.spark.read.schema(schema).parquet(line["folder"])
+    def _open(self, line: Mapping) -> DataFrame:
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(line["schema"]))).parquet(line["folder"])
 
     def folder(self) -> str:
-        now = self._current()
-        if now is None:
-            raise LookupError(f"nothing published under {self.root}")
-        return now["folder"]
+        return self._newest()["folder"]
 
     def publish(self, df: DataFrame, operation: str = "WRITE", *, schema: str = "replace",
-                partition_by: Sequence[str] = (),
+                partition_by: Sequence[str] = (), retries: int = 0,
                 metrics: Mapping[str, int] | Callable[[int], Mapping[str, int]] | None = None) -> int:
         """Make ``df`` the content and return its row count.
 
@@ -124,10 +124,15 @@ class Snapshots:
         types; or ``union``, which keeps columns of the present content that
         ``df`` lacks, as nulls.  ``metrics`` go into the history; as a function
         they are made from the row count once the data is written.
+
+        The version that follows the present one is published; if another writer
+        was faster, :class:`VersionTakenError` is raised.  ``retries`` takes the
+        next free version instead, for content that does not depend on the present
+        one.  ``same`` and ``union`` hold against the version seen first.
         """
-        now = self._current()
+        now = self.versions.newest()
         if now is not None and schema != "replace":
-            df = self._fit(df, T.StructType.fromJson(json.loads(now["schema_json"])), schema)
+            df = self._fit(df, T.StructType.fromJson(json.loads(now["schema"])), schema)
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         shaped = gather_by_key(df, *partition_by) if partition_by else df
         rows = write_counted(shaped, folder, partition_by=partition_by)
@@ -136,17 +141,25 @@ class Snapshots:
         found = self.spark.read.schema(stored).parquet(folder).count()
         if found != rows:
             raise IncompleteWriteError(f"{folder} holds {found} rows, {rows} were written")
-        version = 0 if now is None else now["version"] + 1
-        noted = metrics(rows) if callable(metrics) else metrics
-        append_line(self.spark, self._history_path, {
-            "version": F.lit(version).cast("bigint"), "published_at": F.current_timestamp(),
-            "operation": F.lit(operation), "row_count": F.lit(rows).cast("bigint"),
-            "metrics": _counts(dict(noted or {})), "folder": F.lit(folder), "schema_json": F.lit(stored.json()),
-            "published_by": F.current_user(),
-        })
+        noted = dict((metrics(rows) if callable(metrics) else metrics) or {})
+        line = {"operation": operation, "row_count": rows, "metrics": noted, "folder": folder, "schema": stored.json(),
+                "partition_by": list(partition_by)}
+        self._commit(now, line, retries)
         self.written = folder
         return rows
 
+    def _commit(self, now: Mapping | None, line: Mapping, retries: int) -> None:
+        while True:
+            version = 0 if now is None else now["version"] + 1
+            marks = highest({} if now is None else now["marks"], line["metrics"])
+            try:
+                self.versions.put(version, {**line, "version": version, "marks": marks, **signature(self.spark)})
+                return
+            except VersionTakenError:
+                if retries < 1:
+                    raise
+                retries, now = retries - 1, self.versions.newest()
+
     def _fit(self, df: DataFrame, present: T.StructType, schema: str) -> DataFrame:
         if schema == "same":
             if not same_columns(df.schema, present):
@@ -169,27 +182,16 @@ class Snapshots:
         """
         if keep < 1:
             raise ValueError("the current publication has to stay")
-        log = self._log()
-        if log is None:
-            return 0
-        newest = F.desc("version"), F.desc("published_at")
-        gone = 0
-        for line in log.orderBy(*newest).offset(keep).select("folder").toLocalIterator():
-            gone += delete_folder(self.spark, line["folder"])
-        return gone
+        return sum(delete_folder(self.spark, self.versions.read(n)["folder"]) for n in self.versions.numbers()[:-keep])
 
     def latest_metric(self, name: str) -> int | None:
-        """The largest value published under ``name`` so far."""
-        log = self._log()
-        return None if log is None else log.agg(F.max(F.col("metrics")[name])).first()[0]
+        """The largest value published under ``name`` so far; the newest version carries it."""
+        now = self.versions.newest()
+        return None if now is None else now["marks"].get(name)
 
     def history(self, n: int) -> DataFrame:
         """The last ``n`` publications, newest first."""
-        log = self._log()
-        if log is None:
-            log = self.spark.createDataFrame([], HISTORY)
-        return log.orderBy(F.desc("version"), F.desc("published_at")).limit(n).select(
-            "version", "published_at", "operation", "row_count", "metrics")
+        return history_frame(self.spark, self.versions.last(n))
 
 
 def save_table(df: DataFrame, name: str, *, path: str | None = None, same_schema: bool = False) -> None:
@@ -204,9 +206,24 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None, same_schema
 
 
 def publish_as(name: str, snapshots: Snapshots) -> None:
-    """Point the catalog name at the newest publication in one statement, schema changes included."""
-    folder = snapshots.written or snapshots.folder()
-    snapshots.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    """Point the catalog name at the newest publication in one statement, schema changes included.
+
+    The view names its columns.  Folder names carry no types, so a partitioned
+    publication gets a table of its own that declares them, and the view reads
+    that: a text such as '007' stays a text.
+    """
+    spark, now = snapshots.spark, snapshots._newest()
+    schema = T.StructType.fromJson(json.loads(now["schema"]))
+    columns, source = ", ".join(quoted(c) for c in schema.names), f"parquet.`{now['folder']}`"
+    if now["partition_by"]:
+        database, _, short = name.rpartition(".")
+        source = f"{database + '.' if database else ''}{short}_{now['folder'].rsplit('/', 1)[1]}"
+        declared = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        by = ", ".join(quoted(c) for c in now["partition_by"])
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {source} ({declared}) USING parquet PARTITIONED BY ({by}) "
+                  f"LOCATION '{now['folder']}'")
+        spark.sql(f"MSCK REPAIR TABLE {source}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")
 
 
 def publish_verified(df: DataFrame, name: str, root: str, **options) -> int:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from smeltery.operators.merge import latest_by, upsert
+from smeltery.plans.parted import PartedTable
 from smeltery.plans.snapshot import Snapshots
 
 #: Where a micro-batch finds the id that its checkpoint keeps.
@@ -53,7 +54,7 @@ def ingest_files(stream: DataFrame, sink_path: str, checkpoint: str,
     return batches_run(drain(writer.option("path", sink_path).option("checkpointLocation", checkpoint)))
 
 
-def upsert_stream(stream: DataFrame, sink: Snapshots, checkpoint: str, keys: Sequence[str],
+def upsert_stream(stream: DataFrame, sink: Snapshots | PartedTable, checkpoint: str, keys: Sequence[str],
                   sequence: Sequence[str]) -> int:
     """Merge every micro-batch into the sink.
 
@@ -63,6 +64,9 @@ def upsert_stream(stream: DataFrame, sink: Snapshots, checkpoint: str, keys: Seq
     the id its checkpoint gives the stream; a batch published before a crash is
     skipped when that checkpoint replays it.  Other streams into the same sink
     and new checkpoints count their batches anew.
+
+    A :class:`PartedTable` rewrites only the parts a batch touches; a
+    :class:`Snapshots` sink is written anew for every batch.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         number = f"batch of {batch.sparkSession.sparkContext.getLocalProperty(STREAM_ID)}"
@@ -70,6 +74,12 @@ def upsert_stream(stream: DataFrame, sink: Snapshots, checkpoint: str, keys: Seq
         if done is not None and done >= batch_id:
             return
         newest = latest_by(batch, keys, sequence)
+        if isinstance(sink, PartedTable):
+            if sink.exists():
+                sink.upsert(newest, keys, newer_by=sequence, marks={number: batch_id})
+            else:
+                sink.create(newest, "STREAM_MERGE", marks={number: batch_id})
+            return
         merged = upsert(sink.read(), newest, keys, newer_by=sequence) if sink.exists() else newest
         sink.publish(merged, "STREAM_MERGE", metrics={number: batch_id})
 
