@@ -2,17 +2,29 @@
 
 Adding doubles depends on the order in which partitions arrive.  Decimal
 addition does not, so totals are the same on every cluster and every run.
+Amounts keep twelve fractional digits and sixteen before the point; their sums
+have room for ten more.  What a decimal cannot hold (NaN, the infinities and
+larger amounts) stays out of sums and averages and is counted by :func:`unfit`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EXACT = "decimal(24,6)"
+EXACT = "decimal(28,12)"
+
+
+def _column(column: Column | str) -> Column:
+    return F.col(column) if isinstance(column, str) else column
 
 
 def exact(column: Column | str) -> Column:
-    return F.col(column).cast(EXACT) if isinstance(column, str) else column.cast(EXACT)
+    return _column(column).try_cast(EXACT)
+
+
+def unfit(column: Column | str) -> Column:
+    """How many values are there but not among those added."""
+    return F.count_if(_column(column).isNotNull() & exact(column).isNull())
 
 
 def total(column: Column | str, digits: int = 2) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from smeltery.functions import columns as C
 
@@ -71,6 +71,23 @@ def split_invalid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
     )
 
 
+def publish_split(df: DataFrame, rules: Mapping[str, Column], folder: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Accepted and rejected rows as two outputs of one evaluation.
+
+    The frame is evaluated and its rules tested once, while both outputs are
+    written; rejected rows carry the names of the rules they break.  Returns
+    both as read back, and their counts, which add up to the input.
+    """
+    seen = Observation()
+    accepted = F.col("_failed_rules") == ""
+    tagged = tag_failed_rules(df, rules).withColumn("_accepted", accepted)
+    counted = tagged.observe(seen, F.count_if("_accepted").alias("accepted"), F.count_if(~F.col("_accepted")).alias("rejected"))
+    counted.write.partitionBy("_accepted").parquet(folder)
+    both = df.sparkSession.read.schema(tagged.schema).parquet(folder)
+    return (both.where("_accepted").drop("_failed_rules", "_accepted"), both.where("NOT _accepted").drop("_accepted"),
+            {name: int(n) for name, n in seen.get.items()})
+
+
 def claim_rules() -> dict[str, Column]:
     return {
         "claim_id": F.col("claim_id").isNotNull(),

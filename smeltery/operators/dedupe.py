@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from smeltery.functions.columns import quoted
+
 # What identifies a claim.
 CLAIM_KEYS = ("claim_id", "patient_id", "service_date", "procedure_code")
 
@@ -26,25 +28,39 @@ def total_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
 
 def pick_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), *,
-                     latest: bool = False) -> DataFrame:
+                     latest: bool = False, keep: Sequence[str] | None = None) -> DataFrame:
     """The lowest (or, with ``latest``, the highest) row of every key.
 
     Rows compare by ``order_by`` first and then by all remaining columns that
-    have an order, so only identical rows can tie.  Null keys form a group of
-    their own.  Spark turns the rank filter into a limit per key on the map
-    side as well: a hot key sends one row per map task through the shuffle.
+    have an order, so only identical rows can tie.  ``keep`` names the columns
+    that are wanted: no other is carried along, and rows that tie in
+    ``order_by`` compare by these alone.  Null keys form a group of their own.
+
+    With ``keep`` the survivor is a minimum over the few columns left; whole rows,
+    and those with columns that have no order, are ranked.  Either way a map task
+    reduces a key to one row before the shuffle, so a hot key is no burden.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("de-duplication needs at least one key column")
+    wanted = [c for c in df.columns if keep is None or c in keep]
+    if keep is not None:
+        df = df.select(*[quoted(c) for c in df.columns if c in {*keys, *order_by, *keep}])
     ranked = total_order(df, keys, order_by)
     if not ranked:
-        return df.dropDuplicates(keys)
-    direction = [F.col(c).desc_nulls_last() if latest else F.col(c).asc_nulls_first() for c in ranked]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*direction))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+        return df.dropDuplicates(keys).select(*[quoted(c) for c in wanted])
+    # A hash of the key comes first: one comparison of numbers settles nearly all of a sort by key.
+    df = df.withColumn("_key_hash", F.xxhash64(*[quoted(c) for c in keys]))
+    if keep is not None and len(ranked) + len(keys) + 1 == len(df.columns):
+        best = (F.max if latest else F.min)(F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(ranked)]))
+        found = df.groupBy("_key_hash", *[quoted(c) for c in keys]).agg(best.alias("_row"))
+        place = {c: F.col(f"_row.c{i}").alias(c) for i, c in enumerate(ranked)}
+        return found.select(*[place.get(c, F.col(quoted(c))) for c in wanted])
+    direction = [F.col(quoted(c)).desc_nulls_last() if latest else F.col(quoted(c)).asc_nulls_first() for c in ranked]
+    rank = F.row_number().over(Window.partitionBy("_key_hash", *[quoted(c) for c in keys]).orderBy(*direction))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).select(*[quoted(c) for c in wanted])
 
 
-def dedupe_claims(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def dedupe_claims(df: DataFrame, order_by: Sequence[str] = (), keep: Sequence[str] | None = None) -> DataFrame:
     """Keys are taken from the canonical columns, so alias-named sources keep theirs."""
-    return pick_one_per_key(df, [k for k in CLAIM_KEYS if k in df.columns], order_by)
+    return pick_one_per_key(df, [k for k in CLAIM_KEYS if k in df.columns], order_by, keep=keep)

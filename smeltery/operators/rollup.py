@@ -13,6 +13,13 @@ from smeltery.functions import money as M
 from smeltery.functions.calendar import year_month
 
 
+# The silver columns each roll-up reads.
+PROFILE_INPUTS = ("patient_id", "procedure_code", "paid_amount", "service_date")
+PATIENT_INPUTS = ("patient_id", "procedure_code", "diagnosis_code", "provider_id", "paid_amount", "allowed_amount", "service_date")
+MONTHLY_INPUTS = ("service_date", "claim_type", "patient_id", "paid_amount", "allowed_amount")
+PROCEDURE_INPUTS = ("procedure_code", "patient_id", "paid_amount")
+
+
 def row_total() -> Column:
     return F.count(F.lit(1))
 
@@ -92,3 +99,12 @@ def country_orders_by_order(lines: DataFrame) -> DataFrame:
         F.sum("revenue").cast("double").alias("total_revenue"),
         M.mean("amount").alias("avg_order_value"),
     )
+
+
+def money_check(df: DataFrame, column: str, *by: str) -> DataFrame:
+    """Exact total of an amount per group, unrounded, with the values added and those no total can hold."""
+    return df.groupBy(*by).agg(
+        F.sum(M.exact(column)).cast("double").alias("total"),
+        F.count(M.exact(column)).alias("added"),
+        M.unfit(column).alias("unfit"),
+    )

@@ -12,7 +12,7 @@ from smeltery.functions.columns import instant
 from smeltery.operators.drift import Drift, drift_report, repair_if_drifted, widen_types
 from smeltery.operators.merge import ACTION
 from smeltery.plans.snapshot import Snapshots, publish_verified, read_if_exists
-from smeltery.plans.state import SavedSchemas
+from smeltery.plans.state import DriftReports, SavedSchemas
 
 DRIFT_LOG = (
     "table_name string, column_name string, kind string, from_type string, to_type string, "
@@ -53,11 +53,12 @@ def drift_log(spark: SparkSession, path: str) -> DataFrame:
 
 def snapshot_with_drift(df: DataFrame, table: str, name: str, root: str, *, keep_saved_types: bool = False,
                         at: dt.datetime | None = None) -> int:
-    """One snapshot of a source table: compare with the saved schema, log, repair, publish, remember.
+    """One snapshot of a source table: compare with the schema before, log, repair, publish, remember.
 
-    The repaired frame is what gets published, and its schema is saved after
-    the publication, so the next run compares with what readers really see.
-    Small number types are widened first, in every run alike.
+    What arrives is compared with what arrived last, so a difference is logged
+    in the run that brings it and not again.  The frame is repaired towards the
+    columns and types that are published.  Every report is kept as JSON.  Small
+    number types are widened first, in every run alike.
     """
     spark, df = df.sparkSession, widen_types(df)
     saved = SavedSchemas(spark, f"{root}/schemas", table)
@@ -65,9 +66,13 @@ def snapshot_with_drift(df: DataFrame, table: str, name: str, root: str, *, keep
     drift = Drift(table, known if known is not None else df.schema, df.schema)
     if drift.has_drift:
         log_drift(df, drift, f"{root}/drift_log", at)
-    repaired = repair_if_drifted(df, drift, keep_saved_types=keep_saved_types, stamp=False)
-    rows = publish_verified(repaired, name, f"{root}/tables/{table}")
-    saved.save(repaired.schema)
+    DriftReports(spark, f"{root}/drift_reports", table).save(drift)
+    folder = f"{root}/tables/{table}"
+    sink = Snapshots(spark, folder)
+    published = Drift(table, sink.read().schema if sink.exists() else df.schema, df.schema)
+    repaired = repair_if_drifted(df, published, keep_saved_types=keep_saved_types, stamp=False)
+    rows = publish_verified(repaired, name, folder)
+    saved.save(df.schema)
     return rows
 
 
@@ -85,3 +90,12 @@ def verify_tables(spark: SparkSession, names: Mapping[str, str]) -> DataFrame:
             F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
             F.lit(len(seen.columns)).alias("column_count")))
     return reduce(DataFrame.unionByName, checks)
+
+
+def verify_sample(spark: SparkSession, names: Mapping[str, str], keys: Mapping[str, str], n: int = 3) -> DataFrame:
+    """The ``n`` rows of each published table with the lowest keys, as JSON, the way its readers see them."""
+    samples = []
+    for table, name in names.items():
+        seen = spark.table(name).orderBy(keys[table]).limit(n)
+        samples.append(seen.select(F.lit(table).alias("table_name"), F.to_json(F.struct("*")).alias("sample")))
+    return reduce(DataFrame.unionByName, samples)

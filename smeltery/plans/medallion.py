@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smeltery.functions.columns import instant
+from smeltery.functions.money import EXACT
 from smeltery.operators import conform, dedupe, enrich, nested, quality, rollup
 from smeltery.plans.snapshot import ensure_database, publish_verified
 
@@ -20,8 +21,9 @@ GOLD_PROCEDURE = "gold_procedure_cost"
 TOP_PROCEDURES = 50
 
 
-def claims_silver(bronze: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    return dedupe.dedupe_claims(conform.conform_claims(bronze), order_by)
+def claims_silver(bronze: DataFrame, order_by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+    """One conformed row per claim; ``columns`` names those a single roll-up needs, so no others are computed or moved."""
+    return dedupe.dedupe_claims(conform.conform_claims(bronze), order_by, columns)
 
 
 def stamp_silver(silver: DataFrame, source_table: str, as_of: dt.datetime | None = None) -> DataFrame:
@@ -90,8 +92,8 @@ def country_view(database: str, table: str) -> str:
         CREATE OR REPLACE VIEW {database}.gold_country_orders AS
         SELECT customer__address__country_code,
                COUNT(DISTINCT order_id) AS total_orders,
-               CAST(SUM(CAST(item__total AS DECIMAL(24,6))) AS DOUBLE) AS total_revenue,
-               CAST(ROUND(AVG(CAST(payment__amount AS DECIMAL(24,6))), 2) AS DOUBLE) AS avg_order_value
+               CAST(SUM(TRY_CAST(item__total AS {EXACT})) AS DOUBLE) AS total_revenue,
+               CAST(ROUND(AVG(TRY_CAST(payment__amount AS {EXACT})), 2) AS DOUBLE) AS avg_order_value
         FROM {database}.{table}
         GROUP BY ALL
         ORDER BY total_revenue DESC"""

@@ -16,7 +16,7 @@ from smeltery.operators import (
 )
 from smeltery.plans import audit, dimension, fixtures as X, loads, medallion, oracle as O, parted, snapshot, state
 from smeltery.plans.versions import VersionTakenError
-from smeltery.sources import readers
+from smeltery.sources import readers, rescue
 from smeltery.streaming import flows
 from smeltery.workspace import new_folder
 
@@ -99,8 +99,40 @@ def invalid_record_split(spark, sf):
                          "failed_rules")
 
 
-def silver_claims(spark, sf):
-    return medallion.claims_silver(X.claims_raw(spark, sf), TIES)
+FAILED = """concat_ws(',', CASE WHEN claim_id IS NULL THEN 'claim_id' END, CASE WHEN patient_id IS NULL THEN 'patient_id' END,
+  CASE WHEN service_date IS NULL THEN 'service_date' END, CASE WHEN procedure_code IS NULL THEN 'procedure_code' END,
+  CASE WHEN paid_amount IS NULL OR paid_amount < 0 THEN 'paid_amount' END)"""
+
+
+@query(O.over("conformed", f"""
+SELECT claim_id, tie_part, tie_supp, paid_amount, nullif(failed, '') AS failed_rules,
+       CASE WHEN failed = '' THEN 'accepted' ELSE 'rejected' END AS output,
+       count(*) OVER (PARTITION BY failed = '') AS counted FROM (SELECT *, {FAILED} AS failed FROM conformed)"""))
+def claims_accepted_rejected(spark, sf):
+    """Both outputs of one evaluation, each row with the count its output was given while it was written."""
+    silver = conform.conform_claims(X.claims_raw(spark, sf))
+    accepted, rejected, counts = conform.publish_split(silver, conform.claim_rules(), new_folder(spark, "claims-split"))
+    parts = []
+    for name, df, failed in (("accepted", accepted, F.lit(None).cast("string")), ("rejected", rejected, F.col("_failed_rules"))):
+        parts.append(df.select("claim_id", "tie_part", "tie_supp", "paid_amount", failed.alias("failed_rules"),
+                               F.lit(name).alias("output"), F.lit(counts[name]).cast("bigint").alias("counted")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("""
+SELECT l_returnflag, CAST(CAST(4 * sum(l_linenumber) FILTER (l_orderkey % 10 <> 3 AND l_orderkey % 10 <> 7) AS DECIMAL(28,8)) / 10000000 AS DOUBLE)
+         AS total, count(*) FILTER (l_orderkey % 10 <> 3 AND l_orderkey % 10 <> 7) AS added,
+       count(*) FILTER (l_orderkey % 10 = 3 OR l_orderkey % 10 = 7) AS unfit
+FROM lineitem GROUP BY l_returnflag""")
+def money_exact_totals(spark, sf):
+    """Amounts far below a cent, among them some that are no numbers and some beyond any amount."""
+    line, order = F.col("l_linenumber"), F.col("l_orderkey") % 10
+    tiny = F.when(order == 3, F.lit(float("nan"))).when(order == 7, F.lit(1e30)).otherwise(line * F.lit(4e-7))
+    return rollup.money_check(X.table(spark, sf, "lineitem").withColumn("amount", tiny), "amount", "l_returnflag")
+
+
+def silver_claims(spark, sf, columns=None):
+    return medallion.claims_silver(X.claims_raw(spark, sf), TIES, columns)
 
 
 @query(O.over("silver", "SELECT * FROM silver"))
@@ -116,7 +148,7 @@ SELECT count(*) AS total_records, count(DISTINCT patient_id) AS unique_patients,
        min(service_date) AS earliest_service, max(service_date) AS latest_service
 FROM silver"""))
 def silver_profile(spark, sf):
-    return rollup.claims_profile(silver_claims(spark, sf))
+    return rollup.claims_profile(silver_claims(spark, sf, rollup.PROFILE_INPUTS))
 
 
 @query(O.over("silver", f"""
@@ -128,7 +160,7 @@ SELECT patient_id, count(*) AS total_claims, count(DISTINCT procedure_code) AS d
        CAST(datediff('day', min(service_date), max(service_date)) AS INTEGER) AS patient_tenure_days
 FROM silver GROUP BY patient_id"""))
 def gold_patient_summary(spark, sf):
-    return rollup.patient_summary(silver_claims(spark, sf))
+    return rollup.patient_summary(silver_claims(spark, sf, rollup.PATIENT_INPUTS))
 
 
 @query(O.over("silver", f"""
@@ -137,7 +169,7 @@ SELECT strftime(service_date, '%Y-%m') AS year_month, claim_type, count(*) AS cl
        {O.mean('paid_amount')} AS avg_paid, {O.total('allowed_amount')} AS total_allowed
 FROM silver WHERE service_date IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2"""))
 def gold_monthly_spend(spark, sf):
-    return rollup.monthly_spend(silver_claims(spark, sf)).orderBy("year_month", "claim_type")
+    return rollup.monthly_spend(silver_claims(spark, sf, rollup.MONTHLY_INPUTS)).orderBy("year_month", "claim_type")
 
 
 PROCEDURES = f"""
@@ -150,13 +182,13 @@ ORDER BY total_paid DESC, procedure_code"""
 
 @query(O.over("silver", PROCEDURES))
 def gold_procedure_cost(spark, sf):
-    costs = rollup.procedure_cost(silver_claims(spark, sf))
+    costs = rollup.procedure_cost(silver_claims(spark, sf, rollup.PROCEDURE_INPUTS))
     return costs.orderBy(F.desc("total_paid"), "procedure_code")
 
 
 @query(O.over("silver", PROCEDURES + " LIMIT 50"))
 def gold_procedure_top50(spark, sf):
-    costs = rollup.procedure_cost(silver_claims(spark, sf))
+    costs = rollup.procedure_cost(silver_claims(spark, sf, rollup.PROCEDURE_INPUTS))
     return rollup.top_by(costs, "total_paid", medallion.TOP_PROCEDURES, "procedure_code")
 
 
@@ -164,9 +196,9 @@ def gold_procedure_top50(spark, sf):
 def claims_bronze_to_gold(spark, sf):
     """Every claims step from untidy headings to the ranked view."""
     bronze = X.claims_untidy(spark, sf)
-    silver = medallion.stamp_silver(medallion.claims_silver(bronze, TIES), "claims")
-    gold = medallion.claims_gold(silver.filter(F.col("silver_load_ts").isNotNull()))
-    return rollup.top_by(gold[medallion.GOLD_PROCEDURE], "total_paid", medallion.TOP_PROCEDURES, "procedure_code")
+    silver = medallion.stamp_silver(medallion.claims_silver(bronze, TIES, rollup.PROCEDURE_INPUTS), "claims")
+    costs = rollup.procedure_cost(silver.filter(F.col("silver_load_ts").isNotNull()))
+    return rollup.top_by(costs, "total_paid", medallion.TOP_PROCEDURES, "procedure_code")
 
 
 def _database(folder):
@@ -904,6 +936,127 @@ def partition_report(spark, sf):
     return layout.partition_report(layout.gather_by_key(X.table(spark, sf, "customer"), "c_custkey"))
 
 
+@query("SELECT count(*) AS rows, CAST(8 AS BIGINT) AS files, CAST(0 AS BIGINT) AS meeting, 0.125 AS share FROM customer")
+def clustered_file_ranges(spark, sf):
+    """Clustered into eight files: no two ranges meet, and a lookup opens one of them."""
+    folder = new_folder(spark, "customer-ranges")
+    snapshot.write_counted(layout.cluster_by_key(X.table(spark, sf, "customer"), "c_custkey", partitions=8), folder)
+    return layout.lookup_cost(readers.read_files(spark, folder), "c_custkey")
+
+
+@query("SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS rows FROM customer")
+def repartition_report(spark, sf):
+    """Dealt by hash of the key to a given number of partitions, and counted per partition."""
+    dealt = X.table(spark, sf, "customer").repartition(8, "c_custkey")
+    return layout.partition_report(dealt).agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
+
+
+@query("SELECT least(100, count(*)) AS sampled, least(100, count(*)) AS known FROM orders")
+def sample_limit_known(spark, sf):
+    """An unordered sample: as many rows as asked for, all of them rows of the table."""
+    orders = X.table(spark, sf, "orders")
+    known = orders.limit(100).join(orders, orders.columns, "left_semi")
+    return orders.limit(100).agg(F.count(F.lit(1)).alias("sampled")).join(
+        known.agg(F.count(F.lit(1)).alias("known")), F.lit(True))
+
+
+@query("""
+SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS whole, CAST(floor(-o_totalprice / 7) AS BIGINT) AS below,
+       o_totalprice - floor(o_totalprice) AS rest FROM orders""")
+def floor_amounts(spark, sf):
+    price = F.col("o_totalprice")
+    return X.table(spark, sf, "orders").select("o_orderkey", F.floor(price).alias("whole"), F.floor(-price / 7).alias("below"),
+                                               (price - F.floor(price)).alias("rest"))
+
+
+@query("""
+SELECT 'added' AS side, 'discount_pct' AS column_name UNION ALL SELECT 'dropped', 'o_orderpriority'""")
+def columns_added_and_dropped(spark, sf):
+    old, new = X.table(spark, sf, "orders"), X.orders_v2(spark, sf)
+    found = [("added", c) for c in drift.columns_only_in(new, old)] + [("dropped", c) for c in drift.columns_only_in(old, new)]
+    return spark.createDataFrame(found, "side string, column_name string")
+
+
+SHAPES = """SELECT *, CAST(o_orderkey % 100 AS SMALLINT) AS grade, CAST(o_orderkey % 8 AS FLOAT) / 4 AS ratio FROM orders_v2"""
+
+
+@query(O.over("orders_v2", f"""
+SELECT * FROM (WITH v AS ({SHAPES})
+SELECT 'report' AS line, 1 AS run, column_name, kind, from_type, to_type, filled, lost_values FROM (
+  SELECT 'discount_pct' AS column_name, 'new' AS kind, CAST(NULL AS VARCHAR) AS from_type, 'decimal(5,2)' AS to_type,
+         count(discount_pct) AS filled, 0 AS lost_values FROM v
+  UNION ALL SELECT 'grade', 'new', NULL, 'int', count(grade), 0 FROM v
+  UNION ALL SELECT 'ratio', 'new', NULL, 'double', count(ratio), 0 FROM v
+  UNION ALL SELECT 'o_orderpriority', 'dropped', 'string', NULL, 0, 0
+  UNION ALL SELECT 'o_totalprice', 'type_changed', 'double', 'string', count(o_totalprice),
+         count(*) FILTER (o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DOUBLE) IS NULL) FROM v)
+UNION ALL
+SELECT 'column', CAST(position AS INTEGER), column_name, data_type, NULL, NULL, filled, NULL FROM (
+  SELECT 1 AS position, 'o_orderkey' AS column_name, 'bigint' AS data_type, count(o_orderkey) AS filled FROM v
+  UNION ALL SELECT 2, 'o_custkey', 'bigint', count(o_custkey) FROM v
+  UNION ALL SELECT 3, 'o_orderstatus', 'string', count(o_orderstatus) FROM v
+  UNION ALL SELECT 4, 'o_totalprice', 'double', count(TRY_CAST(o_totalprice AS DOUBLE)) FROM v
+  UNION ALL SELECT 5, 'o_orderdate', 'timestamp_ntz', count(o_orderdate) FROM v
+  UNION ALL SELECT 6, 'discount_pct', 'decimal(5,2)', count(discount_pct) FROM v
+  UNION ALL SELECT 7, 'grade', 'int', count(grade) FROM v
+  UNION ALL SELECT 8, 'ratio', 'double', count(ratio) FROM v
+  UNION ALL SELECT 9, 'o_orderpriority', 'string', 0)
+UNION ALL
+SELECT 'sample', 0, CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, grade, NULL FROM (SELECT * FROM v ORDER BY o_orderkey LIMIT 3))"""))
+def snapshot_drift_over_runs(spark, sf):
+    """Three runs of a table: the second brings new, dropped, changed and small columns, the third the same again."""
+    folder = new_folder(spark, "drift-runs")
+    name = f"drift_{folder.rsplit('-', 1)[1]}"
+    second = X.orders_v2(spark, sf).withColumns({
+        "grade": (F.col("o_orderkey") % 100).cast("smallint"),
+        "ratio": ((F.col("o_orderkey") % 8).cast("float") / F.lit(4).cast("float")).cast("float")})
+    for df in (X.table(spark, sf, "orders"), second, second):
+        audit.snapshot_with_drift(df, "orders", name, folder, keep_saved_types=True)
+    kept = state.DriftReports(spark, f"{folder}/drift_reports", "orders").replay()
+    logged = audit.drift_log(spark, f"{folder}/drift_log").select("column_name", "filled", "lost_values")
+    nothing = F.lit(None).cast("string")
+    report = kept.join(logged, "column_name").select(
+        F.lit("report").alias("line"), F.col("run").cast("int").alias("run"), "column_name", "kind", "from_type", "to_type",
+        "filled", "lost_values")
+    columns = drift.schema_rows(spark.table(name)).select(
+        F.lit("column"), "position", "column_name", "data_type", nothing, nothing, "filled", F.lit(None).cast("bigint"))
+    sample = audit.verify_sample(spark, {"orders": name}, {"orders": "o_orderkey"}).select(
+        F.lit("sample"), F.lit(0), F.get_json_object("sample", "$.o_orderkey"), nothing, nothing, nothing,
+        F.get_json_object("sample", "$.grade").cast("bigint"), F.lit(None).cast("bigint"))
+    return report.union(columns).union(sample)
+
+
+@query("""
+SELECT CAST(o_orderkey AS BIGINT) AS id, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS amount,
+       o_orderstatus AS status, CAST(NULL AS VARCHAR) AS note,
+       CASE WHEN o_orderkey % 5 = 0 THEN '{"amount":"n/a"}' END AS _rescued FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL
+SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT), o_orderstatus, o_orderpriority,
+       NULL
+FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 7 <> 0
+UNION ALL
+SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT), o_orderstatus, o_orderpriority, '{"extra":"' || o_orderkey % 100 || '"}'
+FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 7 = 0""")
+def json_shapes_rescued(spark, sf):
+    """Two batches of JSON: amounts that turn to text, a new field, and one that only some lines hold."""
+    folder, orders = new_folder(spark, "json-shapes"), X.table(spark, sf, "orders")
+    key, whole = F.col("o_orderkey"), F.floor("o_totalprice")
+    plain = F.struct(key.alias("id"), whole.alias("amount"), F.col("o_orderstatus").alias("status"))
+    text = F.struct(key.alias("id"), F.lit("n/a").alias("amount"), F.col("o_orderstatus").alias("status"))
+    first = orders.where(key % 2 == 0).select(F.when(key % 5 == 0, F.to_json(text)).otherwise(F.to_json(plain)).alias("value"))
+    noted = F.struct(key.alias("id"), whole.alias("amount"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("note"))
+    more = F.struct(noted["id"].alias("id"), noted["amount"].alias("amount"), noted["status"].alias("status"),
+                    noted["note"].alias("note"), (key % 100).alias("extra"))
+    second = orders.where(key % 2 == 1).select(F.when(key % 7 == 0, F.to_json(more)).otherwise(F.to_json(noted)).alias("value"))
+    saved, out = None, []
+    for i, (batch, seen) in enumerate(((first, first.where("value NOT LIKE '%n/a%'")), (second, second.where("value NOT LIKE '%extra%'")))):
+        batch.write.text(f"{folder}/{i}")
+        # What the sample happens to hold is fixed here, so that the columns do not depend on file order.
+        saved = rescue.merged_schema(saved, rescue.infer_schema(seen))
+        out.append(rescue.typed_and_rescued(spark.read.text(f"{folder}/{i}"), saved))
+    return out[0].unionByName(out[1], allowMissingColumns=True).select("id", "amount", "status", "note", "_rescued")
+
+
 @query()
 def sample_limit(spark, sf):
     return X.table(spark, sf, "orders").limit(100)
@@ -988,6 +1141,32 @@ def stream_upsert_touched(spark, sf):
     return _carried(sink)
 
 
+LATE = "ts <= TIMESTAMP '2024-01-05'"
+
+
+@query(f"""
+WITH e AS (SELECT DISTINCT event_id, ts FROM events WHERE ts <= TIMESTAMP '2024-01-31')
+SELECT 'kept' AS output, event_id, ts FROM e UNION ALL SELECT 'late', event_id, ts FROM e WHERE {LATE}
+UNION ALL SELECT 'remembered', event_id, ts FROM e WHERE ts >= (SELECT max(ts) FROM e) - INTERVAL 2 DAY
+UNION ALL SELECT 'dropped', count(*), NULL FROM e WHERE ts > TIMESTAMP '2024-01-09' AND ts <= TIMESTAMP '2024-01-10'""")
+def stream_dedupe_late(spark, sf):
+    """Three batches two days apart in their watermark: copies are dropped, old rows come late, old keys are forgotten."""
+    folder = new_folder(spark, "stream-late")
+    events = X.table(spark, sf, "events").where("ts <= TIMESTAMP '2024-01-31'").select("event_id", "ts").distinct()
+    batches = ("ts <= TIMESTAMP '2024-01-10'", "ts > TIMESTAMP '2024-01-09' AND ts <= TIMESTAMP '2024-01-20'",
+               f"ts > TIMESTAMP '2024-01-20' OR {LATE}")
+    for rows in batches:
+        events.where(rows).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        files = flows.stream_files(spark, f"{folder}/in/", events.schema, files_per_trigger=1)
+        flows.dedupe_with_late_rows(files, folder, f"{folder}/checkpoint", ["event_id"], "ts", 2 * 86_400)
+    keys = snapshot.Snapshots(spark, f"{folder}/keys")
+    outputs = [readers.read_files(spark, f"{folder}/{name}").select(F.lit(name).alias("output"), "event_id", "ts")
+               for name in ("kept", "late")]
+    dropped = keys.history(9).agg(F.sum(F.col("metrics")["dropped"]).alias("event_id"))
+    return (outputs[0].union(outputs[1]).union(keys.read().select(F.lit("remembered"), "event_id", "ts"))
+            .union(dropped.select(F.lit("dropped"), "event_id", F.lit(None).cast(events.schema["ts"].dataType))))
+
+
 @query("SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_dedupe(spark, sf):
     """Every file arrives twice; each event stays once."""

@@ -13,6 +13,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from smeltery.operators.dedupe import pick_one_per_key
+from smeltery.operators.drift import Drift
 from smeltery.operators.filters import Cursor
 from smeltery.plans.snapshot import append_line, read_if_exists
 
@@ -133,3 +134,25 @@ class SavedSchemas(_Lines):
 
     def save(self, schema: T.StructType) -> None:
         self._append(F.lit(schema.json()))
+
+
+class DriftReports(_Lines):
+    """Drift of every run of a table, kept as JSON."""
+
+    field = ("report_json", "string")
+
+    def save(self, drift: Drift) -> None:
+        self._append(F.lit(drift.to_json()))
+
+    def replay(self) -> DataFrame:
+        """Every difference ever reported, with the number of its report."""
+        shape = "run bigint, table_name string, column_name string, kind string, from_type string, to_type string"
+        lines = self._read()
+        if lines is None:
+            return self.spark.createDataFrame([], shape)
+        mine = lines.filter(F.col("table_name") == self.table_name).orderBy("version", "updated_at")
+        # A report is a line of schemas, and there is one per run of the table.
+        found = [(line["version"], *entry) for line in mine.toLocalIterator()
+                 for drift in [Drift.from_json(line["report_json"])]
+                 for entry in [(drift.table, *e) for e in drift.entries()]]
+        return self.spark.createDataFrame(found, shape)

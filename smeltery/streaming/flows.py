@@ -7,13 +7,16 @@ is read once.  Streams start with ``availableNow`` and end by themselves.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from smeltery.operators.dedupe import pick_one_per_key
 from smeltery.operators.merge import latest_by, upsert
 from smeltery.plans.parted import PartedTable
-from smeltery.plans.snapshot import Snapshots
+from smeltery.plans.snapshot import Snapshots, write_counted
 
 #: Where a micro-batch finds the id that its checkpoint keeps.
 STREAM_ID = "sql.streaming.queryId"
@@ -113,3 +116,44 @@ def dedupe_stream(stream: DataFrame, sink_path: str, checkpoint: str, keys: Sequ
             spark.conf.unset(STATE_STORE_CONF)
         else:
             spark.conf.set(STATE_STORE_CONF, before)
+
+
+def dedupe_with_late_rows(stream: DataFrame, folder: str, checkpoint: str, keys: Sequence[str], ts_column: str,
+                          delay_seconds: int) -> int:
+    """First row of each key, rows that come too late in an output of their own.
+
+    A row is late when its time lies more than ``delay_seconds`` before the
+    newest time of the micro-batches before it; rows without a time are never
+    late.  Keys are remembered until they could only come late, and forgotten
+    then; keys without a time are kept.  Kept and late rows are written below a
+    folder of the batch, so a batch that is run again replaces itself, and the
+    remembered keys, the watermark and the counts are published together.
+    Copies of a key within a batch become its earliest row.
+    """
+    spark = stream.sparkSession
+    state = Snapshots(spark, f"{folder}/keys")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if (state.latest_metric("batch") or 0) > batch_id:
+            return
+        mark = state.latest_metric("watermark")
+        time = F.unix_micros(F.col(ts_column).cast("timestamp"))
+        late = F.lit(False) if mark is None else F.coalesce(time < mark, F.lit(False))
+        first = pick_one_per_key(batch.where(~late), keys, [ts_column])
+        if state.exists():
+            seen = state.read().select(*[F.col(k).alias(f"_seen_{i}") for i, k in enumerate(keys)])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_seen_{i}")) for i, k in enumerate(keys)])
+            first = first.join(seen, same, "left_anti")
+        kept = write_counted(first, f"{folder}/kept/batch={batch_id}", mode="overwrite")
+        gone = write_counted(batch.where(late), f"{folder}/late/batch={batch_id}", mode="overwrite")
+        total, newest = batch.agg(F.count(F.lit(1)), F.max(time)).first()
+        marks = [m for m in (mark, None if newest is None else newest - delay_seconds * 1_000_000) if m is not None]
+        new = spark.read.schema(batch.schema).parquet(f"{folder}/kept/batch={batch_id}").select(*keys, ts_column)
+        known = state.read().unionByName(new) if state.exists() else new
+        if marks:
+            known = known.where(F.coalesce(time >= max(marks), F.lit(True)))
+        counts = {"batch": batch_id + 1, "kept": kept, "late": gone, "dropped": total - kept - gone}
+        state.publish(known, "STREAM_DEDUPE", metrics=counts | ({"watermark": max(marks)} if marks else {}))
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(apply)
+    return batches_run(drain(writer.option("checkpointLocation", checkpoint)))

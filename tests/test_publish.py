@@ -181,7 +181,8 @@ def test_snapshot_repairs_before_it_publishes(spark, folder):
     assert audit.drift_log(spark, f"{folder}/drift_log").count() == 3
     audit.snapshot_with_drift(v2(spark), "t", known_as, folder, keep_saved_types=True)
     repeated = audit.drift_log(spark, f"{folder}/drift_log").groupBy("column_name").count()
-    assert dict(rows(repeated))["price"] == 2
+    assert dict(rows(repeated)) == {"price": 1, "note": 1, "extra": 1}
+    assert dict(rows(spark.table(known_as), "id", "price")) == {1: 1.5, 2: None, 3: None}
 
 
 def test_a_widened_column_is_no_drift_later(spark, folder):
@@ -251,3 +252,17 @@ def test_path_scans(spark, folder):
     frame(spark, 1).write.parquet(f"{folder}/t")
     assert rows(readers.scan_path(spark, f"{folder}/t")) == [(1, "1")]
     assert rows(readers.read_files(spark, f"{folder}/t", schema="k int")) == [(1,)]
+
+
+def test_reports_are_replayed_and_a_third_run_is_quiet(spark, folder):
+    known_as = name()
+    first = spark.createDataFrame([(1, 1.0, "x")], "id bigint, price double, note string")
+    second = spark.createDataFrame([(2, "2.5", 3, 0.5)], "id bigint, price string, small smallint, part float")
+    for df in (first, second, second):
+        audit.snapshot_with_drift(df, "t", known_as, folder, keep_saved_types=True)
+    kept = state.DriftReports(spark, f"{folder}/drift_reports", "t")
+    assert rows(kept.replay(), "run", "column_name", "kind", "to_type") == [
+        (1, "note", "dropped", None), (1, "part", "new", "double"), (1, "price", "type_changed", "string"), (1, "small", "new", "int")]
+    assert audit.drift_log(spark, f"{folder}/drift_log").count() == 4
+    assert spark.table(known_as).schema.simpleString() == "struct<id:bigint,price:double,small:int,part:double,note:string>"
+    assert rows(audit.verify_sample(spark, {"t": known_as}, {"t": "id"}), "sample") == [('{"id":2,"price":2.5,"small":3,"part":0.5}',)]

@@ -2,7 +2,9 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from smeltery.operators import dedupe, enrich, layout, nested, quality, rollup
+from smeltery.operators import conform, dedupe, enrich, layout, nested, quality, rollup
+from smeltery.operators.dedupe import pick_one_per_key
+from smeltery.plans import registry as R
 from smeltery.sources.readers import ORDER_DOCUMENT, read_json_documents
 
 
@@ -155,3 +157,71 @@ def test_clustering_sorts_inside_ranges_and_splits_a_hot_key(spark):
 def test_partition_report_counts_every_row(spark):
     report = layout.partition_report(layout.gather_by_key(spark.range(100), "id", partitions=4))
     assert report.agg(F.sum("rows")).first()[0] == 100
+
+
+def test_kept_columns_are_the_only_ones_moved(spark, small):
+    text = plan(R.gold_monthly_spend(spark, small))
+    text = text[text.index("== Physical Plan =="):]
+    shuffled = [line for line in text.splitlines() if "SortAggregate" in line or "Exchange hashpartitioning" in line]
+    assert shuffled and "Window" not in text
+    for unused in ("icd_code", "npi", "claim_date", "l_tax"):
+        assert unused not in text
+
+
+def test_survivor_by_kept_columns_equals_the_ranked_row(spark):
+    import random
+
+    rng = random.Random(3)
+    data = [(rng.choice([1, 2, None]), rng.choice(["a", None]), rng.choice([None, 1, 2, 3]), rng.random(), float("nan")) for _ in range(300)]
+    df = spark.createDataFrame(data, "k int, k2 string, o int, v double, `a.b` double").repartition(5)
+    for latest in (False, True):
+        whole = pick_one_per_key(df, ["k", "k2"], ["o", "v"], latest=latest)
+        part = pick_one_per_key(df, ["k", "k2"], ["o", "v"], latest=latest, keep=["k", "v", "o"])
+        assert part.columns == ["k", "o", "v"]
+        assert rows(part) == rows(whole.select("k", "o", "v"))
+    ties = spark.createDataFrame([(1, 5, "b", "x"), (1, 5, "a", "y")], "k int, o int, v string, w string")
+    assert rows(pick_one_per_key(ties, ["k"], ["o"], keep=["v"])) == [("a",)]
+    assert rows(pick_one_per_key(ties, ["k"], ["o"], keep=["k"])) == [(1,)]
+
+
+def test_tiny_amounts_add_up_and_others_are_counted(spark):
+    values = [4e-7] * 10 + [float("nan"), float("inf"), 1e16, None, -0.5]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, amount double")
+    assert rows(rollup.money_check(df, "amount", "g")) == [("g", -0.499996, 11, 3)]
+    assert rows(rollup.money_check(df.where("amount > 0 AND amount < 1"), "amount", "g")) == [("g", 4e-6, 10, 0)]
+
+
+def test_split_is_evaluated_once_and_adds_up(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(20).selectExpr("id", "IF(id % 4 = 0, NULL, id) AS v").mapInPandas(count, "id long, v double")
+    rules = {"present": F.col("v").isNotNull(), "small": F.col("v") < 10}
+    good, bad, counts = conform.publish_split(df, rules, folder + "/split")
+    assert seen.value == 20 and counts == {"accepted": 7, "rejected": 13}
+    assert (good.count(), bad.count(), good.columns) == (7, 13, ["id", "v"])
+    assert rows(bad.where("id IN (0, 11)"), "id", "_failed_rules") == [(0, "present,small"), (11, "small")]
+    empty = conform.publish_split(df.limit(0), rules, folder + "/empty")
+    assert empty[2] == {"accepted": 0, "rejected": 0} and empty[0].count() == empty[1].count() == 0
+
+
+def test_lookup_cost_tells_a_copy_from_clusters(spark, folder):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    df.repartition(4).write.parquet(f"{folder}/copy")
+    layout.cluster_by_key(df, "k", partitions=4).write.parquet(f"{folder}/clustered")
+    spark.createDataFrame([(1,), (1,), (2,)], "k long").repartitionByRange(1, "k").write.parquet(f"{folder}/one")
+    cost = lambda name: rows(layout.lookup_cost(spark.read.parquet(f"{folder}/{name}"), "k"))[0]
+    assert cost("clustered") == (1000, 4, 0, 0.25)
+    copied = cost("copy")
+    assert copied[:3] == (1000, 4, 3) and copied[3] > 0.9
+    assert cost("one") == (3, 1, 0, 1.0)
+
+
+def test_touching_ranges_meet(spark, folder):
+    for pair in ((1, 5), (5, 9), (10, 12)):
+        spark.createDataFrame([(k,) for k in pair], "k long").coalesce(1).write.mode("append").parquet(f"{folder}/t")
+    assert rows(layout.lookup_cost(spark.read.parquet(f"{folder}/t"), "k"))[0][1:3] == (3, 1)

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from smeltery.plans import snapshot as S
+from smeltery.plans.parted import KeyRanges, PartedTable
 from smeltery.streaming import flows
 
 SHAPE = "k int, seq int, ts timestamp_ntz"
@@ -100,3 +101,47 @@ def test_json_folder_with_new_files_between_runs(spark, folder):
         source = flows.stream_files(spark, f"{folder}/in/", "k int", fmt="json")
         flows.ingest_files(source, f"{folder}/out", f"{folder}/ck")
     assert rows(spark.read.parquet(f"{folder}/out")) == [(1,), (2,)]
+
+
+def test_kept_dropped_and_late_rows_add_up(spark, folder):
+    def run():
+        files = flows.stream_files(spark, f"{folder}/in", SHAPE, files_per_trigger=1)
+        return flows.dedupe_with_late_rows(files, folder, f"{folder}/ck", ["k"], "ts", 600)
+
+    batches = [[(1, 0), (1, 1), (2, 5)], [(1, 2), (3, 30), (2, 30)], [(4, 19), (5, 21), (1, 22)], [(3, 31), (6, 60)], [(3, 55)]]
+    for batch in batches:
+        put(spark, f"{folder}/in", *batch)
+        assert run() == 1
+    read = lambda name: rows(spark.read.parquet(f"{folder}/{name}"), "k", "seq")
+    # After 30 minutes the mark is at 20: key 1 of minute 0 is forgotten then, and (4, 19) is late.
+    assert read("kept") == [(1, 0), (1, 22), (2, 5), (3, 30), (3, 55), (5, 21), (6, 60)]
+    assert read("late") == [(4, 19)]
+    keys = S.Snapshots(spark, f"{folder}/keys")
+    total = {name: sum(r["metrics"][name] for r in keys.history(9).collect()) for name in ("kept", "late", "dropped")}
+    assert total == {"kept": 7, "late": 1, "dropped": 4} and sum(total.values()) == sum(map(len, batches))
+    assert rows(keys.read(), "k") == [(3,), (6,)]
+    assert run() == 0
+
+
+def test_a_batch_run_again_replaces_itself(spark, folder):
+    put(spark, f"{folder}/in", (1, 1), (2, 2))
+    source = lambda: flows.stream_files(spark, f"{folder}/in", SHAPE)
+    flows.dedupe_with_late_rows(source(), folder, f"{folder}/ck", ["k"], "ts", 600)
+    shutil.rmtree(f"{folder}/ck/commits")
+    flows.dedupe_with_late_rows(source(), folder, f"{folder}/ck", ["k"], "ts", 600)
+    assert rows(spark.read.parquet(f"{folder}/kept"), "k") == [(1,), (2,)]
+    assert S.Snapshots(spark, f"{folder}/keys").history(9).count() == 1
+
+
+def test_upserts_into_parts_rewrite_only_theirs(spark, folder):
+    sink = PartedTable(spark, f"{folder}/out", KeyRanges("k", (10, 20)))
+    put(spark, f"{folder}/in", (1, 1), (15, 1), (25, 1))
+    flows.upsert_stream(stream(spark, folder), sink, f"{folder}/ck", ["k"], ["seq"])
+    before = sink.parts()
+    put(spark, f"{folder}/in", (15, 5), (16, 2))
+    flows.upsert_stream(stream(spark, folder), sink, f"{folder}/ck", ["k"], ["seq"])
+    assert {p for p in before if before[p] != sink.parts()[p]} == {"000001"}
+    assert rows(sink.read(), "k", "seq") == [(1, 1), (15, 5), (16, 2), (25, 1)]
+    shutil.rmtree(f"{folder}/ck/commits")
+    flows.upsert_stream(stream(spark, folder), sink, f"{folder}/ck", ["k"], ["seq"])
+    assert len(sink.versions.numbers()) == 2
