@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -213,6 +214,35 @@ def claims_layers_published(spark, sf):
     return spark.table(f"{_database(folder)}.vw_gold_procedure_cost")
 
 
+@query(O.over("silver", f"""
+SELECT 'silver' AS name, count(*) AS rows, CAST(NULL AS DOUBLE) AS first_value, TRUE AS there FROM silver
+UNION ALL SELECT 'patients', count(*), max(total), TRUE FROM (SELECT {O.total('paid_amount')} AS total FROM silver GROUP BY patient_id)
+UNION ALL SELECT 'months', count(*), (SELECT {O.total('paid_amount')} FROM silver WHERE service_date IS NOT NULL
+    GROUP BY strftime(service_date, '%Y-%m'), claim_type ORDER BY strftime(service_date, '%Y-%m'), claim_type LIMIT 1), TRUE
+  FROM (SELECT DISTINCT strftime(service_date, '%Y-%m'), claim_type FROM silver WHERE service_date IS NOT NULL)
+UNION ALL SELECT 'dropped', 0, NULL, FALSE"""))
+def claims_views_read(spark, sf):
+    """The silver, patient and month views of published layers, and a table that is dropped twice."""
+    folder = new_folder(spark, "claims-views")
+    database = _database(folder)
+    medallion.build_claims(X.claims_untidy(spark, sf), database, folder, order_by=TIES)
+
+    def line(name, df, first, there):
+        return df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), first.cast("double").alias("first_value"),
+                      F.lit(there).alias("there"))
+
+    silver = spark.table(f"{database}.vw_silver_claims")
+    patients, months = (spark.table(f"{database}.vw_gold_{n}") for n in ("patient_summary", "monthly_spend"))
+    earliest = F.min_by("total_paid", F.struct("year_month", "claim_type"))
+    snapshot.save_table(patients.limit(5), f"{database}.short", path=f"{folder}/short")
+    for _ in range(2):
+        snapshot.drop_table(spark, f"{database}.short")
+    gone = spark.catalog.tableExists(f"{database}.short")
+    return reduce(DataFrame.union, [
+        line("silver", silver, F.lit(None), True), line("patients", patients, F.max("total_paid"), True),
+        line("months", months, earliest, True), line("dropped", silver.limit(0), F.lit(None), gone)])
+
+
 @query("""
 SELECT o_orderdate, o_orderstatus, o_orderpriority, count(*) AS n FROM orders
 GROUP BY ALL ORDER BY o_orderdate DESC, o_orderstatus DESC, o_orderpriority DESC LIMIT 100""")
@@ -838,6 +868,50 @@ def catalog_table_overwrite(spark, sf):
     return spark.table(name)
 
 
+@query("SELECT c_custkey, c_name, c_acctbal * 2 AS doubled FROM customer WHERE c_acctbal > 0")
+def catalog_table_replaced(spark, sf):
+    """A catalog table written three times: other rows under the same schema, then another schema."""
+    folder = new_folder(spark, "catalog-replaced")
+    name = f"customer_{folder.rsplit('-', 1)[1]}"
+    customers = X.table(spark, sf, "customer")
+    snapshot.save_table(customers, name, path=folder)
+    snapshot.save_table(customers.where("c_acctbal <= 0"), name, path=folder, same_schema=True)
+    positive = customers.where("c_acctbal > 0")
+    snapshot.save_table(positive.select("c_custkey", "c_name", (F.col("c_acctbal") * 2).alias("doubled")), name, path=folder)
+    return spark.table(name)
+
+
+@query("""
+SELECT 0 AS version, count(*) AS row_count, TRUE AS by_me, TRUE AS in_time, count(*) AS stamped_in_time FROM customer""")
+def publication_stamps(spark, sf):
+    """Who published and when, and the load time of every row, held against this session's user and clock."""
+    table = snapshot.Snapshots(spark, new_folder(spark, "stamps"))
+    started = dt.datetime.now(dt.UTC)
+    table.publish(C.with_audit(X.table(spark, sf, "customer"), {}, loaded_at="load_ts"))
+    inside = lambda c: c.between(F.lit(started - dt.timedelta(seconds=1)), F.lit(dt.datetime.now(dt.UTC)))
+    stamped = table.read().agg(F.count_if(inside(F.col("load_ts"))).alias("stamped_in_time"))
+    return table.history(1).select(
+        F.col("version").cast("int").alias("version"), "row_count", (F.col("published_by") == F.current_user()).alias("by_me"),
+        inside(F.col("published_at")).alias("in_time")).join(stamped, F.lit(True))
+
+
+@query(O.over("target orders_as_source", f"""
+SELECT TRUE AS refused, count(*) AS merged_rows, count(*) FILTER (WHERE load_ts > TIMESTAMP '2024-01-02') AS changed
+FROM ({O.merged(source=LATEST)})"""))
+def merge_refuses_copies(spark, sf):
+    """Several source rows for one target row are an error; reduced to the newest they merge."""
+    target, source = X.customer_target(spark, sf), X.orders_as_source(spark, sf)
+    refused = False
+    try:
+        merge.merge_scd1(target, source.drop("order_key"), as_of=MERGED_AT)
+    except merge.AmbiguousMatchError:
+        refused = True
+    newest = merge.latest_by(source, ["customer_id"], ["updated_ts", "order_key"]).drop("order_key")
+    return merge.merge_scd1(target, newest, as_of=MERGED_AT).agg(
+        F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("merged_rows"),
+        F.count_if(F.col("load_ts") > F.lit(MERGED_AT - dt.timedelta(days=1))).alias("changed"))
+
+
 SNAPSHOT_TABLES = ("orders", "customer")
 
 
