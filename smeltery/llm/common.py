@@ -23,6 +23,14 @@ def whole_text(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and outlives lost executors."""
     spark = df.sparkSession

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from smeltery.llm.common import lower_ascii, stored, whole_text
+from smeltery.llm.common import free_name, lower_ascii, stored, whole_text
 
 PREFIX_DIGITS = 8
 
@@ -66,8 +66,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
               .withColumn("short", F.substring("digest", 1, PREFIX_DIGITS)))
     hits = opened.join(hashed, "short").where("digest = full")
     best = hits.groupBy("asked").agg(F.max(F.struct(F.length("rule").alias("n"), "blocks", "rule")).alias("best"))
-    judged = stored(best.select("asked", F.col("best.rule").alias("rule"), F.col("best.blocks").alias("blocks")),
+    of, told = free_name(plain, "asked"), free_name(plain, "blocks")
+    judged = stored(best.select(F.col("asked").alias(of), F.col("best.rule").alias("rule"), F.col("best.blocks").alias(told)),
                     "judged-urls")
-    verdict = F.when(F.col("blocks"), "block").when(~F.col("blocks"), "allow").otherwise(default)
-    return (plain.join(judged, F.col(url) == F.col("asked"), "left")
-            .withColumn("verdict", verdict).drop("asked", "blocks"))
+    verdict = F.when(F.col(told), "block").when(~F.col(told), "allow").otherwise(default)
+    return plain.join(judged, F.col(url) == F.col(of), "left").withColumn("verdict", verdict).drop(of, told)
