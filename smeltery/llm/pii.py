@@ -315,20 +315,22 @@ def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     Equal rows have equal results; extra columns are not looked at.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    found = [f"n_{k}" for k in KINDS] + ["base_sha256", "spans", "n_added"]
 
-    def scan(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            texts = [t or "" for t in batch["text"]]
+    # Only texts go to Python: pandas would turn a nullable whole number into a double.
+    @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [t or "" for t in batch]
             base = [base_spans(t) if _TRIGGER.search(t) else [] for t in texts]
             added = shared.value.tag(texts) if shared.value else [[] for _ in texts]
             more = [[s for s in new if not any(s[1] < b and a < s[2] for _, a, b in old)]
                     for new, old in zip(added, base, strict=True)]
-            out = {"doc_id": batch["doc_id"]}
-            out |= {f"n_{k}": [sum(s[0] == k for s in spans) for spans in base] for k in KINDS}
+            out = {f"n_{k}": [sum(s[0] == k for s in spans) for spans in base] for k in KINDS}
             out["base_sha256"] = [hashlib.sha256(written(s).encode()).hexdigest() for s in base]
             out["spans"] = [written(a + b) for a, b in zip(base, more, strict=True)]
             out["n_added"] = [len(m) for m in more]
             yield pd.DataFrame(out)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    scanned = docs.select(F.col("doc_id").cast("long").alias("doc_id"), scan(F.col("text")).alias("found"))
+    return scanned.select("doc_id", *[F.col(f"found.{c}").alias(c) for c in found])
