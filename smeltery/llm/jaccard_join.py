@@ -284,8 +284,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     not rule out; holders of one component need not be.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = stored(slim.mapInPandas(
-        _describe, "doc_id long, n long, digest binary, sketch binary, feature long, often long"), "jaccard-facts")
+    # Rows without an id go alone: pandas would turn the ids beside them into doubles.
+    shape = "doc_id long, n long, digest binary, sketch binary, feature long, often long"
+    known = slim.where("doc_id IS NOT NULL").mapInPandas(_describe, shape)
+    others = slim.where("doc_id IS NULL").select(F.lit(0).cast("long").alias("doc_id"), "text").mapInPandas(_describe, shape)
+    facts = stored(known.union(others.withColumn("doc_id", F.lit(None).cast("long"))), "jaccard-facts")
     sizes = facts.where("feature IS NULL").select("doc_id", "n", "digest")
     hot = (facts.where("feature IS NOT NULL").groupBy("feature").agg(F.sum("often").alias("often"))
            .orderBy(F.desc("often"), "feature").limit(FREQUENT_KEPT).toPandas())
