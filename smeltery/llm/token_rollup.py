@@ -37,16 +37,19 @@ def _encoding(folder: str, tokenizer: str):
 
 
 def counted(docs: DataFrame, tokenizer: str, folder: str = TOKENIZERS) -> DataFrame:
-    """``docs`` without ``text``, with ``tokenizer`` and ``tokens``: the tokens of the whole text, null as empty."""
+    """``docs`` without ``text``, with ``tokenizer`` and ``tokens``: the tokens of the whole text, null as empty.
+
+    Columns of these names are replaced.
+    """
     names = [c for c in docs.columns if c not in ("text", "tokenizer", "tokens")]
-    shape = docs.select(*names).withColumns({"tokenizer": F.lit(tokenizer), "tokens": F.lit(0).cast("long")}).schema
 
-    def count(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = _encoding(folder, tokenizer).encode_ordinary
-        for batch in rows:
-            yield batch[names].assign(tokenizer=tokenizer, tokens=[len(encode(t)) if t else 0 for t in batch["text"]])
+        for batch in batches:
+            yield pd.Series([len(encode(t)) if t else 0 for t in batch], dtype="int64")
 
-    return docs.select(*names, "text").mapInPandas(count, shape)
+    return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(tokenizer).alias("tokenizer"), count(F.col("text")).alias("tokens"))
 
 
 class TokenRollup:
@@ -117,7 +120,9 @@ def corpus_changes(spark: SparkSession, docs: DataFrame, rollup: TokenRollup, fo
 
     First every document is inserted, then all but the smallest doc_id of equal
     texts are deleted, then the documents that are left and not English move to
-    a vocabulary for many languages; each batch is sent twice.
+    a vocabulary for many languages; each batch is sent twice. Documents without
+    a language stay where they are. Texts are counted where they are read and
+    only the counts are moved.
     """
     one, many = "byte_bpe_50k", "byte_bpe_multi_50k"
     rollup.apply("load", counted(docs.select("doc_id", "source", "lang", "text"), one, folder).withColumn("op", F.lit("insert")))
@@ -127,11 +132,11 @@ def corpus_changes(spark: SparkSession, docs: DataFrame, rollup: TokenRollup, fo
         "doc_id", F.lit(one).alias("tokenizer"), F.lit("delete").alias("op"), "source", "lang", F.lit(0).alias("tokens"))
     for _ in range(2):
         rollup.apply("copies", lost)
-    foreign = (docs.where("lang <> 'en'").join(rollup.documents().select("doc_id").distinct(), "doc_id", "left_semi")
-               .select("doc_id", "source", "lang", "text"))
-    moved = counted(foreign, many, folder).withColumn("op", F.lit("revise"))
-    left = foreign.select("doc_id", F.lit(one).alias("tokenizer"), F.lit("delete").alias("op"), "source", "lang",
-                          F.lit(0).cast("long").alias("tokens"))
+    foreign = docs.where("lang <> 'en'").select("doc_id", "source", "lang", "text")
+    here = rollup.documents().select("doc_id").distinct()
+    moved = stored(counted(foreign, many, folder).withColumn("op", F.lit("revise")), "token-moves").join(here, "doc_id", "left_semi")
+    left = moved.select("doc_id", F.lit(one).alias("tokenizer"), F.lit("delete").alias("op"), "source", "lang",
+                        F.lit(0).cast("long").alias("tokens"))
     for _ in range(2):
         rollup.apply("languages", moved.unionByName(left))
     return rollup.totals()
