@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from smeltery.llm.common import stored, whole_text
+from smeltery.llm.common import free_name, stored, whole_text
 
 WINDOW = 8
 #: A window has to keep this many tokens that are no placeholders.
@@ -134,19 +134,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
             .select(F.col("doc").alias(key), F.col("item").alias("item_id"), "coverage", "changed"))
 
 
+def _identity(key: str, text: str = "text") -> Column:
+    """The key as text; rows without one go by their text, so each is judged alone."""
+    return F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("t"), F.sha2(whole_text(text), 256)))
+
+
 def judged(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``(key, contaminated, n_items, items, coverage, changed)`` for every row of ``docs``; items comma-joined."""
-    found = contaminated(docs, benchmark, key, **options)
-    by_doc = stored(found.groupBy(F.col(key).alias("_doc")).agg(
+    """``(key, contaminated, n_items, items, coverage, changed)`` for every row of ``docs``; items comma-joined.
+
+    Rows that share a key are one document; rows without a key are one each.
+    """
+    named = docs.select(key, _identity(key).alias("_doc"), "text")
+    found = contaminated(named, benchmark, "_doc", **options)
+    by_doc = stored(found.groupBy("_doc").agg(
         F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"),
         F.max("coverage").alias("coverage"), F.bool_or("changed").alias("changed")), "contaminated")
-    return docs.select(key).join(by_doc, F.col(key).eqNullSafe(F.col("_doc")), "left").select(
+    return named.select(key, "_doc").join(by_doc, "_doc", "left").select(
         key, F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("items", F.lit("")).alias("items"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
         F.coalesce("changed", F.lit(False)).alias("changed"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` in which no item was found."""
-    found = stored(contaminated(docs, benchmark, key).select(F.col(key).alias("_doc")).distinct(), "contaminated")
-    return docs.join(found, docs[key].eqNullSafe(F.col("_doc")), "left_anti")
+    """The rows of ``docs`` in which no item was found; a row without a key goes for its own text only."""
+    of = free_name(docs, "_doc")
+    named = docs.select(_identity(key).alias(of), "text")
+    found = stored(contaminated(named, benchmark, of).select(of).distinct(), "contaminated")
+    return docs.join(found, _identity(key) == F.col(of), "left_anti")
