@@ -29,9 +29,25 @@ THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _letters() -> bytes:
+    """Latin-1 characters in lower case, all that are no letters as blanks."""
+    return b"".join(chr(i).lower().encode("latin-1") if _WORD.fullmatch(chr(i)) else b" " for i in range(256))
+
+
+_LETTERS = _letters()
+
+
+def words_of(text: str | None) -> list[str]:
+    """The runs of ``_WORD`` in the lower-case text; most texts are Latin-1 and need no pattern for that."""
+    try:
+        return (text or "").encode("latin-1").translate(_LETTERS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(text.lower())
+
+
 def term_counts(text: str | None, wanted: frozenset | None = None) -> dict[str, int]:
     """Lower-case letter runs of the whole text; only ``wanted`` ones if given."""
-    words = Counter(_WORD.findall((text or "").lower()))
+    words = Counter(words_of(text))
     return words if wanted is None else {t: n for t, n in words.items() if t in wanted}
 
 
@@ -214,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
         for batch in rows:
             seen += len(batch)
             for text in batch["text"]:
-                total.update(wanted.intersection(_WORD.findall((text or "").lower())))
+                total.update(wanted.intersection(words_of(text)))
         yield pd.DataFrame({"term": [*total, None], "n": [*total.values(), seen]})
 
     seen = dict(docs.select("text").mapInPandas(spread, "term string, n long").groupBy("term").agg(F.sum("n")).collect())
@@ -243,32 +259,32 @@ def score_texts(docs: DataFrame, index: Index | None) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    def score(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Only texts go to Python: pandas would turn a nullable whole number into a double.
+    @F.pandas_udf("score double, predicted int, evidence string")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         index = shared.value
-        for batch in rows:
+        for batch in batches:
             scores, evidence = [], []
-            for text in batch["text"]:
+            for text in batch:
                 vote, near = (-1.0, []) if index is None else index.vote(*index.vector(term_counts(text)))
                 scores.append(0.0 if index is None else index.score(vote))
                 evidence.append(",".join(str(index.ids[i]) for i in near[:5]) if index else "")
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": scores,
-                                "predicted": [int(s >= THRESHOLD) for s in scores], "evidence": evidence})
+            yield pd.DataFrame({"score": scores, "predicted": [int(s >= THRESHOLD) for s in scores], "evidence": evidence})
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held).mapInPandas(
-        score, "doc_id long, held_out boolean, score double, predicted int, evidence string")
+    judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held, judge(F.col("text")).alias("judged"))
+    return judged.select("doc_id", "held_out", "judged.score", "judged.predicted", "judged.evidence")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``THRESHOLD``, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
-    def keep(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = shared.value
-        for batch in rows:
-            kept = batch[[index is None or index.score(index.vote(*index.vector(term_counts(t)))[0]) < THRESHOLD
-                          for t in batch["text"]]]
-            if len(kept):
-                yield kept
+        for batch in batches:
+            yield pd.Series([index is None or index.score(index.vote(*index.vector(term_counts(t)))[0]) < THRESHOLD
+                             for t in batch], dtype=bool)
 
-    return docs.mapInPandas(keep, docs.schema)
+    return docs.where(clean(F.col("text")))
