@@ -264,7 +264,7 @@ def _labelled(of: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_links)`` for every row of ``docs(doc_id, text)``.
+    """``(doc_id, n_shingles, component_id)`` for every row of ``docs(doc_id, text)``.
 
     A document's set holds its distinct shingles of ``SIZE`` words; with fewer
     words the whole sequence is one; without words or text it is empty and
@@ -272,9 +272,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least 0.75, compared on the whole sets (64-bit hashes). ``component_id`` is
     the smallest doc_id reachable by links. Rows with one doc_id are one
     document. A row without doc_id keeps its size and has no component.
-    ``n_links`` counts the verified links that tie a document in; copies are
-    tied to one of them, and links within a component that follow from others
-    are not listed. Other columns are not looked at.
+    Links are not counted: pairs within one component need not be compared.
+    Other columns are not looked at.
 
     How no link is lost: equal sets are one vertex. Every holder of a signature
     is compared with the smallest holder. Where that leaves the holders of a
@@ -363,14 +362,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     late = stored(verified(stored(possible(more, sketches), "jaccard-more"), texts), "jaccard-late")
     links = links.union(late)
     groups = components(links.select("a", "b"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
-    tied = of.join(groups.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
-    tied = stored(tied.select("doc_id", F.coalesce("label", "rep").alias("component_id"),
-                              (F.coalesce("links", F.lit(0)) + (F.col("doc_id") != F.col("rep")).cast("long")).alias("n_links")),
-                  "jaccard-tied")
-    return (sizes.select("doc_id", F.col("n").alias("n_shingles")).join(tied, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    tied = stored(of.join(groups.withColumnRenamed("id", "rep"), "rep", "left")
+                  .select("doc_id", F.coalesce("label", "rep").alias("component_id")), "jaccard-tied")
+    return sizes.select("doc_id", F.col("n").alias("n_shingles")).join(tied, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
