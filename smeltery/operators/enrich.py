@@ -9,7 +9,8 @@ from smeltery.functions.calendar import calendar_parts
 from smeltery.functions.masking import mask_email
 
 # Price below which the discount flag is set, order tiers in
-# cents, and the defaults used by null repair.
+# cents, and the defaults used by null repair; the flags Y and N and the tier
+# labels high, medium and low below are fixed as well.
 DISCOUNT_BELOW = 50
 TIER_HIGH = 500
 TIER_MEDIUM = 100
