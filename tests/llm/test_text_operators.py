@@ -197,7 +197,7 @@ def test_tagger_finds_forms_the_patterns_miss():
 
     train = [p for p in (sample() for _ in range(250)) for p in (p, pii.missed_form(*p, rng))]
     tagger = pii.Tagger(0)
-    assert tagger.train(*pii.encode(train), epochs=6) < 5
+    assert tagger.train(*pii.encode(train), steps=200) < 5
     held = [pii.missed_form(*sample(), rng) for _ in range(60)]
     found = tagger.tag([t for t, _ in held])
     good = sum(any(k == s[0][0] and a < s[0][2] and s[0][1] < b for k, a, b in f) for f, (_, s) in zip(found, held, strict=True))
