@@ -17,6 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from smeltery.llm.common import stored
+
 KINDS = ("email", "ip", "card", "phone")
 #: Length and step of the overlapping windows, and how many are scored together.
 WINDOW, STRIDE, TOGETHER = 128, 104, 512
@@ -365,6 +367,8 @@ def whole(kind: str, text: str, x: int, y: int) -> tuple[str, int, int] | None:
 
 def rewritten(kind: str, piece: str, rng) -> str:
     """The span as the base patterns would not find it."""
+    if kind == "email" and rng.random() < 0.4:  # spelled out as one says it
+        return piece.replace(".", " dot ").replace("@", " at ")
     if kind == "email":
         at = rng.choice([" @ ", "@ ", " @", " at ", " at ", " at ", " AT ", "(at)", "[at]", " (at) ", " [at] ", "{at}"])
         dot = rng.choice([" dot ", " dot ", "[dot]", "(dot)", " . ", " [dot] "] if "@" not in at else [".", " . ", " dot "])
@@ -487,6 +491,7 @@ def fit(docs: DataFrame, seed: int = 0) -> Tagger | None:
     keyed = docs.select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"), "text")
     rows = (keyed.mapInPandas(_examples, "key long, piece string, spans string")
             .withColumn("bare", F.col("spans") == ""))
+    rows = stored(rows, "pii-windows")  # both kinds are chosen from one pass over the texts
     some = [rows.where(f"bare = {b}").orderBy("key", "piece").limit(n) for b, n in (("false", WITH_SPANS), ("true", BARE))]
     seen = [(r["piece"], parsed(r["spans"])) for r in some[0].union(some[1]).collect()]
     pieces, bare = [p for p in seen if p[1]], [t for t, spans in seen if not spans]
