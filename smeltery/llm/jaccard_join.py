@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from smeltery.llm.common import components, release, stored
@@ -27,15 +28,22 @@ FREQUENT_SHARE, FREQUENT_KEPT = 0.002, 100_000
 #: Bytes of signatures one reducing task handles at a time.
 BUCKET_BYTES = 6 << 20
 PARTNERS_PER_TASK = 64
+#: Features or signatures a task gathers before it hands them on.
+SLICE = 1 << 20
 #: Buckets of a sketch: how many features of a set fall into each.
 SKETCH = 256
 #: A signature with more holders than this is looked at through its most central holder first.
 CROWD = 16
+#: What is known of a holder.
+HELD = ("rep", "n", "label", "alone", "apart")
 #: Two holders of a crowded signature differ from its centre in ``apart`` features each; what they differ in alike
 #: leaves out the features that only one set of the crowd has. So they differ in at least this many.
 DIFFER = "x_apart + y_apart - 2 * least(x_apart - x_alone, y_apart - y_alone)"
 UNLIKE = (f"x_apart IS NULL OR y_apart IS NULL OR "
           f"{DENOMINATOR + NUMERATOR} * ({DIFFER}) <= {DENOMINATOR - NUMERATOR} * (x_n + y_n)")
+FACTS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sketch", pa.binary()),
+                   ("feature", pa.int64()), ("often", pa.int64())])
+BLOCKS = pa.schema([("bucket", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()), ("hubs", pa.binary())])
 
 
 def most_apart(a: int, b: int) -> int:
@@ -96,64 +104,93 @@ def signatures(features: np.ndarray, frequent: np.ndarray, often: np.ndarray) ->
     return np.concatenate(out)
 
 
-def _describe(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per document the size and a digest of its set; per batch the shingles frequent in it."""
+def _texts(batch: pa.RecordBatch) -> Iterator[pa.Buffer | None]:
+    """The texts as Arrow holds them, one at a time."""
+    return (t.as_buffer() for t in batch.column("text"))
+
+
+def _describe(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document the size and a digest of its set; per slice the shingles frequent in it."""
+
+    def told(first: int, sizes: list[int], digests: list[bytes], sketches: list[bytes]) -> pa.RecordBatch:
+        ids = batch.column("doc_id").slice(first, len(sizes))
+        return pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(digests), pa.array(sketches),
+                                           none(len(sizes)), none(len(sizes))], schema=FACTS)
+
+    def often(sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        every, times = np.unique(np.concatenate(sets), return_counts=True)
+        much = times >= max(4, FREQUENT_SHARE * len(sets))
+        count = int(much.sum())
+        if len(sets) > 1 and count:
+            empty = pa.nulls(count, pa.binary())
+            yield pa.RecordBatch.from_arrays([none(count), none(count), empty, empty,
+                                              pa.array(every[much].view(np.int64)), pa.array(times[much])], schema=FACTS)
+
+    none = lambda k: pa.nulls(k, pa.int64())
     for batch in rows:
-        ids, texts = batch["doc_id"], batch["text"]
-        sizes, digests, sketches, kept = np.zeros(len(ids), np.int64), [], [], {}
-        for first, run in batches(texts):
-            for i, s in enumerate(shingle_sets(run), first):
-                sizes[i] = len(s)
+        kept, held = {}, 0
+        for first, run in batches(_texts(batch)):
+            sizes, digests, sketches = [], [], []
+            for s in shingle_sets(run):
                 digest = np.concatenate(([np.uint64(len(s))], [s.sum(dtype=np.uint64)],
                                          [scramble(s + np.uint64(7)).sum(dtype=np.uint64)])).tobytes()
+                fall = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                sizes.append(len(s))
                 digests.append(digest)
-                held = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                sketches.append(np.minimum(held, 255).astype(np.uint8).tobytes())
-                kept.setdefault(digest, s)
-        yield pd.DataFrame({"doc_id": ids, "n": sizes, "digest": digests, "sketch": sketches, "feature": None, "often": None})
-        if len(kept) > 1:
-            every, times = np.unique(np.concatenate(list(kept.values())), return_counts=True)
-            often = times >= max(4, FREQUENT_SHARE * len(kept))
-            yield pd.DataFrame({"doc_id": None, "n": None, "digest": None, "sketch": None,
-                                "feature": every[often].view(np.int64), "often": times[often]})
+                sketches.append(np.minimum(fall, 255).astype(np.uint8).tobytes())
+                if digest not in kept:
+                    kept[digest] = s
+                    held += len(s)
+            yield told(first, sizes, digests, sketches)
+            if held >= SLICE:
+                yield from often(list(kept.values()))
+                kept, held = {}, 0
+        if kept:
+            yield from often(list(kept.values()))
 
 
 def _emit(buckets: int, frequent: np.ndarray, often: np.ndarray):
-    """Blocks of signatures by bucket. A set met before in the batch is not repeated.
+    """Blocks of signatures by bucket. A set met before in the slice is not repeated.
 
-    Within a batch the first document with a signature stands for it; the
+    Within a slice the first document with a signature stands for it; the
     others become finished edges, so a signature that very many documents share
-    reaches its bucket once per batch.
+    reaches its bucket once per slice.
     """
 
-    def emit(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(marks: list[np.ndarray], owner: list[np.ndarray]) -> pa.RecordBatch:
+        mark, own = np.concatenate(marks), np.concatenate(owner)
+        order = np.lexsort((own, mark))
+        mark, own = mark[order], own[order]
+        new = np.diff(mark, prepend=mark[0] ^ np.uint64(1)) != 0
+        hub = own[np.flatnonzero(new)][np.cumsum(new) - 1]
+        extra = ~new & (own != hub)
+        bucket = (mark[new] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] ^ np.uint64(1)))
+        ends = np.append(cuts[1:], len(bucket))
+        m, o = mark[new], own[new]
+        out = [(int(bucket[a]), m[a:b].tobytes(), o[a:b].tobytes(), None) for a, b in zip(cuts, ends, strict=True)]
+        if extra.any():
+            deal = int(own[0]) % buckets
+            out.append((deal, mark[extra].tobytes(), own[extra].tobytes(), hub[extra].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), BLOCKS, strict=True)], schema=BLOCKS)
+
+    def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            ids = batch["doc_id"].to_numpy(np.int64)
-            known, marks, owner = set(), [], []
-            for first, run in batches(batch["text"]):
+            ids = batch.column("doc_id").to_numpy()
+            known, marks, owner, held = set(), [], [], 0
+            for first, run in batches(_texts(batch)):
                 for i, s in enumerate(shingle_sets(run), first):
                     seen = (len(s), int(s.sum(dtype=np.uint64)))
                     if len(s) and seen not in known:
                         known.add(seen)
                         marks.append(signatures(s, frequent, often))
                         owner.append(np.full(len(marks[-1]), ids[i]))
-            if not marks:
-                continue
-            mark, own = np.concatenate(marks), np.concatenate(owner)
-            order = np.lexsort((own, mark))
-            mark, own = mark[order], own[order]
-            new = np.diff(mark, prepend=mark[0] ^ np.uint64(1)) != 0
-            hub = own[np.flatnonzero(new)][np.cumsum(new) - 1]
-            extra = ~new & (own != hub)
-            bucket = (mark[new] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] ^ np.uint64(1)))
-            ends = np.append(cuts[1:], len(bucket))
-            m, o = mark[new], own[new]
-            out = [(int(bucket[a]), m[a:b].tobytes(), o[a:b].tobytes(), None) for a, b in zip(cuts, ends, strict=True)]
-            if extra.any():
-                deal = int(own[0]) % buckets
-                out.append((deal, mark[extra].tobytes(), own[extra].tobytes(), hub[extra].tobytes()))
-            yield pd.DataFrame(out, columns=["bucket", "marks", "ids", "hubs"])
+                        held += len(marks[-1])
+                if held >= SLICE:
+                    yield blocks(marks, owner)
+                    known, marks, owner, held = set(), [], [], 0
+            if marks:
+                yield blocks(marks, owner)
 
     return emit
 
@@ -176,13 +213,13 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"mark": mark, "hub": hub, "id": own})
 
 
-def _compare(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Symmetric difference of a leading set and the sets sorted behind it, and whether they are similar."""
     lead, base = None, np.zeros(0, np.uint64)
     for batch in rows:
         a, b, apart, similar = [], [], [], []
-        hubs, parts, ids = (batch[c].to_numpy() for c in ("hub", "part", "id"))
-        for first, run in batches(batch["text"]):
+        hubs, parts, ids = (batch.column(c).to_numpy() for c in ("hub", "part", "id"))
+        for first, run in batches(_texts(batch)):
             for i, s in enumerate(shingle_sets(run), first):
                 if ids[i] == hubs[i]:
                     lead, base = (hubs[i], parts[i]), s
@@ -195,8 +232,8 @@ def _compare(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 b.append(ids[i])
                 apart.append(len(s) + len(base) - 2 * both)
                 similar.append(both > 0 and DENOMINATOR * both >= NUMERATOR * (len(s) + len(base) - both))
-        yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64),
-                            "apart": np.array(apart, np.int64), "similar": np.array(similar, bool)})
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                                          "apart": pa.array(apart, pa.int64()), "similar": pa.array(similar, pa.bool_())})
 
 
 def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -212,7 +249,7 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     asked = partners.union(leads).join(texts, "id")
     lined = (asked.repartition("hub", "part")
              .sortWithinPartitions("hub", "part", F.col("id") != F.col("hub")))
-    return lined.select("hub", "part", "id", "text").mapInPandas(
+    return lined.select("hub", "part", "id", "text").mapInArrow(
         _compare, "a long, b long, apart long, similar boolean")
 
 
@@ -223,8 +260,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _may_link(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs whose sketches leave room for enough common features; a full bucket rules nothing out."""
     for batch in rows:
-        a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, SKETCH).astype(np.int64) for c in ("x", "y"))
-        most = np.minimum(a, b).sum(1) + ((a == 255) & (b == 255)).any(1) * (1 << 40)
+        a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, SKETCH) for c in ("x", "y"))
+        most = np.minimum(a, b).sum(1, dtype=np.int64) + ((a == 255) & (b == 255)).any(1) * (1 << 40)
         room = (NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (batch["n"] + batch["m"])
         if room.any():
             yield batch.loc[room, ["a", "b"]]
@@ -237,26 +274,42 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             .mapInPandas(_may_link, "a long, b long"))
 
 
-def _features(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        ids = batch["rep"].to_numpy()
-        for first, run in batches(batch["text"]):
+        ids = batch.column("rep").to_numpy()
+        for first, run in batches(_texts(batch)):
             sets = shingle_sets(run)
-            if not sum(map(len, sets)):
-                continue
-            yield pd.DataFrame({"rep": np.repeat(ids[first:first + len(sets)], [len(s) for s in sets]),
-                                "feature": np.concatenate(sets).view(np.int64)})
+            yield pa.RecordBatch.from_pydict({
+                "rep": pa.array(np.repeat(ids[first:first + len(sets)], [len(s) for s in sets])),
+                "feature": pa.array(np.concatenate(sets).view(np.int64))})
 
 
 def _alone(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """``(rep, alone)``: how many features of each set no other of these sets has."""
     features = (texts.withColumnRenamed("id", "rep").join(reps, "rep", "left_semi").dropDuplicates(["rep"])
-                .select("rep", "text").mapInPandas(_features, "rep long, feature long"))
+                .select("rep", "text").mapInArrow(_features, "rep long, feature long"))
     own = features.groupBy("feature").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).where("rep = last")
     return reps.join(own.groupBy("rep").agg(F.count("*").alias("alone")), "rep", "left").select(
         "rep", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
+def pooled(holders: DataFrame) -> DataFrame:
+    """``(by_centre, key, rep, n, label, alone, apart)``: groups of holders whose pairs cover those of every signature.
+
+    The signatures of one crowd have nearly the same holders, so their pairs
+    would be met once for each signature. Where all holders around a centre
+    make no more pairs than its signatures one by one, they are one group.
+    """
+    around = holders.where("centre IS NOT NULL")
+    apiece = (around.groupBy("centre", "mark").count().groupBy("centre").agg(F.sum(F.expr("count * count")).alias("apiece")))
+    at_once = around.select("centre", "rep").distinct().groupBy("centre").agg(F.expr("count(*) * count(*)").alias("at_once"))
+    fewer = apiece.join(at_once, "centre").select("centre", (F.col("at_once") <= F.col("apiece")).alias("by_centre"))
+    crowds = around.join(fewer, "centre").select(
+        "by_centre", F.when(F.col("by_centre"), F.col("centre")).otherwise(F.col("mark")).alias("key"), *HELD)
+    single = holders.where("centre IS NULL").select(F.lit(False).alias("by_centre"), F.col("mark").alias("key"), *HELD)
+    return stored(crowds.distinct().union(single), "jaccard-pooled")
+
+
 def _labelled(of: DataFrame, links: DataFrame) -> DataFrame:
     groups = components(links.select("a", "b")).withColumnRenamed("id", "rep")
     return stored(of.join(groups, "rep", "left").select(
@@ -283,11 +336,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     not rule out; holders of one component need not be.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # Rows without an id go alone: pandas would turn the ids beside them into doubles.
-    shape = "doc_id long, n long, digest binary, sketch binary, feature long, often long"
-    known = slim.where("doc_id IS NOT NULL").mapInPandas(_describe, shape)
-    others = slim.where("doc_id IS NULL").select(F.lit(0).cast("long").alias("doc_id"), "text").mapInPandas(_describe, shape)
-    facts = stored(known.union(others.withColumn("doc_id", F.lit(None).cast("long"))), "jaccard-facts")
+    facts = stored(slim.mapInArrow(_describe, "doc_id long, n long, digest binary, sketch binary, feature long, often long"),
+                   "jaccard-facts")
     sizes = facts.where("feature IS NULL").select("doc_id", "n", "digest")
     hot = (facts.where("feature IS NOT NULL").groupBy("feature").agg(F.sum("often").alias("often"))
            .orderBy(F.desc("often"), "feature").limit(FREQUENT_KEPT).toPandas())
@@ -301,7 +351,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     of = stored(full.select("doc_id", "digest").join(first, "digest").groupBy("doc_id").agg(
         F.min("rep").alias("rep"), F.first("n").alias("n")), "jaccard-documents")
 
-    blocks = slim.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(
+    blocks = slim.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         _emit(buckets, feature[order], hot["often"].to_numpy(np.int64)[order]),
         "bucket long, marks binary, ids binary, hubs binary")
     met = stored(blocks.groupBy("bucket").applyInPandas(_meet, "mark long, hub long, id long"), "jaccard-edges")
@@ -353,10 +403,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest = holders.join(far, ["mark", "rep"], "left").join(whole.where("doc_id = rep").select("rep", "label"), "rep")
     rest = stored(rest.join(centre.select("mark", F.col("centre").alias("rep")), ["mark", "rep"], "left_anti"), "jaccard-rest")
     mixed = rest.groupBy("mark").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rest = stored(rest.join(mixed.select("mark"), "mark", "left_semi"), "jaccard-mixed")
-    left, right = (rest.select("mark", *[F.col(c).alias(f"{s}_{c}") for c in ("rep", "n", "label", "alone", "apart")])
+    rest = pooled(stored(rest.join(mixed.select("mark"), "mark", "left_semi").join(centre, "mark", "left"), "jaccard-mixed"))
+    left, right = (rest.select("by_centre", "key", *[F.col(c).alias(f"{s}_{c}") for c in HELD])
                    for s in ("x", "y"))
-    more = (left.join(right, "mark").where("x_rep < y_rep AND x_label <> y_label")
+    more = (left.join(right, ["by_centre", "key"]).where("x_rep < y_rep AND x_label <> y_label")
             .where(fits("x", "y", NUMERATOR, DENOMINATOR)).where(UNLIKE)
             .select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     late = stored(verified(stored(possible(more, sketches), "jaccard-more"), texts), "jaccard-late")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Buffer, Iterable, Iterator
 
 import numpy as np
 
@@ -72,11 +72,11 @@ def shingle_sets(texts: list[bytes], size: int = SIZE) -> list[np.ndarray]:
     return out
 
 
-def batches(texts: Iterable[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """``(index of the first, UTF-8 texts)`` in runs of bounded size; null is empty."""
+def batches(texts: Iterable[str | Buffer | None]) -> Iterator[tuple[int, list[Buffer]]]:
+    """``(index of the first, UTF-8 texts)`` in runs of bounded size; null is empty, buffers are UTF-8 already."""
     run, size, first = [], 0, 0
     for i, text in enumerate(texts):
-        raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+        raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text if isinstance(text, Buffer) else b""
         if run and size + len(raw) > BATCH_BYTES:
             yield first, run
             run, size, first = [], 0, i

@@ -4,11 +4,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from smeltery.llm import (
-    common, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, token_rollup, toxicity, url_filter, warc,
+    common, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, shingles, token_rollup, toxicity, url_filter,
+    warc,
 )
 from smeltery.llm.shingles import batches, shingle_sets
 
@@ -81,6 +84,40 @@ def test_similar_sets_share_a_signature():
             assert np.intersect1d(jaccard_join.signatures(a, none, none), jaccard_join.signatures(b, none, none)).size
 
 
+def test_pooled_crowds_keep_every_pair_of_a_signature(spark):
+    rows = [(m, r, 5, r, 0, 1, 7) for m in (1, 2, 3) for r in range(20, 26)]
+    rows += [(m, r, 5, r, 0, 1, 8) for m, own in ((4, (30, 31)), (5, (32, 33)), (6, (34, 35))) for r in own]
+    rows += [(9, 40, 5, 40, None, None, None), (9, 41, 5, 41, None, None, None)]
+    held = spark.createDataFrame(rows, "mark long, rep long, n long, label long, alone long, apart long, centre long")
+    got = jaccard_join.pooled(held).select("by_centre", "key", "rep").collect()
+    groups = {}
+    for by_centre, key, rep in got:
+        groups.setdefault((by_centre, key), []).append(rep)
+    assert {k: sorted(v) for k, v in groups.items()} == {
+        (True, 7): list(range(20, 26)), (False, 4): [30, 31], (False, 5): [32, 33], (False, 6): [34, 35], (False, 9): [40, 41]}
+
+
+def test_components_of_a_crowd_and_of_slices(spark, monkeypatch):
+    rng = random.Random(5)
+    base = words(rng, 300)
+    crowd = [edited(rng, base, k) for k in (4, 9, 14, 20, 25) for _ in range(14)]
+    assert sorted(map(tuple, jaccard_join.jaccard_components(docs(spark, *crowd)).collect())) == brute_components(crowd)
+    texts = [(i, t) for i, t in enumerate(crowd)] + [(None, crowd[0]), (99, None)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in texts], pa.int64()), "text": [t for _, t in texts]})
+    once = pa.Table.from_batches(jaccard_join._describe([batch]))
+    monkeypatch.setattr(jaccard_join, "SLICE", 1000)
+    monkeypatch.setattr(shingles, "BATCH_BYTES", 3000)
+    sliced = pa.Table.from_batches(jaccard_join._describe([batch]))
+    facts = lambda t: t.filter(pc.is_valid(t["n"])).select(["doc_id", "n", "digest", "sketch"]).to_pylist()
+    assert facts(once) == facts(sliced) and len(facts(once)) == len(texts)
+    none = np.zeros(0, np.uint64)
+    pairs = lambda out: {(m, o) for b in out for r in b.to_pylist()
+                         for m, o in zip(np.frombuffer(r["marks"], np.uint64).tolist(), np.frombuffer(r["ids"], np.int64).tolist(), strict=True)}
+    known = batch.slice(0, len(crowd))
+    assert pairs(jaccard_join._emit(64, none, none.view(np.int64))([known])) == {
+        (m, i) for i, s in enumerate(shingle_sets([t.encode() for t in crowd])) for m in jaccard_join.signatures(s, none, none.view(np.int64)).tolist()}
+
+
 def test_shingles_hash_whole_words():
     a, b, c, d = shingle_sets([b"A b\tc d e f", b"a B c\nd e f", b"a b c d ef", b""])
     assert (a == b).all() and len(a) == 2 and len(c) == 1 and len(d) == 0
