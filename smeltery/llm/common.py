@@ -6,6 +6,7 @@ import gc
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from smeltery.plans.snapshot import delete_folder
 from smeltery.workspace import new_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -39,6 +40,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder behind a frame that ``stored`` returned, once all that was made from it is stored too."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        delete_folder(df.sparkSession, folder)
+
+
 def release(df: DataFrame) -> None:
     """Let go of the shuffle files of finished steps.
 

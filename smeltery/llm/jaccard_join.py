@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from smeltery.llm.common import components, release, stored
+from smeltery.llm.common import components, discard, release, stored
 from smeltery.llm.shingles import SIZE, batches, scramble, shingle_sets
 
 #: Similar: NUMERATOR * union <= DENOMINATOR * intersection, that is 75 / 100.
@@ -372,6 +372,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     texts = fetched(tried.select(F.explode(F.array("a", "b")).alias("id")))
     release(docs)
     links = stored(verified(tried, texts), "jaccard-links")
+    discard(texts)
     release(docs)
     whole = _labelled(of, links)
     side = lambda c: whole.select(F.col("doc_id").alias(c), F.col("label").alias(f"{c}_label"))
@@ -382,6 +383,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     holders = (holders.select("mark", "id").union(holders.select("mark", F.col("hub").alias("id")))
                .join(of.withColumnRenamed("doc_id", "id"), "id").select("mark", "rep", "n").distinct())
     holders = stored(holders, "jaccard-holders")
+    discard(met)
+    discard(edges)
 
     texts = fetched(holders.select(F.col("rep").alias("id")))
     release(docs)
@@ -394,6 +397,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spokes = stored(crowd.join(centre, "mark").where("rep <> centre"), "jaccard-spokes")
     spans = stored(measured(spokes.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), texts),
                    "jaccard-spans")
+    release(docs)
     links = stored(links.union(spans.where("similar").select("a", "b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-links")
     whole = _labelled(of, links)
@@ -409,7 +413,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     more = (left.join(right, ["by_centre", "key"]).where("x_rep < y_rep AND x_label <> y_label")
             .where(fits("x", "y", NUMERATOR, DENOMINATOR)).where(UNLIKE)
             .select(F.col("x_rep").alias("a"), F.col("y_rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-    late = stored(verified(stored(possible(more, sketches), "jaccard-more"), texts), "jaccard-late")
+    more = stored(possible(more, sketches), "jaccard-more")
+    discard(rest)
+    release(docs)
+    late = stored(verified(more, texts), "jaccard-late")
+    discard(texts)
+    release(docs)
     links = links.union(late)
     groups = components(links.select("a", "b"))
     tied = stored(of.join(groups.withColumnRenamed("id", "rep"), "rep", "left")
