@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from smeltery.functions.columns import quoted
+from smeltery.operators.sizing import BROADCAST_ROWS
 
 # What identifies a claim.
 CLAIM_KEYS = ("claim_id", "patient_id", "service_date", "procedure_code")
@@ -61,6 +62,37 @@ def pick_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).select(*[quoted(c) for c in wanted])
 
 
-def dedupe_claims(df: DataFrame, order_by: Sequence[str] = (), keep: Sequence[str] | None = None) -> DataFrame:
-    """Keys are taken from the canonical columns, so alias-named sources keep theirs."""
-    return pick_one_per_key(df, [k for k in CLAIM_KEYS if k in df.columns], order_by, keep=keep)
+def pick_one_of_stored(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), *, scratch: str,
+                       keep: Sequence[str] | None = None, max_repeated: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of :func:`pick_one_per_key` for a frame that reads files, so that reading it again is cheap.
+
+    Hashes of keys that occur more than once are found first and kept below
+    ``scratch``.  Rows under any other hash are the only ones of their key and
+    stay where they are; the rest is ranked.  Where more than ``max_repeated``
+    hashes repeat, all rows are ranked.
+    """
+    keys = list(keys)
+    if not keys:
+        raise ValueError("de-duplication needs at least one key column")
+    hashed = df.withColumn("_key_hash", F.xxhash64(*[quoted(c) for c in keys]))
+    repeated = hashed.groupBy("_key_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_key_hash")
+    repeated.write.parquet(scratch)
+    repeated = df.sparkSession.read.schema(repeated.schema).parquet(scratch)
+    if repeated.count() > max_repeated:
+        return pick_one_per_key(df, keys, order_by, keep=keep)
+    single = hashed.join(F.broadcast(repeated), "_key_hash", "left_anti")
+    others = hashed.join(F.broadcast(repeated), "_key_hash", "left_semi").select(*[quoted(c) for c in df.columns])
+    wanted = [quoted(c) for c in df.columns if keep is None or c in keep]
+    return single.select(*wanted).unionByName(pick_one_per_key(others, keys, order_by, keep=keep))
+
+
+def dedupe_claims(df: DataFrame, order_by: Sequence[str] = (), keep: Sequence[str] | None = None,
+                  scratch: str | None = None) -> DataFrame:
+    """Keys are taken from the canonical columns, so alias-named sources keep theirs.
+
+    With ``scratch`` the claims are taken to be stored (:func:`pick_one_of_stored`).
+    """
+    keys = [k for k in CLAIM_KEYS if k in df.columns]
+    if scratch is not None:
+        return pick_one_of_stored(df, keys, order_by, scratch=scratch, keep=keep)
+    return pick_one_per_key(df, keys, order_by, keep=keep)

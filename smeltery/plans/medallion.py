@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from smeltery.functions.columns import instant
 from smeltery.functions.money import EXACT
 from smeltery.operators import conform, dedupe, enrich, nested, quality, rollup
-from smeltery.plans.snapshot import ensure_database, publish_verified
+from smeltery.plans.snapshot import delete_folder, ensure_database, publish_verified
 
 # Names of the layer tables and views.
 BRONZE_CLAIMS = "bronze_claims"
@@ -21,9 +22,13 @@ GOLD_PROCEDURE = "gold_procedure_cost"
 TOP_PROCEDURES = 50
 
 
-def claims_silver(bronze: DataFrame, order_by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
-    """One conformed row per claim; ``columns`` names those a single roll-up needs, so no others are computed or moved."""
-    return dedupe.dedupe_claims(conform.conform_claims(bronze), order_by, columns)
+def claims_silver(bronze: DataFrame, order_by: Sequence[str] = (), columns: Sequence[str] | None = None,
+                  scratch: str | None = None) -> DataFrame:
+    """One conformed row per claim; ``columns`` names those a single roll-up needs, so no others are computed or moved.
+
+    ``scratch`` is a fresh folder for a bronze that is stored; claims without a duplicate are not moved then.
+    """
+    return dedupe.dedupe_claims(conform.conform_claims(bronze), order_by, columns, scratch)
 
 
 def stamp_silver(silver: DataFrame, source_table: str, as_of: dt.datetime | None = None) -> DataFrame:
@@ -31,10 +36,11 @@ def stamp_silver(silver: DataFrame, source_table: str, as_of: dt.datetime | None
 
 
 def claims_gold(silver: DataFrame) -> dict[str, DataFrame]:
+    """The roll-ups of a stored silver table."""
     return {
-        GOLD_PATIENT: rollup.patient_summary(silver),
-        GOLD_MONTHLY: rollup.monthly_spend(silver),
-        GOLD_PROCEDURE: rollup.procedure_cost(silver),
+        GOLD_PATIENT: rollup.stored_patient_summary(silver),
+        GOLD_MONTHLY: rollup.monthly_spend(silver, stored=True),
+        GOLD_PROCEDURE: rollup.procedure_cost(silver, stored=True),
     }
 
 
@@ -67,7 +73,9 @@ def build_claims(source: DataFrame, database: str, root: str, *, source_table: s
         return spark.table(f"{database}.{name}")
 
     bronze = put(source, BRONZE_CLAIMS)
-    silver = put(stamp_silver(claims_silver(bronze, order_by), source_table, as_of), SILVER_CLAIMS)
+    scratch = f"{root}/repeated-{uuid.uuid4().hex}"
+    silver = put(stamp_silver(claims_silver(bronze, order_by, scratch=scratch), source_table, as_of), SILVER_CLAIMS)
+    delete_folder(spark, scratch)
     for name, gold in claims_gold(silver).items():
         put(gold, name)
     for statement in view_statements(database):
