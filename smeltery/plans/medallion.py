@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smeltery.functions.columns import instant
+from smeltery.functions.columns import instant, quoted
 from smeltery.functions.money import EXACT
 from smeltery.operators import conform, dedupe, enrich, nested, quality, rollup
 from smeltery.plans.snapshot import delete_folder, ensure_database, publish_verified
@@ -44,6 +44,17 @@ def claims_gold(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def patient_gold(bronze: DataFrame, folder: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """The patient summary alone: of the conformed claims, what it needs is stored below ``folder`` and read from there."""
+    conformed = conform.conform_claims(bronze)
+    needed = {*dedupe.CLAIM_KEYS, *order_by, *rollup.PATIENT_INPUTS}
+    narrow = conformed.select(*[quoted(c) for c in conformed.columns if c in needed])
+    narrow.write.parquet(f"{folder}/conformed")
+    stored = bronze.sparkSession.read.schema(narrow.schema).parquet(f"{folder}/conformed")
+    silver = dedupe.dedupe_claims(stored, order_by, rollup.PATIENT_INPUTS, f"{folder}/repeated")
+    return rollup.stored_patient_summary(silver, sized_by=stored)
+
+
 def view_statements(database: str) -> list[str]:
     """Views over the layer tables; an ORDER BY binds where the view is read last."""
     def view(name: str, table: str, tail: str) -> str:

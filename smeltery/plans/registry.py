@@ -161,7 +161,7 @@ SELECT patient_id, count(*) AS total_claims, count(DISTINCT procedure_code) AS d
        CAST(datediff('day', min(service_date), max(service_date)) AS INTEGER) AS patient_tenure_days
 FROM silver GROUP BY patient_id"""))
 def gold_patient_summary(spark, sf):
-    return rollup.patient_summary(silver_claims(spark, sf, rollup.PATIENT_INPUTS))
+    return medallion.patient_gold(X.claims_raw(spark, sf), new_folder(spark, "claims-patients"), TIES)
 
 
 @query(O.over("silver", f"""

@@ -4,10 +4,9 @@ import datetime as dt
 
 import pytest
 from conftest import plan, rows
-from pyspark.sql import functions as F
 
 from smeltery.operators import dedupe, rollup
-from smeltery.plans import medallion
+from smeltery.plans import medallion, registry as R
 
 CLAIMS = ("claim_id string, patient_id string, service_date date, procedure_code string, diagnosis_code string, "
           "provider_id string, claim_type string, paid_amount double, allowed_amount double, tie int")
@@ -53,6 +52,10 @@ def test_stored_months_and_procedures_are_summed_up_alike(claims):
         assert [str(r) for r in rows(got)] == [str(r) for r in rows(want)]
 
 
+def test_patient_summary_moves_a_claim_once(spark, small):
+    assert "Expand" not in plan(R.gold_patient_summary(spark, small))
+
+
 def test_published_gold_moves_narrow_rows(claims):
     gold = medallion.claims_gold(claims)
     assert "Expand" not in plan(gold[medallion.GOLD_PATIENT])
@@ -67,4 +70,3 @@ def test_a_claim_that_does_not_repeat_is_not_ranked(claims, folder):
     text = text[text.index("== Physical Plan =="):]
     assert text.index("Union") < text.index("LeftAnti") < text.index("LeftSemi")
     assert "Exchange hashpartitioning" not in text[:text.index("LeftAnti")]
-    assert claims.groupBy(F.lit(1)).count().first()[1] == 465
