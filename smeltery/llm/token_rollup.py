@@ -12,7 +12,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -43,11 +43,12 @@ def counted(docs: DataFrame, tokenizer: str, folder: str = TOKENIZERS) -> DataFr
     """
     names = [c for c in docs.columns if c not in ("text", "tokenizer", "tokens")]
 
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # an Arrow batch is walked text by text, so that no task holds thousands of texts as Python strings
+    @F.arrow_udf("long")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _encoding(folder, tokenizer).encode_ordinary
         for batch in batches:
-            yield pd.Series([len(encode(t)) if t else 0 for t in batch], dtype="int64")
+            yield pa.array([len(encode(t)) if (t := text.as_py()) else 0 for text in batch], pa.int64())
 
     return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(tokenizer).alias("tokenizer"), count(F.col("text")).alias("tokens"))
 
