@@ -11,19 +11,28 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from smeltery.llm.common import components, lower_ascii, stored, whole_text
+from smeltery.llm.common import components, discard, free_name, lower_ascii, release, stored, whole_text
 
 EDITS = 2
 #: Shorter lines are compared for equality only: a few edits would turn one into another.
 SHORTEST = 30
-#: Letters whose counts rule out pairs: an edit changes two counts by one at most. Eight counts modulo 256 share a number.
-TALLIED = ("eanirtos", "ludcmpgh")
+#: Letters whose counts rule out pairs: an edit changes two counts by one at most. Sixteen counts modulo 16 share a number.
+TALLIED = ("eanirtosludcmpgh",)
+#: Bits of a count.
+COUNT_BITS = 4
 
 
-def lines_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, at, raw, line)``: lines in order, and their form for comparing (trimmed, A-Z lower-cased)."""
-    opened = docs.select(F.col(key).alias("doc_id"), F.posexplode(F.split(whole_text(text), "\n")).alias("at", "raw"))
-    return opened.withColumn("line", F.trim(F.regexp_replace(lower_ascii(F.col("raw")), r"[\x09-\x0D]+", " ")))
+def lines_of(docs: DataFrame, key: str = "doc_id", text: str = "text", *more: Column) -> DataFrame:
+    """``(doc_id, at, raw, line)``: lines in order, and their form for comparing (trimmed, A-Z lower-cased); ``more`` columns stay."""
+    opened = docs.select(F.col(key).alias("doc_id"), *more, F.posexplode(F.split(whole_text(text), "\n")).alias("at", "raw"))
+    return opened.withColumn("line", compared(F.col("raw")))
+
+
+def compared(raw: Column) -> Column:
+    """The line trimmed and A-Z lower-cased; runs of other white space are one space. Most lines need no pattern and no table."""
+    low = F.when(F.octet_length(raw) == F.length(raw), F.lower(raw)).otherwise(lower_ascii(raw))
+    spaced = reduce(Column.__or__, [F.contains(raw, F.lit(c)) for c in "\t\n\x0B\x0C\r"])
+    return F.trim(F.when(spaced, F.regexp_replace(low, r"[\x09-\x0D]+", " ")).otherwise(low))
 
 
 def segment(length: Column, i: int, edits: int = EDITS) -> tuple[Column, Column]:
@@ -47,7 +56,7 @@ def _probes(line: Column, n: Column, edits: int) -> Column:
 
     If the first i segments hold all edits before the shared one, its text has
     moved by at most i; counted from the end, by at most edits - i off the
-    difference of the lengths. Some segment is shared with both.
+    difference of the lengths. Some segment is shared with both. Null where there is no such substring.
     """
     out = []
     for less in range(edits + 1):
@@ -58,11 +67,11 @@ def _probes(line: Column, n: Column, edits: int) -> Column:
                 place = start + move
                 fits = (place >= 1) & (place + size - 1 <= n) & (length >= SHORTEST)
                 out.append(F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, place, size))))
-    return F.array_distinct(F.array_compact(F.array(*out)))
+    return F.array(*out)
 
 
 def _tally(line: Column, n: Column, letters: str) -> Column:
-    counts = [F.shiftleft((n - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long").bitwiseAND(255), 8 * i)
+    counts = [F.shiftleft((n - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long").bitwiseAND((1 << COUNT_BITS) - 1), COUNT_BITS * i)
               for i, c in enumerate(letters)]
     return reduce(Column.bitwiseOR, counts)
 
@@ -73,10 +82,10 @@ def tallied(lines: DataFrame) -> DataFrame:
 
 
 def _apart(x: Column, y: Column) -> Column:
-    """Sum of the differences of eight counts, at least what edits have to make up."""
-    count = lambda z, i: F.shiftrightunsigned(z, 8 * i).bitwiseAND(255)
-    steps = [F.abs(count(x, i) - count(y, i)) for i in range(8)]
-    return reduce(Column.__add__, [F.least(d, 256 - d) for d in steps])
+    """Sum of the differences of the counts, at most twice as many as the edits between the lines."""
+    count = lambda z, i: F.shiftrightunsigned(z, COUNT_BITS * i).bitwiseAND((1 << COUNT_BITS) - 1)
+    steps = [F.abs(count(x, i) - count(y, i)) for i in range(64 // COUNT_BITS)]
+    return reduce(Column.__add__, [F.least(d, (1 << COUNT_BITS) - d) for d in steps])
 
 
 def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -124,17 +133,46 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     longs = (lines if {*tallies} <= {*lines.columns} else tallied(lines)).where(f"n >= {SHORTEST}")
     index = longs.select("line_id", "n", *tallies, F.explode(_marks(F.col("line"), F.col("n"), edits)).alias("mark"))
     probe = longs.select(F.col("line_id").alias("other"), F.col("n").alias("m"), *[F.col(t).alias(f"u{t}") for t in tallies],
-                         F.explode(_probes(F.col("line"), F.col("n"), edits)).alias("mark"))
+                         F.explode(_probes(F.col("line"), F.col("n"), edits)).alias("mark")).where("mark IS NOT NULL")
     room = reduce(Column.__add__, [_apart(F.col(t), F.col(f"u{t}")) for t in tallies]) <= 2 * edits
     pairs = (index.join(probe, "mark").where(f"line_id <> other AND m >= n AND m - n <= {edits} AND (m > n OR line_id < other)")
              .where(room)
              .select(F.col("line_id").alias("a"), F.col("other").alias("b")).distinct())
     pairs = stored(pairs, "line-pairs")
+    release(lines)
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-wanted")
     some = stored(lines.select("line_id", "line").join(wanted, "line_id", "left_semi"), "line-texts")
     text = lambda c: some.select(F.col("line_id").alias(c), F.col("line").alias(f"{c}_line"))
-    return (pairs.join(text("a"), "a").join(text("b"), "b")
-            .where(within_edits(F.col("a_line"), F.col("b_line"), edits)).select("a", "b"))
+    links = stored(pairs.join(text("a"), "a").join(text("b"), "b")
+                   .where(within_edits(F.col("a_line"), F.col("b_line"), edits)).select("a", "b"), "line-links")
+    for used in (pairs, wanted, some):
+        discard(used)
+    release(lines)
+    return links
+
+
+def _digest(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
+def _placed(lines: DataFrame, edits: int) -> DataFrame:
+    """``(digest, class_id, best, alone)`` of every line but empty ones: its class, the first line of that, and whether it occurs once and has no link."""
+    firsts = lines.where("line <> ''").groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("times"))
+    known = stored(tallied(firsts.select(F.monotonically_increasing_id().alias("line_id"), "line",
+                                         F.length("line").alias("n"), "first", "times")), "lines")
+    release(lines)
+    links = near_lines(known, edits)
+    label = components(links, "line-components").withColumnRenamed("id", "line_id")
+    linked = stored(known.select("line_id", "first").join(label, "line_id"), "line-classes")
+    best = linked.groupBy("label").agg(F.min("first").alias("best"))
+    told = stored(linked.join(best, "label").select("line_id", "label", "best"), "line-best")
+    placed = stored(known.select("line_id", "first", "times", _digest(F.col("line")).alias("digest")).join(told, "line_id", "left").select(
+        "digest", F.coalesce("label", "line_id").alias("class_id"), F.coalesce("best", "first").alias("best"),
+        (F.col("label").isNull() & (F.col("times") == 1)).alias("alone")), "line-digests")
+    for used in (known, links, linked, told):
+        discard(used)
+    release(lines)
+    return placed
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
@@ -147,25 +185,37 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     Rows with one doc_id are one document. Without any text all lines are kept.
     """
     lines = lines_of(docs, key, text)
-    firsts = lines.where("line <> ''").groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("first"))
-    known = stored(tallied(firsts.select(F.monotonically_increasing_id().alias("line_id"), "line",
-                                         F.length("line").alias("n"), "first")), "lines")
-    links = stored(near_lines(known, edits), "line-links")
-    label = components(links, "line-components").withColumnRenamed("id", "line_id")
-    classes = known.select("line_id", "first", F.xxhash64("line").alias("mark"), F.md5("line").alias("digest")).join(
-        label, "line_id", "left").withColumn("class_id", F.coalesce("label", "line_id")).drop("label", "line_id")
-    best = stored(classes.groupBy("class_id").agg(F.min("first").alias("best")), "line-classes")
-    joined = stored(classes.join(best, "class_id").select("digest", "class_id", "best"), "line-digests")
-    told = lines.withColumn("digest", F.when(F.col("line") != "", F.md5("line")))
+    told = lines.withColumn("digest", F.when(F.col("line") != "", _digest(F.col("line"))))
     first = F.struct("doc_id", "at")
-    return told.join(joined, "digest", "left").select(
+    return told.join(_placed(lines, edits).drop("alone"), "digest", "left").select(
         "doc_id", "at", "raw", "class_id", (F.col("best").isNull() | (F.col("best") == first)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_lines, n_kept, text)`` per document: the kept lines in their order."""
-    lines = line_classes(docs, key, text)
-    kept = F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("at", "raw"))))
-    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if("kept").alias("n_kept"), kept.alias("k")).select(
-        F.col("doc_id").alias(key), "n_lines", "n_kept",
-        F.array_join(F.transform("k", lambda z: z["raw"]), "\n").alias("text"))
+    """``(key, n_lines, n_kept, text)`` per document: the kept lines of ``line_classes`` in their order.
+
+    Lines are decided by digest and place alone, and only the places that go
+    move to their document, so each text is moved once as lines and once whole.
+    Rows of one doc_id are told apart by a hash of their text.
+    """
+    of = free_name(docs, "_of")
+    rows = docs.withColumn(of, F.xxhash64(whole_text(text)))
+    placed = _placed(lines_of(docs, key, text), EDITS)
+    told = lines_of(rows, key, text, F.col(of).alias("of")).where("line <> ''").select("doc_id", "of", "at", _digest(F.col("line")).alias("digest"))
+    gone = stored(told.join(placed.where("NOT alone").select("digest", "best"), "digest")
+                  .where(F.col("best") != F.struct("doc_id", "at")).select("doc_id", "of", "at"), "line-gone")
+    discard(placed)
+    release(docs)
+    whole = rows.select(F.col(key).alias("doc_id"), F.col(of).alias("of"), whole_text(text).alias("text"), F.lit(None).cast("int").alias("at"))
+    met = whole.union(gone.select("doc_id", "of", F.lit(None).cast("string"), "at")).repartition("doc_id")
+    each = met.groupBy("doc_id", "of").agg(F.collect_list("text").alias("texts"), F.collect_set("at").alias("gone"))
+    # places in a text are distinct, so those that stay keep their order
+    stay = lambda t: F.array_except(F.sequence(F.lit(0), F.size(t) - 1), F.col("gone"))
+    picked = lambda t: F.when(F.size("gone") == 0, F.transform(t, lambda raw, at: F.struct(at.alias("at"), raw.alias("raw")))).otherwise(
+        F.transform(stay(t), lambda at: F.struct(at.alias("at"), F.get(t, at).alias("raw"))))
+    each = each.select("doc_id", F.transform("texts", lambda t: F.split(t, "\n")).alias("texts"), "gone").select(
+        "doc_id", F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.size(t)).alias("n"),
+        F.flatten(F.transform("texts", picked)).alias("k"))
+    kept = each.groupBy("doc_id").agg(F.sum("n").alias("n_lines"), F.flatten(F.collect_list("k")).alias("k"))
+    return kept.select(F.col("doc_id").alias(key), "n_lines", F.size("k").cast("long").alias("n_kept"),
+                       F.array_join(F.transform(F.array_sort("k"), lambda z: z["raw"]), "\n").alias("text"))

@@ -347,6 +347,22 @@ def test_near_lines_equal_brute_force(spark):
     assert sorted(map(tuple, line_dedup.near_lines(table).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_lines_move_without_their_text_once_placed(spark, monkeypatch):
+    line = "a line that is long enough to be compared, and comes twice"
+    rows = [(1, f"{line}\n\nonce"), (1, f"Once\n{line}"), (1, f"{line}\n\nonce"), (None, line), (None, "x\tY"), (2, None),
+            (3, f"x y\n{line}!\nÉ x\n\n{line}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    lines, labels = line_dedup.line_classes(frame), []
+    kept = F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("at", "raw"))))
+    want = lines.groupBy("doc_id").agg(F.count("*"), F.count_if("kept"), kept.alias("k")).collect()
+    put = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, label: labels.append((label, df.columns)) or put(df, label))
+    got = line_dedup.deduplicated(frame)
+    assert {tuple(r) for r in got.collect()} == {(i, n, k, "\n".join(z.raw for z in x)) for i, n, k, x in want}
+    moved = dict(labels)
+    assert moved["line-gone"] == ["doc_id", "of", "at"] and not {"raw", "line", "text"} & {*moved["line-digests"]}
+
+
 @pytest.mark.parametrize("edits", [0, 1, 2, 3])
 def test_band_equals_edit_distance(spark, edits):
     rng = random.Random(11 + edits)
