@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word: a run of characters other than space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of texts in one Arrow batch.
+BATCH_ROWS = 1000
+
 
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
@@ -52,8 +56,22 @@ def release(df: DataFrame) -> None:
     Spark deletes them once the driver has collected the plans that made them,
     which on a driver with room to spare can take until the job is over.
     """
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for again in (False, True):  # the events of the step that has just ended hold its plan until they are handled
+        if again:
+            time.sleep(0.5)
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def small_batches(df: DataFrame) -> None:
+    """Hand texts to Python at most ``BATCH_ROWS`` rows at a time, in this session from now on.
+
+    Spark's default of 10,000 whole texts is held by the executor and by the
+    Python worker of every running task. A smaller setting of the caller stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

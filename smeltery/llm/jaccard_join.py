@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from smeltery.llm.common import components, discard, release, stored
+from smeltery.llm.common import components, discard, release, small_batches, stored
 from smeltery.llm.shingles import SIZE, batches, scramble, shingle_sets
 
 #: Similar: NUMERATOR * union <= DENOMINATOR * intersection, that is 75 / 100.
@@ -43,6 +43,7 @@ UNLIKE = (f"x_apart IS NULL OR y_apart IS NULL OR "
           f"{DENOMINATOR + NUMERATOR} * ({DIFFER}) <= {DENOMINATOR - NUMERATOR} * (x_n + y_n)")
 FACTS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sketch", pa.binary()),
                    ("feature", pa.int64()), ("often", pa.int64())])
+OWN = pa.schema([("bucket", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()), ("shared", pa.binary())])
 BLOCKS = pa.schema([("bucket", pa.int64()), ("marks", pa.binary()), ("ids", pa.binary()), ("hubs", pa.binary())])
 
 
@@ -127,8 +128,8 @@ def _describe(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(every[much].view(np.int64)), pa.array(times[much])], schema=FACTS)
 
     none = lambda k: pa.nulls(k, pa.int64())
+    kept, held = {}, 0
     for batch in rows:
-        kept, held = {}, 0
         for first, run in batches(_texts(batch)):
             sizes, digests, sketches = [], [], []
             for s in shingle_sets(run):
@@ -145,8 +146,8 @@ def _describe(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held >= SLICE:
                 yield from often(list(kept.values()))
                 kept, held = {}, 0
-        if kept:
-            yield from often(list(kept.values()))
+    if kept:
+        yield from often(list(kept.values()))
 
 
 def _emit(buckets: int, frequent: np.ndarray, often: np.ndarray):
@@ -175,9 +176,9 @@ def _emit(buckets: int, frequent: np.ndarray, often: np.ndarray):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), BLOCKS, strict=True)], schema=BLOCKS)
 
     def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, marks, owner, held = set(), [], [], 0
         for batch in rows:
             ids = batch.column("doc_id").to_numpy()
-            known, marks, owner, held = set(), [], [], 0
             for first, run in batches(_texts(batch)):
                 for i, s in enumerate(shingle_sets(run), first):
                     seen = (len(s), int(s.sum(dtype=np.uint64)))
@@ -189,8 +190,8 @@ def _emit(buckets: int, frequent: np.ndarray, often: np.ndarray):
                 if held >= SLICE:
                     yield blocks(marks, owner)
                     known, marks, owner, held = set(), [], [], 0
-            if marks:
-                yield blocks(marks, owner)
+        if marks:
+            yield blocks(marks, owner)
 
     return emit
 
@@ -274,23 +275,66 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             .mapInPandas(_may_link, "a long, b long"))
 
 
-def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in rows:
-        ids = batch.column("rep").to_numpy()
-        for first, run in batches(_texts(batch)):
-            sets = shingle_sets(run)
-            yield pa.RecordBatch.from_pydict({
-                "rep": pa.array(np.repeat(ids[first:first + len(sets)], [len(s) for s in sets])),
-                "feature": pa.array(np.concatenate(sets).view(np.int64))})
+def _own_features(buckets: int):
+    """Blocks of features by bucket, with the set that has each. Features that several sets of a slice have are nobody's own.
 
+    Those are sent once a slice, without a set. 32 bits of a feature tell it from
+    others of its bucket; where they do not, the two count as shared, which only
+    leaves ``alone`` smaller.
+    """
 
-def _alone(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(rep, alone)``: how many features of each set no other of these sets has."""
-    features = (texts.withColumnRenamed("id", "rep").join(reps, "rep", "left_semi").dropDuplicates(["rep"])
-                .select("rep", "text").mapInArrow(_features, "rep long, feature long"))
-    own = features.groupBy("feature").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).where("rep = last")
-    return reps.join(own.groupBy("rep").agg(F.count("*").alias("alone")), "rep", "left").select(
-        "rep", F.coalesce("alone", F.lit(0)).alias("alone"))
+    def blocks(sets: list[np.ndarray], reps: list[int]) -> pa.RecordBatch:
+        mark, own = np.concatenate(sets), np.repeat(np.array(reps, np.int64), [len(s) for s in sets])
+        order = np.lexsort((own, mark))
+        mark, own = mark[order], own[order]
+        start = np.flatnonzero(np.diff(mark, prepend=mark[0] ^ np.uint64(1)))
+        several = own[start] != own[np.append(start[1:], len(own)) - 1]
+        mark, own = mark[start], own[start]
+        bucket = (mark >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] ^ np.uint64(1)))
+        short, out = mark.astype(np.uint32), []
+        for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+            some, whose, alike = short[a:b], own[a:b], several[a:b]
+            by = np.argsort(whose[~alike], kind="stable")
+            out.append((int(bucket[a]), some[~alike][by].tobytes(), whose[~alike][by].tobytes(), some[alike].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), OWN, strict=True)], schema=OWN)
+
+    def emit(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, reps, held = [], [], 0
+        for batch in rows:
+            ids = batch.column("id").to_numpy()
+            for first, run in batches(_texts(batch)):
+                for i, s in enumerate(shingle_sets(run), first):
+                    if len(s):
+                        sets.append(s)
+                        reps.append(ids[i])
+                        held += len(s)
+                if held >= SLICE:
+                    yield blocks(sets, reps)
+                    sets, reps, held = [], [], 0
+        if sets:
+            yield blocks(sets, reps)
+
+    return emit
+
+
+def _counted_alone(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket, how many features of each set no other set has."""
+    mark, own, shared = (np.frombuffer(b"".join(rows[c]), t) for c, t in (("marks", np.uint32), ("ids", np.int64), ("shared", np.uint32)))
+    order = np.lexsort((own, mark))
+    mark, own = mark[order], own[order]
+    start = np.flatnonzero(np.diff(mark.astype(np.int64), prepend=-1))
+    sole = own[start] == own[np.append(start[1:], len(own)) - 1] if len(start) else np.zeros(0, bool)
+    rep, alone = np.unique(own[start][sole & ~np.isin(mark[start], shared)], return_counts=True)
+    return pd.DataFrame({"rep": rep, "alone": alone})
+
+
+def _alone(texts: DataFrame, buckets: int) -> DataFrame:
+    """``(rep, alone)``: about how many features of each of these sets no other of them has, never more than there are."""
+    blocks = texts.select("id", "text").mapInArrow(_own_features(buckets), "bucket long, marks binary, ids binary, shared binary")
+    own = blocks.groupBy("bucket").applyInPandas(_counted_alone, "rep long, alone long").groupBy("rep").agg(F.sum("alone").alias("alone"))
+    reps = texts.select(F.col("id").alias("rep")).distinct()
+    return reps.join(own, "rep", "left").select("rep", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
 def pooled(holders: DataFrame) -> DataFrame:
@@ -335,6 +379,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     different components that sizes, sketches and differences from the centre do
     not rule out; holders of one component need not be.
     """
+    small_batches(docs)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = stored(slim.mapInArrow(_describe, "doc_id long, n long, digest binary, sketch binary, feature long, often long"),
                    "jaccard-facts")
@@ -355,21 +400,24 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         _emit(buckets, feature[order], hot["often"].to_numpy(np.int64)[order]),
         "bucket long, marks binary, ids binary, hubs binary")
     met = stored(blocks.groupBy("bucket").applyInPandas(_meet, "mark long, hub long, id long"), "jaccard-edges")
+    release(docs)
     rep = lambda c: of.select(F.col("doc_id").alias(c), F.col("rep").alias(f"{c}_rep"), F.col("n").alias(f"{c}_n"))
     near = met.select("hub", "id").distinct().join(rep("hub"), "hub").join(rep("id"), "id")
     edges = stored(near, "jaccard-near")
+    release(docs)
     fits = "{0}_rep <> {1}_rep AND {2} * greatest({0}_n, {1}_n) <= {3} * least({0}_n, {1}_n)".format
     sketches = stored(facts.select("doc_id", "n", "sketch").join(first.select(F.col("rep").alias("doc_id")), "doc_id")
                       .dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "jaccard-sketches")
     couples = edges.where(fits("hub", "id", NUMERATOR, DENOMINATOR)).select(
         F.least("hub_rep", "id_rep").alias("a"), F.greatest("hub_rep", "id_rep").alias("b")).distinct()
     tried = stored(possible(couples, sketches), "jaccard-tried")
+    release(docs)
 
-    def fetched(ids: DataFrame) -> DataFrame:
-        return stored(slim.withColumnRenamed("doc_id", "id").join(stored(ids.distinct(), "jaccard-wanted"), "id", "left_semi"),
-                      "jaccard-texts")
+    def fetched(wanted: DataFrame) -> DataFrame:
+        return stored(slim.withColumnRenamed("doc_id", "id").join(stored(wanted, "jaccard-wanted"), "id"), "jaccard-texts")
 
-    texts = fetched(tried.select(F.explode(F.array("a", "b")).alias("id")))
+    both_ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = fetched(both_ends(tried))
     release(docs)
     links = stored(verified(tried, texts), "jaccard-links")
     discard(texts)
@@ -386,17 +434,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     discard(met)
     discard(edges)
 
-    texts = fetched(holders.select(F.col("rep").alias("id")))
     release(docs)
     crowded = holders.groupBy("mark").count().where(f"count > {CROWD}").select("mark")
-    crowd = holders.join(stored(crowded, "jaccard-crowded"), "mark", "left_semi")
-    alone = stored(_alone(crowd.select("rep").distinct(), texts), "jaccard-alone")
+    crowd = stored(holders.join(stored(crowded, "jaccard-crowded"), "mark", "left_semi"), "jaccard-crowds")
+    release(docs)
+    reps = holders.select("rep", F.lit(False).alias("crowded")).union(crowd.select("rep", F.lit(True)))
+    texts = fetched(reps.groupBy(F.col("rep").alias("id")).agg(F.max("crowded").alias("crowded")))
+    release(docs)
+    alone = stored(_alone(texts.where("crowded"), buckets), "jaccard-alone")
+    release(docs)
     crowd = stored(crowd.join(alone, "rep"), "jaccard-crowd")
     centre = stored(crowd.groupBy("mark").agg(F.min(F.struct("alone", "rep")).alias("c"))
                     .select("mark", F.col("c.rep").alias("centre")), "jaccard-centres")
     spokes = stored(crowd.join(centre, "mark").where("rep <> centre"), "jaccard-spokes")
-    spans = stored(measured(spokes.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), texts),
-                   "jaccard-spans")
+    spans = stored(measured(spokes.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(),
+                            texts.where("crowded")), "jaccard-spans")
     release(docs)
     links = stored(links.union(spans.where("similar").select("a", "b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-links")
@@ -416,9 +468,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     more = stored(possible(more, sketches), "jaccard-more")
     discard(rest)
     release(docs)
-    late = stored(verified(more, texts), "jaccard-late")
+    last = stored(texts.select("id", "text").join(stored(both_ends(more), "jaccard-wanted"), "id", "left_semi"), "jaccard-texts")
     discard(texts)
     release(docs)
+    late = stored(verified(more, last), "jaccard-late")
+    discard(last)
+    release(docs)
     links = links.union(late)
     groups = components(links.select("a", "b"))
     tied = stored(of.join(groups.withColumnRenamed("id", "rep"), "rep", "left")

@@ -118,6 +118,36 @@ def test_components_of_a_crowd_and_of_slices(spark, monkeypatch):
         (m, i) for i, s in enumerate(shingle_sets([t.encode() for t in crowd])) for m in jaccard_join.signatures(s, none, none.view(np.int64)).tolist()}
 
 
+def test_features_of_their_own_are_counted_from_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    common = words(rng, 40)
+    texts = [f"{common} {words(rng, k)}" for k in (0, 5, 30, 60)] + [f"{common} {words(rng, 9)}"] * 2
+    frame = spark.createDataFrame([*enumerate(texts), (3, texts[3])], "id long, text string")
+    sets = [set(x.tolist()) for x in shingle_sets([t.encode() for t in texts])]
+    want = {i: len(s.difference(*(t for j, t in enumerate(sets) if j != i))) for i, s in enumerate(sets)}
+    assert {r.rep: r.alone for r in jaccard_join._alone(frame, 8).collect()} == want
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    once = pa.Table.from_batches(jaccard_join._own_features(8)([batch])).num_rows
+    assert once <= 8 < sum(map(len, sets))  # a row a bucket, not one a feature
+    monkeypatch.setattr(jaccard_join, "SLICE", 50)
+    assert {r.rep: r.alone for r in jaccard_join._alone(frame, 8).collect()} == want
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, then in ((10_000, common.BATCH_ROWS), (0, common.BATCH_ROWS), (50, 50)):
+            spark.conf.set(name, str(given))
+            common.small_batches(spark.range(1))
+            assert spark.conf.get(name) == str(then)
+        spark.conf.set(name, "10000")
+        toxicity.drop_toxic(docs(spark, "a"), spark.createDataFrame([], "doc_id long, toxic int"))
+        assert spark.conf.get(name) == str(common.BATCH_ROWS)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_shingles_hash_whole_words():
     a, b, c, d = shingle_sets([b"A b\tc d e f", b"a B c\nd e f", b"a b c d ef", b""])
     assert (a == b).all() and len(a) == 2 and len(c) == 1 and len(d) == 0
