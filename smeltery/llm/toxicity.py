@@ -11,14 +11,18 @@ examples themselves, each left out in turn.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from smeltery.llm.common import small_batches
+
 #: Bound of the fit: at most so many labelled examples of each label, the first in a seeded order.
 EXAMPLES = 2000
 NEIGHBOURS = 15
@@ -201,6 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
     sees at most ``EXAMPLES`` distinct texts of each label; how often a term
     occurs is counted over all documents.
     """
+    small_batches(docs)
     learn = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
     learn = learn.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     totals = dict(learn.groupBy("toxic").count().collect())
@@ -214,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
     if len(sizes) < 2:
         return None
     n, pos = sum(sizes.values()), sizes[1]
-    counts = {(r.doc_id, r.toxic): dict(zip(r.terms.split(" "), np.frombuffer(r.times, np.int64).tolist())) if r.terms else {}
+    counts = {(r.doc_id, r.toxic): dict(zip(map(sys.intern, r.terms.split(" ")), np.frombuffer(r.times, np.int64).tolist())) if r.terms else {}
               for r in chosen.select("doc_id", "toxic", "text").mapInPandas(
                   _counted, "doc_id long, toxic int, terms string, times binary").toPandas().itertuples()}
     chosen.unpersist()
@@ -225,15 +230,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
     terms = sorted(held)
     wanted = frozenset(terms)
 
-    def spread(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # here and below an Arrow batch is walked text by text, so that no task holds thousands of texts as Python strings
+    def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = Counter(), 0
         for batch in rows:
             seen += len(batch)
-            for text in batch["text"]:
-                total.update(wanted.intersection(words_of(text)))
-        yield pd.DataFrame({"term": [*total, None], "n": [*total.values(), seen]})
+            for text in batch.column("text"):
+                total.update(wanted.intersection(words_of(text.as_py())))
+        yield pa.RecordBatch.from_pydict({"term": pa.array([*total, None], pa.string()), "n": pa.array([*total.values(), seen], pa.int64())})
 
-    seen = dict(docs.select("text").mapInPandas(spread, "term string, n long").groupBy("term").agg(F.sum("n")).collect())
+    seen = dict(docs.select("text").mapInArrow(spread, "term string, n long").groupBy("term").agg(F.sum("n")).collect())
     idf = np.array([np.log((1 + seen[None]) / (1 + seen.get(t, 0))) + 1 for t in terms])
     idf *= told_apart(np.array([held[t] for t in terms], float), np.array([toxic[t] for t in terms], float), n, pos)
     examples = sorted((i, y, c) for (i, y), c in counts.items())
@@ -257,19 +263,22 @@ def score_texts(docs: DataFrame, index: Index | None) -> DataFrame:
     0. ``evidence`` lists the nearest examples by doc_id. A null doc_id is held
     out as the text ``null`` would be: never, as it has no remainder.
     """
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    # Only texts go to Python: pandas would turn a nullable whole number into a double.
-    @F.pandas_udf("score double, predicted int, evidence string")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    # Only texts go to Python.
+    @F.arrow_udf("score double, predicted int, evidence string")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
         for batch in batches:
             scores, evidence = [], []
             for text in batch:
-                vote, near = (-1.0, []) if index is None else index.vote(*index.vector(term_counts(text)))
+                vote, near = (-1.0, []) if index is None else index.vote(*index.vector(term_counts(text.as_py())))
                 scores.append(0.0 if index is None else index.score(vote))
                 evidence.append(",".join(str(index.ids[i]) for i in near[:5]) if index else "")
-            yield pd.DataFrame({"score": scores, "predicted": [int(s >= THRESHOLD) for s in scores], "evidence": evidence})
+            yield pa.StructArray.from_arrays([
+                pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()),
+                pa.array(evidence, pa.string())], ["score", "predicted", "evidence"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out")
     judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held, judge(F.col("text")).alias("judged"))
@@ -278,13 +287,14 @@ def score_texts(docs: DataFrame, index: Index | None) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``THRESHOLD``, with all their columns."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
-    @F.pandas_udf("boolean")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
         for batch in batches:
-            yield pd.Series([index is None or index.score(index.vote(*index.vector(term_counts(t)))[0]) < THRESHOLD
-                             for t in batch], dtype=bool)
+            yield pa.array([bool(index is None or index.score(index.vote(*index.vector(term_counts(t.as_py())))[0]) < THRESHOLD)
+                            for t in batch], pa.bool_())
 
     return docs.where(clean(F.col("text")))
