@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows of texts in one Arrow batch.
 BATCH_ROWS = 1000
+#: Places of the bitmap by which rows are chosen before they move; it is at most an eighth as many bytes, however many keys are wanted.
+PLACES = 1 << 25
 
 
 def lower_ascii(text: Column) -> Column:
@@ -63,6 +65,23 @@ def release(df: DataFrame) -> None:
         df.sparkSession.sparkContext._jvm.System.gc()
 
 
+def marked(rows: DataFrame, key: Column, wanted: DataFrame, flag: str) -> DataFrame:
+    """``rows`` and whether their ``key`` may be in the one column of ``wanted``: true for all that are and a few others.
+
+    Keys are looked up by hash in a bitmap of bounded size, so no row moves. An
+    exact join of the rows with the flag has to follow; null is a key.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(PLACES))
+    block, bits = free_name(rows, "_block"), free_name(rows, "_bits")
+    sought = wanted.select(place(F.col(wanted.columns[0])).alias("place"))
+    maps = sought.groupBy(F.bitmap_bucket_number("place").alias(block)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias(bits))
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    keyed = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place(key)) == F.col(block), "left")
+    return keyed.select(*[rows[c] for c in rows.columns], F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)).alias(flag))
+
+
 def small_batches(df: DataFrame) -> None:
     """Hand texts to Python at most ``BATCH_ROWS`` rows at a time, in this session from now on.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from smeltery.llm.common import free_name, lower_ascii, release, stored, whole_text
+from smeltery.llm.common import free_name, lower_ascii, marked, release, stored, whole_text
 
 MIN_CHUNK = 512
 MAX_CHUNK = 4096
@@ -61,10 +61,13 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -
 
 
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    of, sha = free_name(docs, "_key"), free_name(docs, "_sha")
+    """The rows of ``docs`` that stay, with all their columns. Only rows whose key may be one that goes are moved."""
+    of, sha, flag = free_name(docs, "_key"), free_name(docs, "_sha"), free_name(docs, "_may_go")
     lost = stored(exact_duplicates(docs, text, key).where("NOT kept")
                   .select(F.col(key).alias(of), F.col("text_sha256").alias(sha)), "exact-copies")
     release(docs)
     body = F.sha2(lower_ascii(whole_text(text)), 256)
-    return docs.join(lost, docs[key].eqNullSafe(F.col(of)) & (body == F.col(sha)), "left_anti")
+    told = marked(docs, docs[key], lost.select(of), flag)
+    some = told.where(flag).drop(flag)
+    stay = some.join(lost, some[key].eqNullSafe(F.col(of)) & (body == F.col(sha)), "left_anti")
+    return told.where(~F.col(flag)).drop(flag).union(stay)
