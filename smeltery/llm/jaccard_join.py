@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from smeltery.llm.common import components, discard, release, small_batches, stored
+from smeltery.llm.common import components, discard, free_name, marked, release, small_batches, stored
 from smeltery.llm.shingles import SIZE, batches, scramble, shingle_sets
 
 #: Similar: NUMERATOR * union <= DENOMINATOR * intersection, that is 75 / 100.
@@ -30,10 +30,12 @@ BUCKET_BYTES = 6 << 20
 PARTNERS_PER_TASK = 64
 #: Features or signatures a task gathers before it hands them on.
 SLICE = 1 << 20
-#: Buckets of a sketch: how many features of a set fall into each.
-SKETCH = 256
+#: Bits of the smallest sketch. A bit tells whether an odd number of features falls on it; there are at least two for each feature.
+SKETCH = 64
 #: A signature with more holders than this is looked at through its most central holder first.
 CROWD = 16
+#: Holders of a crowd whose sketches are compared at once, and bits of them.
+SIDE, WIDE = 1024, 1 << 13
 #: What is known of a holder.
 HELD = ("rep", "n", "label", "alone", "apart")
 #: Two holders of a crowded signature differ from its centre in ``apart`` features each; what they differ in alike
@@ -105,6 +107,21 @@ def signatures(features: np.ndarray, frequent: np.ndarray, often: np.ndarray) ->
     return np.concatenate(out)
 
 
+def sketch(features: np.ndarray) -> bytes:
+    """Bits by the last digits of the features, each set where their number is odd."""
+    size = max(SKETCH, 1 << (2 * len(features) - 1).bit_length()) if len(features) else SKETCH
+    return np.packbits(np.bincount((features & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1).tobytes()
+
+
+def folded(sketches: pd.Series, width: int) -> np.ndarray:
+    """Sketches of one size as rows of ``width`` bytes, as smaller sketches of the same sets would be."""
+    out = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    while out.shape[1] > width:
+        half = out.shape[1] // 2
+        out = out[:, :half] ^ out[:, half:]
+    return out
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[pa.Buffer | None]:
     """The texts as Arrow holds them, one at a time."""
     return (t.as_buffer() for t in batch.column("text"))
@@ -135,10 +152,9 @@ def _describe(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in shingle_sets(run):
                 digest = np.concatenate(([np.uint64(len(s))], [s.sum(dtype=np.uint64)],
                                          [scramble(s + np.uint64(7)).sum(dtype=np.uint64)])).tobytes()
-                fall = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
                 sizes.append(len(s))
                 digests.append(digest)
-                sketches.append(np.minimum(fall, 255).astype(np.uint8).tobytes())
+                sketches.append(sketch(s))
                 if digest not in kept:
                     kept[digest] = s
                     held += len(s)
@@ -259,13 +275,13 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _may_link(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The pairs whose sketches leave room for enough common features; a full bucket rules nothing out."""
+    """The pairs whose sketches differ in few enough bits: the sets differ in at least as many features."""
     for batch in rows:
-        a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, SKETCH) for c in ("x", "y"))
-        most = np.minimum(a, b).sum(1, dtype=np.int64) + ((a == 255) & (b == 255)).any(1) * (1 << 40)
-        room = (NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (batch["n"] + batch["m"])
-        if room.any():
-            yield batch.loc[room, ["a", "b"]]
+        for (x, y), some in batch.groupby([batch["x"].str.len(), batch["y"].str.len()]):
+            differ = np.bitwise_count(folded(some["x"], min(x, y)) ^ folded(some["y"], min(x, y))).sum(1, dtype=np.int64)
+            room = (DENOMINATOR + NUMERATOR) * differ <= (DENOMINATOR - NUMERATOR) * (some["n"] + some["m"])
+            if room.any():
+                yield some.loc[room, ["a", "b"]]
 
 
 def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -275,6 +291,48 @@ def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             .mapInPandas(_may_link, "a long, b long"))
 
 
+def _with_partner(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of two parts of the holders around one hub, those that sizes and sketches allow a partner with another label in the other part."""
+    found = np.zeros(len(rows), bool)
+    n, label, own = (rows[c].to_numpy() for c in ("n", "label", "own"))
+    i, j = rows["i"].iat[0], rows["j"].iat[0]
+    widths = rows["sketch"].str.len().to_numpy()
+    for x in np.unique(widths[own == i]):
+        for y in np.unique(widths[own == j]):
+            left, right = np.flatnonzero((own == i) & (widths == x)), np.flatnonzero((own == j) & (widths == y))
+            width = min(x, y)
+            p, q = folded(rows["sketch"].iloc[left], width), folded(rows["sketch"].iloc[right], width)
+            differ = np.bitwise_count(p).sum(1, dtype=np.int64)[:, None] + np.bitwise_count(q).sum(1, dtype=np.int64)
+            for k in range(0, width, WIDE // 8):
+                bits = [np.unpackbits(z[:, k:k + WIDE // 8], axis=1).astype(np.float32) for z in (p, q)]
+                differ -= 2 * (bits[0] @ bits[1].T).astype(np.int64)
+            a, b = n[left][:, None], n[right]
+            room = ((label[left][:, None] != label[right]) & (NUMERATOR * np.maximum(a, b) <= DENOMINATOR * np.minimum(a, b))
+                    & ((DENOMINATOR + NUMERATOR) * differ <= (DENOMINATOR - NUMERATOR) * (a + b)))
+            found[left] |= room.any(1)
+            found[right] |= room.any(0)
+    return rows.loc[found, ["hub", "rep"]]
+
+
+def sifted(crowd: DataFrame, whole: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``crowd(mark, rep, n)`` without the holders that cannot be similar to any holder of their signature with another label.
+
+    Signatures of one smallest holder are looked at together. Very many holders
+    are dealt to parts, and two parts at a time are compared.
+    """
+    hubs = stored(crowd.groupBy("mark").agg(F.min("rep").alias("hub")), "jaccard-hubs")
+    around = crowd.join(hubs, "mark")
+    pools = stored(around.select("hub", "rep", "n").distinct(), "jaccard-around")
+    sized = pools.groupBy("hub").agg(F.ceil(F.count("*") / SIDE).alias("parts"))
+    known = whole.where("doc_id = rep").select("rep", "label").join(sketches.select("rep", "sketch"), "rep")
+    dealt = pools.join(sized, "hub").withColumn("own", F.expr("pmod(xxhash64(rep), parts)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).select(
+        "hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n")
+    kept = dealt.join(known, "rep").groupBy("hub", "i", "j").applyInPandas(_with_partner, "hub long, rep long")
+    kept = stored(kept.distinct(), "jaccard-sifted")
+    return around.join(kept, ["hub", "rep"], "left_semi").select("mark", "rep", "n")
+
+
 def _own_features(buckets: int):
     """Blocks of features by bucket, with the set that has each. Features that several sets of a slice have are nobody's own.
 
@@ -374,8 +432,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     How no link is lost: equal sets are one vertex. Every holder of a signature
     is compared with the smallest holder. Where that leaves the holders of a
-    signature in several components, crowded signatures are compared with their
-    most central holder (fewest features of its own), and then all holders of
+    signature in several components, holders of crowded signatures stay if their
+    sketches allow a partner in another component, these are compared with the
+    most central of them (fewest features of its own), and then all holders of
     different components that sizes, sketches and differences from the centre do
     not rule out; holders of one component need not be.
     """
@@ -414,13 +473,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     release(docs)
 
     def fetched(wanted: DataFrame) -> DataFrame:
-        return stored(slim.withColumnRenamed("doc_id", "id").join(stored(wanted, "jaccard-wanted"), "id"), "jaccard-texts")
+        ids = stored(wanted, "jaccard-wanted")
+        texts = slim.withColumnRenamed("doc_id", "id")
+        return marked(texts, texts["id"], ids, "wanted").where("wanted").drop("wanted").join(ids, "id")
 
     both_ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = fetched(both_ends(tried))
-    release(docs)
-    links = stored(verified(tried, texts), "jaccard-links")
-    discard(texts)
+    links = stored(verified(tried, fetched(both_ends(tried))), "jaccard-links")
     release(docs)
     whole = _labelled(of, links)
     side = lambda c: whole.select(F.col("doc_id").alias(c), F.col("label").alias(f"{c}_label"))
@@ -436,19 +494,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     release(docs)
     crowded = holders.groupBy("mark").count().where(f"count > {CROWD}").select("mark")
-    crowd = stored(holders.join(stored(crowded, "jaccard-crowded"), "mark", "left_semi"), "jaccard-crowds")
+    crowded = stored(crowded, "jaccard-crowded")
+    crowd = stored(holders.join(crowded, "mark", "left_semi"), "jaccard-crowds")
     release(docs)
-    reps = holders.select("rep", F.lit(False).alias("crowded")).union(crowd.select("rep", F.lit(True)))
-    texts = fetched(reps.groupBy(F.col("rep").alias("id")).agg(F.max("crowded").alias("crowded")))
+    crowd = stored(sifted(crowd, whole, sketches), "jaccard-crowds")
     release(docs)
-    alone = stored(_alone(texts.where("crowded"), buckets), "jaccard-alone")
+    holders = stored(holders.join(crowded, "mark", "left_anti").union(crowd), "jaccard-holders")
+    reps = stored(crowd.select(F.col("rep").alias("id"), "n").distinct(), "jaccard-reps")
+    texts = fetched(reps.select("id").distinct())
+    much = reps.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    alone = stored(_alone(texts, max(12, int(much * 16 // BUCKET_BYTES))), "jaccard-alone")
     release(docs)
     crowd = stored(crowd.join(alone, "rep"), "jaccard-crowd")
     centre = stored(crowd.groupBy("mark").agg(F.min(F.struct("alone", "rep")).alias("c"))
                     .select("mark", F.col("c.rep").alias("centre")), "jaccard-centres")
     spokes = stored(crowd.join(centre, "mark").where("rep <> centre"), "jaccard-spokes")
     spans = stored(measured(spokes.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(),
-                            texts.where("crowded")), "jaccard-spans")
+                            texts), "jaccard-spans")
     release(docs)
     links = stored(links.union(spans.where("similar").select("a", "b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-links")
@@ -468,11 +530,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     more = stored(possible(more, sketches), "jaccard-more")
     discard(rest)
     release(docs)
-    last = stored(texts.select("id", "text").join(stored(both_ends(more), "jaccard-wanted"), "id", "left_semi"), "jaccard-texts")
-    discard(texts)
-    release(docs)
-    late = stored(verified(more, last), "jaccard-late")
-    discard(last)
+    late = stored(verified(more, fetched(both_ends(more))), "jaccard-late")
     release(docs)
     links = links.union(late)
     groups = components(links.select("a", "b"))
@@ -486,4 +544,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document has the smallest doc_id of its component; rows without doc_id stay."""
     lost = stored(jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-lost")
     release(docs)
-    return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    flag = free_name(docs, "_may_go")
+    told = marked(docs, docs["doc_id"].cast("long"), lost, flag)  # only rows whose doc_id may go are moved
+    stay = told.where(flag).drop(flag).join(lost, "doc_id", "left_anti").select(docs.columns)
+    return told.where(~F.col(flag)).drop(flag).union(stay)

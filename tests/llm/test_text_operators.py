@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -133,6 +134,62 @@ def test_features_of_their_own_are_counted_from_blocks(spark, monkeypatch):
     assert {r.rep: r.alone for r in jaccard_join._alone(frame, 8).collect()} == want
 
 
+def test_sketches_rule_out_unlike_sets_of_any_size_only():
+    rng = np.random.default_rng(4)
+    for n in (1, 40, 700, 9000):
+        one = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        for share, stays in ((0.95, True), (0.4, False)):
+            for m in (len(one), len(one) * 5 // 4):
+                same = one[:max(1, int(share * n))]
+                other = np.unique(np.append(same, rng.integers(0, 2 ** 63, m - len(same)).astype(np.uint64)))
+                both = len(np.intersect1d(one, other))
+                rows = pd.DataFrame({"a": [1], "b": [2], "n": [len(one)], "m": [len(other)], "x": [jaccard_join.sketch(one)], "y": [jaccard_join.sketch(other)]})
+                got = sum(map(len, jaccard_join._may_link(iter([rows]))))
+                similar = 4 * both >= 3 * (len(one) + len(other) - both)
+                assert got == 1 if similar else stays or n < 100 or got == 0  # an average of byte counts could not tell 9,000 apart
+
+
+def test_crowds_of_unlike_holders_are_sifted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SIDE", 7)
+    monkeypatch.setattr(jaccard_join, "WIDE", 64)
+    rng = random.Random(6)
+    texts = [words(rng, rng.choice((200, 230, 260))) for _ in range(30)]
+    texts += [edited(rng, texts[4], 2), edited(rng, texts[9], 3), edited(rng, texts[17], 2)]
+    sets = shingle_sets([t.encode() for t in texts])
+    label = lambda i: 9 if i == 31 else i  # noqa: E731  31 is in the component of 9 already
+    frame = lambda rows, kind: spark.createDataFrame(rows, kind)
+    crowd = frame([(m, i, len(s)) for m in (5, 6) for i, s in enumerate(sets) if i or m == 5], "mark long, rep long, n long")
+    whole = frame([(i, i, len(s), label(i)) for i, s in enumerate(sets)], "doc_id long, rep long, n long, label long")
+    sketches = frame([(i, len(s), jaccard_join.sketch(s)) for i, s in enumerate(sets)], "rep long, n long, sketch binary")
+    got = jaccard_join.sifted(crowd, whole, sketches).collect()
+    assert sorted((r.mark, r.rep) for r in got) == [(m, i) for m in (5, 6) for i in (4, 17, 30, 32)]
+
+
+def test_marked_rows_hold_every_wanted_key_and_null(spark):
+    rows = spark.createDataFrame([(i, "t") for i in range(3000)] + [(None, "t")], "id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 3000, 7)], "k long")
+    got = common.marked(rows, rows["id"], wanted, "may").collect()
+    assert len(got) == 3001 and {r.id for r in got if r.may} == set(range(0, 3000, 7))
+    null = common.marked(rows, rows["id"], spark.createDataFrame([(None,)], "k long"), "may")
+    assert [r.id for r in null.where("may").collect()] == [None]
+    assert common.marked(rows, rows["id"], wanted.limit(0), "may").where("may").isEmpty()
+
+
+def test_only_rows_that_may_go_are_moved(spark, monkeypatch):
+    texts = [f"text {i}" for i in range(40)] + ["Text 3", "TEXT 7"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = exact_dedup.drop_exact_duplicates(docs(spark, *texts))
+        assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(42) if i not in (3, 7)]
+        near = jaccard_join.one_of_each(docs(spark, *texts))
+        assert sorted(r.doc_id for r in near.collect()) == list(range(40))
+        for plan in (kept, near):
+            assert "Union" in plan._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_texts_go_to_python_in_small_batches(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
