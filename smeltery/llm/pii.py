@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -109,9 +110,11 @@ class Tagger:
         self.p = {n: v.astype(np.float32) for n, v in p.items()}
 
     def _run(self, chars: np.ndarray, tape: list | None = None) -> np.ndarray:
-        """States of both directions as (character, feature, window); the tape keeps what the gradient needs."""
+        """States of both directions as (character, feature, window), twice as large without a tape, which keeps what the gradient needs."""
         (b, t), f = chars.shape, np.float32
         w = self.p["w"] * np.repeat([0.5, 0.5, 0.5, 1.0], HIDDEN).astype(f)[:, None]  # sigmoids by way of tanh
+        if tape is None:
+            w[:, :, EMBED:-1] *= f(0.5)  # states are kept twice as large: gates of 0 to 2 need no halving, and halves and doubles are exact
         x = np.take(self.p["emb"], chars.T.ravel(), axis=1).reshape(EMBED, t, b)
         z, c = np.zeros((2, EMBED + HIDDEN + 1, b), f), np.zeros((2, HIDDEN, b), f)
         z[:, -1] = 1
@@ -122,23 +125,32 @@ class Tagger:
             z[0, :EMBED], z[1, :EMBED] = x[:, i], x[:, t - 1 - i]
             np.matmul(w, z, out=g)
             np.tanh(g, out=g)
-            gates *= f(0.5)
-            gates += f(0.5)
-            if tape is not None:
+            if tape is None:
+                gates += f(1)
+                a *= u
+                c *= forget
+                c += a
+                c *= f(0.5)
+                np.tanh(c, out=e)
+                np.multiply(o, e, out=h)
+            else:
+                gates *= f(0.5)
+                gates += f(0.5)
                 tape.append((z.copy(), g.copy(), c.copy()))
-            a *= u
-            c *= forget
-            c += a
-            np.tanh(c, out=e)
-            if tape is not None:
+                a *= u
+                c *= forget
+                c += a
+                np.tanh(c, out=e)
                 tape[-1] += (e.copy(),)
-            np.multiply(o, e, out=h)
+                np.multiply(o, e, out=h)
             hs[i, :HIDDEN], hs[t - 1 - i, HIDDEN:] = h[0], h[1]
         return hs
 
     def scores(self, chars: np.ndarray) -> np.ndarray:
         """Scores of the tags as (character, tag, window)."""
-        return np.matmul(self.p["out"], self._run(chars)) + self.p["bias"]
+        out = np.matmul(self.p["out"] * np.float32(0.5), self._run(chars))
+        out += self.p["bias"]
+        return out
 
     def beliefs(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logarithm of the sum over all paths, probabilities of the tags, and of the pairs; ``scores`` go by stretch, character, tag."""
@@ -247,7 +259,8 @@ class Tagger:
         t = self.p["trans"].astype(float)
         step = t[1:, 1:].max() - t[0, 0]
         doors = t[0, 1:].max() + t[1:, 0].max() - t[0, 0] - step
-        sums = np.append(0.0, np.cumsum((e[:, 1:].max(1) - e[:, 0]).astype(float) + step))
+        best = reduce(np.maximum, e[:, 1:].T)
+        sums = np.append(0.0, np.cumsum((best - e[:, 0]).astype(float) + step))
         return np.maximum.accumulate(sums[:0:-1])[::-1] - np.minimum.accumulate(sums[:-1]) + doors >= -1e-6
 
     def stretches(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:

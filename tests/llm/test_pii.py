@@ -124,3 +124,13 @@ def test_odd_texts(fitted, spark):
     assert got[4].spans == got[5].spans and got[4].n_added == 1
     assert pii.find(rows.limit(0), fitted).count() == 0
     assert pii.fit(rows.limit(0)) is None
+
+
+def test_doubled_states_give_the_same_scores():
+    rng = np.random.default_rng(2)
+    tagger = pii.Tagger(3)
+    tagger.p["trans"][:] = rng.normal(0, 1, tagger.p["trans"].shape)
+    chars = rng.integers(0, pii.CLASSES, (9, pii.WINDOW)).astype(np.uint8)
+    states = tagger._run(chars, [])
+    assert np.array_equal(tagger._run(chars), 2 * states)  # no pass over the gates to halve them, not a bit changed
+    assert np.array_equal(tagger.scores(chars), np.matmul(tagger.p["out"], states) + tagger.p["bias"])
