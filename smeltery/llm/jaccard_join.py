@@ -35,7 +35,7 @@ SKETCH = 64
 #: A signature with more holders than this is looked at through its most central holder first.
 CROWD = 16
 #: Holders of a crowd whose sketches are compared at once, and bits of them.
-SIDE, WIDE = 1024, 1 << 13
+SIDE, WIDE = 512, 1 << 11
 #: What is known of a holder.
 HELD = ("rep", "n", "label", "alone", "apart")
 #: Two holders of a crowded signature differ from its centre in ``apart`` features each; what they differ in alike
