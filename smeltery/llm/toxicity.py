@@ -11,9 +11,8 @@ examples themselves, each left out in turn.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -76,10 +75,11 @@ class Postings:
     @classmethod
     def build(cls, terms: int, blocks: int, rows: list[tuple[np.ndarray, np.ndarray]]) -> Postings:
         term = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in rows)])
-        spot = np.repeat(np.arange(len(rows)), [len(at) for at, _ in rows])
+        spot = np.repeat(np.arange(len(rows), dtype=np.int32), [len(at) for at, _ in rows])
         weight = np.concatenate([np.zeros(0), *(w for _, w in rows)])
-        order = np.lexsort((spot, term))
+        order = np.argsort(term, kind="stable")  # the places of a term rise already
         term, spot, weight = term[order], spot[order], weight[order]
+        del order
         entry = term * blocks + spot // BLOCK
         start = np.flatnonzero(np.diff(entry, prepend=-1))
         top = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
@@ -108,7 +108,7 @@ class Index:
     empty: float = 0.0
 
     @classmethod
-    def build(cls, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, dict[str, int]]]) -> Index:
+    def build(cls, terms: list[str], idf: np.ndarray, examples: Iterable[tuple[int, int, dict[str, int]]]) -> Index:
         place = {t: i for i, t in enumerate(terms)}
         index = cls(place, idf, np.zeros(0), np.zeros(0), None)
         rows = [(i, y, *index.vector(c), max(c, key=lambda t: (c[t], t), default="")) for i, y, c in examples]
@@ -188,6 +188,20 @@ def _counted(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "times": [np.array([*c.values()], np.int64).tobytes() for c in found]})
 
 
+class Examples:
+    """``(doc_id, label, counts)`` of the examples by doc_id, each opened as it is read: all dictionaries at once would be many times their text."""
+
+    def __init__(self, rows: pa.Table):
+        self.terms, self.times = (rows.column(c).combine_chunks() for c in ("terms", "times"))
+        at = dict(zip(zip(rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist(), strict=True), range(len(rows)), strict=True))
+        self.at = sorted(at.items())
+
+    def __iter__(self) -> Iterator[tuple[int, int, dict[str, int]]]:
+        for (i, y), at in self.at:
+            terms, times = self.terms[at].as_py(), np.frombuffer(self.times[at].as_py(), np.int64)
+            yield i, y, dict(zip(terms.split(" "), times.tolist(), strict=True)) if terms else {}
+
+
 def told_apart(held: np.ndarray, toxic: np.ndarray, n: int, pos: int) -> np.ndarray:
     """Weight of terms that ``held`` of n examples have, ``toxic`` of them toxic: root of chi-square against the label, plus one.
 
@@ -219,12 +233,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
     if len(sizes) < 2:
         return None
     n, pos = sum(sizes.values()), sizes[1]
-    counts = {(r.doc_id, r.toxic): dict(zip(map(sys.intern, r.terms.split(" ")), np.frombuffer(r.times, np.int64).tolist())) if r.terms else {}
-              for r in chosen.select("doc_id", "toxic", "text").mapInPandas(
-                  _counted, "doc_id long, toxic int, terms string, times binary").toPandas().itertuples()}
+    examples = Examples(chosen.select("doc_id", "toxic", "text").mapInPandas(
+        _counted, "doc_id long, toxic int, terms string, times binary").toArrow())
     chosen.unpersist()
     held, toxic = Counter(), Counter()
-    for (_, y), c in counts.items():
+    for _, y, c in examples:
         held.update(c.keys())
         toxic.update(c.keys() if y else ())
     terms = sorted(held)
@@ -239,10 +252,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index | None:
                 total.update(wanted.intersection(words_of(text.as_py())))
         yield pa.RecordBatch.from_pydict({"term": pa.array([*total, None], pa.string()), "n": pa.array([*total.values(), seen], pa.int64())})
 
-    seen = dict(docs.select("text").mapInArrow(spread, "term string, n long").groupBy("term").agg(F.sum("n")).collect())
+    counted = docs.select("text").mapInArrow(spread, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    seen = dict(zip(counted.column("term").to_pylist(), counted.column("n").to_pylist(), strict=True))
+    del counted
     idf = np.array([np.log((1 + seen[None]) / (1 + seen.get(t, 0))) + 1 for t in terms])
     idf *= told_apart(np.array([held[t] for t in terms], float), np.array([toxic[t] for t in terms], float), n, pos)
-    examples = sorted((i, y, c) for (i, y), c in counts.items())
+    del held, toxic
     index = Index.build(terms, idf, examples)
     weight = {y: totals[y] / sizes[y] for y in sizes}
     votes = [(index.vote(*index.vector(c), skip=i)[0], y) for i, y, c in examples]

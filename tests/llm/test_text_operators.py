@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -478,3 +479,20 @@ def test_rollup_is_additive_and_idempotent(spark, folder):
     assert [tuple(r) for r in rollup.totals().collect()] == [("b", "en", "t", 1, 7)]
     spark.createDataFrame([("x", "en", "t", 9, 9)], token_rollup.TOTALS).write.parquet(f"{folder}/totals/batch=broken")
     assert rollup.totals().count() == 1
+
+
+def test_toxicity_examples_are_opened_one_at_a_time():
+    words = [[f"w{i}x{j}" for j in range(300)] for i in range(200)]
+    table = pa.table({"doc_id": [*range(199, -1, -1)], "toxic": pa.array([i % 2 for i in range(200)], pa.int32()),
+                      "terms": [" ".join(w) for w in words[:199]] + [""],
+                      "times": [np.full(300, 2 + i, np.int64).tobytes() for i in range(199)] + [b""]})
+    examples = toxicity.Examples(table)
+    tracemalloc.start()
+    seen = sum(sum(c.values()) for _, _, c in examples)
+    peak = tracemalloc.get_traced_memory()[1]
+    held = [*examples]
+    assert peak < tracemalloc.get_traced_memory()[0] / 20
+    tracemalloc.stop()
+    assert seen == sum(300 * (2 + i) for i in range(199))
+    assert held[0] == (0, 1, {}) and held[1][:2] == (1, 0) and held[1][2] == dict.fromkeys(words[198], 200)
+    assert [i for i, _, _ in held] == [*range(200)]
