@@ -22,7 +22,11 @@ from smeltery.llm.common import stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Length and step of the overlapping windows, and how many are scored together.
-WINDOW, STRIDE, TOGETHER = 128, 104, 512
+WINDOW, STRIDE, TOGETHER = 128, 104, 640
+#: Steps from either edge within which a window inside a text has all the characters it answers for.
+INNER = WINDOW - (WINDOW - STRIDE) // 2
+#: Characters of texts that may wait for their windows to be scored.
+WAITING = 1 << 21
 #: Bound of the fit: windows with spans, windows without any, of each document at most.
 WITH_SPANS, BARE, PER_DOCUMENT = 1200, 1200, 3
 #: Windows made of these to learn from, steps of the fit, windows a step.
@@ -109,8 +113,12 @@ class Tagger:
              "trans": np.zeros((k, k))}
         self.p = {n: v.astype(np.float32) for n, v in p.items()}
 
-    def _run(self, chars: np.ndarray, tape: list | None = None) -> np.ndarray:
-        """States of both directions as (character, feature, window), twice as large without a tape, which keeps what the gradient needs."""
+    def _run(self, chars: np.ndarray, tape: list | None = None, steps: int | None = None) -> np.ndarray:
+        """States of both directions as (character, feature, window), twice as large without a tape, which keeps what the gradient needs.
+
+        With fewer ``steps`` than characters each direction stops short of the far edge, and only the states of the
+        characters that both have reached are there.
+        """
         (b, t), f = chars.shape, np.float32
         w = self.p["w"] * np.repeat([0.5, 0.5, 0.5, 1.0], HIDDEN).astype(f)[:, None]  # sigmoids by way of tanh
         if tape is None:
@@ -121,7 +129,8 @@ class Tagger:
         h, g, e = z[:, EMBED:-1], np.empty((2, 4 * HIDDEN, b), f), np.empty((2, HIDDEN, b), f)
         gates, a, forget, o, u = g[:, :3 * HIDDEN], *(g[:, i * HIDDEN:(i + 1) * HIDDEN] for i in range(4))
         hs = np.empty((t, 2 * HIDDEN, b), f)
-        for i in range(t):
+        steps = t if steps is None else steps
+        for i in range(steps):
             z[0, :EMBED], z[1, :EMBED] = x[:, i], x[:, t - 1 - i]
             np.matmul(w, z, out=g)
             np.tanh(g, out=g)
@@ -144,11 +153,11 @@ class Tagger:
                 tape[-1] += (e.copy(),)
                 np.multiply(o, e, out=h)
             hs[i, :HIDDEN], hs[t - 1 - i, HIDDEN:] = h[0], h[1]
-        return hs
+        return hs[t - steps:steps]
 
-    def scores(self, chars: np.ndarray) -> np.ndarray:
-        """Scores of the tags as (character, tag, window)."""
-        out = np.matmul(self.p["out"] * np.float32(0.5), self._run(chars))
+    def scores(self, chars: np.ndarray, steps: int | None = None) -> np.ndarray:
+        """Scores of the tags as (character, tag, window), without the characters near an edge that ``steps`` leave out."""
+        out = np.matmul(self.p["out"] * np.float32(0.5), self._run(chars, steps=steps))
         out += self.p["bias"]
         return out
 
@@ -269,38 +278,56 @@ class Tagger:
         Windows of several texts are scored together; the scores of a text are
         kept until its last window is done.
         """
-        jobs, open_texts = [], {}
+        # windows inside a text answer for their middle alone, so both directions may stop at its ends
+        jobs, open_texts, left = {INNER: [], WINDOW: []}, {}, {}
 
-        def score() -> None:
-            chars = np.full((len(jobs), WINDOW), PAD, np.uint8)
-            for row, (_, s, _, _, codes) in zip(chars, jobs, strict=True):
+        def score(steps: int) -> None:
+            some, skipped = jobs[steps], WINDOW - steps
+            chars = np.full((len(some), WINDOW), PAD, np.uint8)
+            for row, (_, s, _, _, codes) in zip(chars, some, strict=True):
                 part = codes[s:s + WINDOW]
                 row[:len(part)] = part
-            e = np.ascontiguousarray(self.scores(chars).transpose(2, 0, 1))
-            for window, (no, s, lo, hi, _) in zip(e, jobs, strict=True):
-                open_texts[no][lo:hi] = window[lo - s:hi - s]
-
-        def finished(before: int) -> Iterator[tuple[int, int, np.ndarray]]:
-            for no in [n for n in open_texts if n < before]:
+            e = np.ascontiguousarray(self.scores(chars, steps).transpose(2, 0, 1))
+            for window, (no, s, lo, hi, _) in zip(e, some, strict=True):
+                open_texts[no][lo:hi] = window[lo - s - skipped:hi - s - skipped]
+                left[no] -= 1
+            some.clear()
+
+        def finished() -> Iterator[tuple[int, int, np.ndarray]]:
+            for no in [n for n, more in left.items() if not more]:
                 e = open_texts.pop(no)
-                edge = np.flatnonzero(np.diff(self.likely(e).astype(np.int8), prepend=0, append=0))
+                del left[no]
+                likely = self.likely(e)
+                if not likely.any():
+                    continue
+                edge = np.flatnonzero(np.diff(likely.astype(np.int8), prepend=0, append=0))
                 for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
                     yield no, a, e[a:b].copy()
 
+        waiting = 0
         for no, text in enumerate(texts):
             if not text:
                 continue
             codes = classes(text)
             open_texts[no] = np.empty((len(codes), len(KINDS) + 1), np.float32)
-            for s, lo, hi in zip(*(part.tolist() for part in windows(len(codes))), strict=True):
-                jobs.append((no, s, lo, hi, codes))
-                if len(jobs) == TOGETHER:
-                    score()
-                    jobs.clear()
-                    yield from finished(no)
-        if jobs:
-            score()
-        yield from finished(len(texts))
+            spans = list(zip(*(part.tolist() for part in windows(len(codes))), strict=True))
+            left[no] = len(spans)
+            waiting += len(codes)
+            for s, lo, hi in spans:
+                steps = INNER if WINDOW - INNER <= lo - s and hi - s <= INNER else WINDOW
+                jobs[steps].append((no, s, lo, hi, codes))
+                if len(jobs[steps]) == TOGETHER:
+                    score(steps)
+            if waiting >= WAITING:  # few windows at edges, and long texts: none waits until they are many
+                for steps in jobs:
+                    if jobs[steps]:
+                        score(steps)
+                waiting = 0
+            yield from finished()
+        for steps in jobs:
+            if jobs[steps]:
+                score(steps)
+        yield from finished()
 
     def tag(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
         """Sure spans of each whole text, confirmed by what they hold."""

@@ -134,3 +134,17 @@ def test_doubled_states_give_the_same_scores():
     states = tagger._run(chars, [])
     assert np.array_equal(tagger._run(chars), 2 * states)  # no pass over the gates to halve them, not a bit changed
     assert np.array_equal(tagger.scores(chars), np.matmul(tagger.p["out"], states) + tagger.p["bias"])
+
+
+def test_windows_inside_a_text_stop_where_their_answers_end():
+    tagger, rng = pii.Tagger(3), np.random.default_rng(5)
+    chars = rng.integers(0, pii.CLASSES, (7, pii.WINDOW)).astype(np.uint8)
+    skipped = pii.WINDOW - pii.INNER
+    assert np.allclose(tagger.scores(chars, pii.INNER), tagger.scores(chars)[skipped:pii.INNER], atol=1e-5)
+    ran, run = [], tagger._run
+    tagger._run = lambda chars, tape=None, steps=None: ran.append((len(chars), steps)) or run(chars, tape, steps)
+    texts = ["".join(map(chr, rng.integers(32, 127, n))) for n in (1, 128, 129, 5000, 240, 336)]
+    tagger.tag(["", *texts])
+    want = [pii.windows(len(t)) for t in texts]
+    inner = sum(len(starts) - 2 for starts, _, _ in want if len(starts) > 2)
+    assert sorted(ran) == sorted([(inner, pii.INNER), (sum(len(s) for s, _, _ in want) - inner, pii.WINDOW)])
