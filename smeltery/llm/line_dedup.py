@@ -7,11 +7,12 @@ and place; others probe them with the substrings that could have moved there.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from smeltery.llm.common import components, discard, free_name, lower_ascii, release, stored, whole_text
+from smeltery.llm.common import PLACES, components, discard, free_name, lower_ascii, release, stored, whole_text
 
 EDITS = 2
 #: Shorter lines are compared for equality only: a few edits would turn one into another.
@@ -35,39 +36,49 @@ def compared(raw: Column) -> Column:
     return F.trim(F.when(spaced, F.regexp_replace(low, r"[\x09-\x0D]+", " ")).otherwise(low))
 
 
-def segment(length: Column, i: int, edits: int = EDITS) -> tuple[Column, Column]:
-    """1-based start and length of the i-th of ``edits + 1`` segments of nearly equal length."""
-    parts = edits + 1
-    base, longer = F.floor(length / parts), length % parts
-    extra = F.greatest(F.lit(0), longer - F.lit(parts - i))
-    return (F.lit(i) * base + extra + 1).cast("int"), (base + F.when(longer >= F.lit(parts - i), 1).otherwise(0)).cast("int")
+def filled(lines: DataFrame) -> DataFrame:
+    """Rows whose ``line`` is not empty, told from ``raw`` so that no line is made for it."""
+    return lines.where(F.ltrim(F.col("raw"), F.lit(" \t\n\x0B\x0C\r")) != "")
 
 
-def _marks(line: Column, n: Column, edits: int) -> Column:
-    own = []
-    for i in range(edits + 1):
-        start, size = segment(n, i, edits)
-        own.append(F.xxhash64(n, F.lit(i), F.substring(line, start, size)))
-    return F.array(*own)
-
-
-def _probes(line: Column, n: Column, edits: int) -> Column:
-    """Marks of the substrings that a line up to ``edits`` shorter, or as long, could have as its segments.
+def _cuts(less: int, edits: int) -> list[tuple[int, int]]:
+    """``(segment, move)`` of the substrings that a line ``less`` shorter could have as its segments.
 
     If the first i segments hold all edits before the shared one, its text has
     moved by at most i; counted from the end, by at most edits - i off the
-    difference of the lengths. Some segment is shared with both. Null where there is no such substring.
+    difference of the lengths. Some segment is shared with both.
+    """
+    return [(i, move) for i in range(edits + 1) for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
+
+
+def _marked(longs: DataFrame, less: int, cuts: Iterable[tuple[int, int]], edits: int) -> DataFrame:
+    """``(line_id, n, mark)``: hashes of the lines' substrings that stand where a line ``less`` shorter has a segment.
+
+    The segments are ``edits + 1`` of nearly equal length, the longer ones last. One difference of lengths at a time:
+    code for all of them together is too long for the JVM to compile.
     """
+    parts, n = edits + 1, F.col("n")
+    sized = longs.where(n - less >= SHORTEST).select("line_id", "n", "line", F.expr(f"CAST((n - {less}) DIV {parts} AS INT)").alias("base"),
+                                                     ((n - less) % parts).alias("over"))
     out = []
-    for less in range(edits + 1):
-        length = n - less
-        for i in range(edits + 1):
-            start, size = segment(length, i, edits)
-            for move in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                place = start + move
-                fits = (place >= 1) & (place + size - 1 <= n) & (length >= SHORTEST)
-                out.append(F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, place, size))))
-    return F.array(*out)
+    for i, move in cuts:
+        place = i * F.col("base") + F.greatest(F.lit(0), F.col("over") - (parts - i)) + 1 + move
+        size = F.col("base") + F.when(F.col("over") >= parts - i, 1).otherwise(0)
+        out.append(F.when((place >= 1) & (place + size - 1 <= n), F.xxhash64(n - less, F.lit(i), F.substring("line", place, size))))
+    return sized.select("line_id", "n", F.explode(F.array(*out)).alias("mark")).where("mark IS NOT NULL")
+
+
+def _among(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is in the one column of ``wanted``, and a few others.
+
+    A lookup of hashes in a bitmap of bounded size; no row moves. Null is no key.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(PLACES))
+    words = (wanted.select(place(F.col(wanted.columns[0])).alias("_place")).groupBy((F.col("_place") / 64).cast("long").alias("_word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(_place % 64 AS INT))")).alias("_bits")))
+    at = rows.withColumn("_at", place(key))
+    return (at.join(F.broadcast(words), (F.col("_at") / 64).cast("long") == F.col("_word"))
+            .where(F.getbit("_bits", (F.col("_at") % 64).cast("int")) == 1).select(*rows.columns))
 
 
 def _tally(line: Column, n: Column, letters: str) -> Column:
@@ -77,7 +88,7 @@ def _tally(line: Column, n: Column, letters: str) -> Column:
 
 
 def tallied(lines: DataFrame) -> DataFrame:
-    """``lines(line, n)`` with their letter counts, which both sides of the join read."""
+    """``lines(line, n)`` with their letter counts."""
     return lines.withColumns({f"t{i}": _tally(F.col("line"), F.col("n"), letters) for i, letters in enumerate(TALLIED)})
 
 
@@ -123,17 +134,32 @@ def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Links ``(a, b)`` between ``lines(line_id, line, n)``, ``tallied`` or not, at most ``edits`` edits apart, each once.
+    """Links ``(a, b)`` between ``lines(line_id, line, n)`` at most ``edits`` edits apart, each once.
 
-    Pairs whose letter counts are too far apart are left out as they are found,
+    Marks that only one line has are left out before any letter is counted: probes by a bitmap of the segments, the
+    rest by grouping. Pairs whose letter counts are too far apart are left out as they are found,
     so lines that share a long passage and little else make few pairs.
     Verified exactly on whole lines by ``within_edits``.
     """
+    longs = lines.where(f"n >= {SHORTEST}").select("line_id", "line", "n")
+    still = [(i, 0) for i in range(edits + 1)]
+    own = _marked(longs, 0, still, edits)
+    shifted = [(less, cuts) for less in range(edits + 1) if (cuts := [c for c in _cuts(less, edits) if less or c not in still])]
+    rows, probes = own.withColumn("own", F.lit(True)), None
+    if shifted:
+        moved = reduce(DataFrame.union, [_marked(longs, less, cuts, edits) for less, cuts in shifted])
+        probes = stored(_among(moved, F.col("mark"), own.select("mark")), "line-probes")
+        rows = rows.union(probes.withColumn("own", F.lit(False)))
+    shared = stored(rows.groupBy("mark").agg(F.min("line_id").alias("low"), F.max("line_id").alias("high"), F.max("own").alias("own"))
+                    .where("own AND low <> high").select("mark"), "line-marks")
+    met = stored(_among(rows, F.col("mark"), shared).join(shared, "mark", "left_semi").select("line_id", "n", "mark", "own"), "line-met")
+    holders = stored(met.select("line_id").distinct(), "line-holders")
+    known = stored(tallied(_among(longs, F.col("line_id"), holders).join(holders, "line_id", "left_semi")), "line-known")
+    release(lines)
     tallies = [f"t{i}" for i in range(len(TALLIED))]
-    longs = (lines if {*tallies} <= {*lines.columns} else tallied(lines)).where(f"n >= {SHORTEST}")
-    index = longs.select("line_id", "n", *tallies, F.explode(_marks(F.col("line"), F.col("n"), edits)).alias("mark"))
-    probe = longs.select(F.col("line_id").alias("other"), F.col("n").alias("m"), *[F.col(t).alias(f"u{t}") for t in tallies],
-                         F.explode(_probes(F.col("line"), F.col("n"), edits)).alias("mark")).where("mark IS NOT NULL")
+    told = met.join(known.select("line_id", *tallies), "line_id")
+    index = told.where("own").drop("own")
+    probe = told.select(F.col("line_id").alias("other"), F.col("n").alias("m"), *[F.col(t).alias(f"u{t}") for t in tallies], "mark")
     room = reduce(Column.__add__, [_apart(F.col(t), F.col(f"u{t}")) for t in tallies]) <= 2 * edits
     pairs = (index.join(probe, "mark").where(f"line_id <> other AND m >= n AND m - n <= {edits} AND (m > n OR line_id < other)")
              .where(room)
@@ -141,11 +167,11 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     pairs = stored(pairs, "line-pairs")
     release(lines)
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-wanted")
-    some = stored(lines.select("line_id", "line").join(wanted, "line_id", "left_semi"), "line-texts")
+    some = stored(known.select("line_id", "line").join(wanted, "line_id", "left_semi"), "line-texts")
     text = lambda c: some.select(F.col("line_id").alias(c), F.col("line").alias(f"{c}_line"))
     links = stored(pairs.join(text("a"), "a").join(text("b"), "b")
                    .where(within_edits(F.col("a_line"), F.col("b_line"), edits)).select("a", "b"), "line-links")
-    for used in (pairs, wanted, some):
+    for used in (pairs, wanted, some, shared, met, holders, known, *([probes] if probes else [])):
         discard(used)
     release(lines)
     return links
@@ -157,9 +183,9 @@ def _digest(line: Column) -> Column:
 
 def _placed(lines: DataFrame, edits: int) -> DataFrame:
     """``(digest, class_id, best, alone)`` of every line but empty ones: its class, the first line of that, and whether it occurs once and has no link."""
-    firsts = lines.where("line <> ''").groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("times"))
-    known = stored(tallied(firsts.select(F.monotonically_increasing_id().alias("line_id"), "line",
-                                         F.length("line").alias("n"), "first", "times")), "lines")
+    firsts = filled(lines).groupBy("line").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("times"))
+    known = stored(firsts.select(F.monotonically_increasing_id().alias("line_id"), "line",
+                                 F.length("line").alias("n"), "first", "times"), "lines")
     release(lines)
     links = near_lines(known, edits)
     label = components(links, "line-components").withColumnRenamed("id", "line_id")
@@ -201,7 +227,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     of = free_name(docs, "_of")
     rows = docs.withColumn(of, F.xxhash64(whole_text(text)))
     placed = _placed(lines_of(docs, key, text), EDITS)
-    told = lines_of(rows, key, text, F.col(of).alias("of")).where("line <> ''").select("doc_id", "of", "at", _digest(F.col("line")).alias("digest"))
+    told = filled(lines_of(rows, key, text, F.col(of).alias("of"))).select("doc_id", "of", "at", _digest(F.col("line")).alias("digest"))
     gone = stored(told.join(placed.where("NOT alone").select("digest", "best"), "digest")
                   .where(F.col("best") != F.struct("doc_id", "at")).select("doc_id", "of", "at"), "line-gone")
     discard(placed)

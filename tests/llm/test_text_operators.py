@@ -496,3 +496,14 @@ def test_toxicity_examples_are_opened_one_at_a_time():
     assert seen == sum(300 * (2 + i) for i in range(199))
     assert held[0] == (0, 1, {}) and held[1][:2] == (1, 0) and held[1][2] == dict.fromkeys(words[198], 200)
     assert [i for i, _, _ in held] == [*range(200)]
+
+
+def test_letters_are_counted_only_of_lines_that_share_a_mark(spark, monkeypatch):
+    rng = random.Random(4)
+    line = "a line that is long enough to be compared with others, é"
+    texts = [line, line[:10] + line[11:], line.replace("long", "lung"), *("".join(rng.choice("abcdefgh ") for _ in range(50)) + "x" for _ in range(60))]
+    table = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "line_id long, line string, n int")
+    counted, tallied = [], line_dedup.tallied
+    monkeypatch.setattr(line_dedup, "tallied", lambda lines: counted.extend(r.line_id for r in lines.collect()) or tallied(lines))
+    got = sorted(map(tuple, line_dedup.near_lines(table).collect()))
+    assert got == [(0, 2), (1, 0), (1, 2)] and sorted(counted) == [0, 1, 2]
